@@ -56,4 +56,5 @@ def nation_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     j = o.join(c, o.o_custkey == c.c_custkey)
     return (j.groupBy(F.col("c_nationkey").alias("geo_id"), F.last_day(F.to_date("o_orderdate")).alias("month_end"))
-             .agg(F.round(F.sum("o_totalprice"), 2).alias("value"), F.count(F.lit(1)).alias("n_orders")))
+             .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("value"),
+                  F.count(F.lit(1)).alias("n_orders")))

@@ -1 +1,213 @@
-"""Plans (to be filled)."""
+"""Time-series plans.
+
+Customers are sparse "metros" (about ten orders over ~80 months), so calendar gaps occur
+naturally: prior-period lookups must return NULL across them, never the previous row.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from medalloy.functions.dates import date_key, month_ordinal, quarter_ordinal
+from medalloy.operators import timeseries as ts
+from medalloy.operators.sizing import broadcast_if_small
+from medalloy.plans.registry import plan
+from medalloy.plans.tables import nation_monthly, read
+from medalloy.sources.calendar import calendar_for
+
+
+def customer_quarterly(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    q_end = ts.period_end(F.to_date("o_orderdate"), "quarter")
+    return (o.groupBy(F.col("o_custkey").alias("geo_id"), q_end.alias("quarter_end"))
+             .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("value")))
+
+
+_D_CQ = """
+cq AS (SELECT o_custkey AS geo_id,
+              last_day(make_date(CAST(year(CAST(o_orderdate AS DATE)) AS INTEGER), CAST(quarter(CAST(o_orderdate AS DATE)) * 3 AS INTEGER), 1)) AS quarter_end,
+              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value
+       FROM orders GROUP BY 1, 2)
+"""
+
+
+@plan("yoy_date_aware", "J3 J9 M3 T7", oracle=f"""
+WITH {_D_CQ},
+cur AS (SELECT geo_id, quarter_end, value, year(quarter_end) AS y, quarter(quarter_end) AS q FROM cq)
+SELECT c.geo_id, CAST(year(c.quarter_end) * 10000 + month(c.quarter_end) * 100 + day(c.quarter_end) AS INTEGER) AS date_key,
+       CAST(c.y AS INTEGER) AS year, CAST(c.q AS INTEGER) AS quarter, c.value,
+       round(CASE WHEN p.value IS NOT NULL AND p.value <> 0 THEN (c.value - p.value) / p.value * 100 END, 2) AS pct_change_yoy
+FROM cur c LEFT JOIN cur p ON p.geo_id = c.geo_id AND p.y = c.y - 1 AND p.q = c.q
+""")
+def yoy_date_aware(spark, sf_dir):
+    """Quarterly YoY % vs the same quarter a year earlier; NULL across gaps or a zero base.
+    Year/quarter labels come from the calendar dimension (broadcast: its size is the
+    number of days on the calendar)."""
+    cq = customer_quarterly(spark, sf_dir).withColumn("date_key", date_key("quarter_end"))
+    cal = calendar_for(read(spark, sf_dir, "orders"), "o_orderdate").select("date_key", "year", "quarter")
+    j = cq.join(broadcast_if_small(cal), "date_key")
+    out = ts.period_change(j, "geo_id", "quarter_end", "value", grain="quarter", lag=4)
+    return out.select("geo_id", "date_key", "year", "quarter", "value", "pct_change_yoy")
+
+
+_D_NM = """
+nm AS (SELECT c_nationkey AS geo_id, last_day(CAST(o_orderdate AS DATE)) AS month_end,
+              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value, count(*) AS n_orders
+       FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+nmo AS (SELECT *, year(month_end) * 12 + month(month_end) AS ord FROM nm)
+"""
+
+
+@plan("mom_change", "N9", oracle=f"""
+WITH {_D_NM}
+SELECT c.geo_id, c.month_end, c.value,
+       round(CASE WHEN p.value IS NOT NULL AND p.value <> 0 THEN c.value / p.value - 1 END, 6) AS mom,
+       round(CASE WHEN y.value IS NOT NULL AND y.value <> 0 THEN c.value / y.value - 1 END, 6) AS yoy
+FROM nmo c LEFT JOIN nmo p ON p.geo_id = c.geo_id AND p.ord = c.ord - 1
+LEFT JOIN nmo y ON y.geo_id = c.geo_id AND y.ord = c.ord - 12
+""")
+def mom_change(spark, sf_dir):
+    """Month-over-month and year-over-year change as decimal fractions, calendar-exact."""
+    nm = nation_monthly(spark, sf_dir).withColumn("_ord", month_ordinal("month_end"))
+    cur = F.col("value")
+    p1 = ts.prior_value("geo_id", "_ord", "value", 1)
+    p12 = ts.prior_value("geo_id", "_ord", "value", 12)
+    return nm.select("geo_id", "month_end", "value",
+                     ts.pct_change(cur, p1, scale=1.0, digits=None).alias("_m"),
+                     ts.pct_change(cur, p12, scale=1.0, digits=None).alias("_y")) \
+             .select("geo_id", "month_end", "value",
+                     F.round(F.col("_m"), 6).alias("mom"), F.round(F.col("_y"), 6).alias("yoy"))
+
+
+@plan("rolling_3_12", "N8", oracle=f"""
+WITH {_D_NM}
+SELECT geo_id, month_end, value,
+       round(avg(value) OVER (PARTITION BY geo_id ORDER BY ord RANGE BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS avg_3m,
+       round(avg(value) OVER (PARTITION BY geo_id ORDER BY ord RANGE BETWEEN 11 PRECEDING AND CURRENT ROW), 4) AS avg_12m,
+       round(sum(value) OVER (PARTITION BY geo_id, year(month_end) ORDER BY month(month_end)
+                              RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS ytd
+FROM nmo
+""")
+def rolling_3_12(spark, sf_dir):
+    """Trailing 3- and 12-month means on the month ordinal (gap-safe) and year-to-date sum."""
+    nm = nation_monthly(spark, sf_dir).select("geo_id", "month_end", "value")
+    out = ts.rolling_mean(nm, "geo_id", "month_end", "value", 3, out="avg_3m", digits=4)
+    out = ts.rolling_mean(out, "geo_id", "month_end", "value", 12, out="avg_12m", digits=4)
+    return ts.year_to_date(out, "geo_id", "month_end", "value", out="ytd", digits=2)
+
+
+@plan("rank_in_month", "N10", oracle=f"""
+WITH {_D_NM}
+SELECT geo_id, month_end, value,
+       rank() OVER w AS rank, dense_rank() OVER w AS dense_rank, round(percent_rank() OVER w, 6) AS pct_rank
+FROM nm WINDOW w AS (PARTITION BY month_end ORDER BY value DESC NULLS LAST)
+""")
+def rank_in_month(spark, sf_dir):
+    """Cross-entity rank and percentile of nations within each month."""
+    nm = nation_monthly(spark, sf_dir).select("geo_id", "month_end", "value")
+    return ts.rank_in_period(nm, "month_end", "value")
+
+
+@plan("gap_quarterly", "A8 Q7", oracle=f"""
+WITH {_D_CQ}
+SELECT geo_id, count(*) AS present,
+       max(year(quarter_end) * 4 + quarter(quarter_end)) - min(year(quarter_end) * 4 + quarter(quarter_end)) + 1 AS span,
+       max(year(quarter_end) * 4 + quarter(quarter_end)) - min(year(quarter_end) * 4 + quarter(quarter_end)) + 1 - count(*) AS missing
+FROM cq GROUP BY geo_id
+HAVING count(*) <> max(year(quarter_end) * 4 + quarter(quarter_end)) - min(year(quarter_end) * 4 + quarter(quarter_end)) + 1
+""")
+def gap_quarterly(spark, sf_dir):
+    """Entities whose quarters are not contiguous: count ≠ max(ord) − min(ord) + 1."""
+    cq = customer_quarterly(spark, sf_dir)
+    g = ts.ordinal_gaps(cq, "geo_id", quarter_ordinal("quarter_end"))
+    return g.where(F.col("missing") != 0).select(
+        "geo_id", F.col("present"), F.col("span").cast("long").alias("span"), F.col("missing").cast("long").alias("missing"))
+
+
+_D_NATIVE = """
+d AS (SELECT DISTINCT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS obs_date FROM orders
+      WHERE o_orderstatus = 'F'),
+fd AS (SELECT series_id, obs_date, datediff('day', lag(obs_date) OVER (PARTITION BY series_id ORDER BY obs_date), obs_date) AS gap_days FROM d),
+fcount AS (SELECT series_id, count(*) AS n FROM fd GROUP BY 1),
+fmodrk AS (SELECT series_id, gap_days, row_number() OVER (PARTITION BY series_id ORDER BY count(*) DESC, gap_days ASC) AS rn
+           FROM fd WHERE gap_days IS NOT NULL GROUP BY 1, 2),
+fmod AS (SELECT series_id, gap_days AS modal FROM fmodrk WHERE rn = 1),
+fgap AS (SELECT fd.series_id, sum(CAST(round(fd.gap_days / fmod.modal) AS INTEGER) - 1) AS missing
+         FROM fd JOIN fmod ON fd.series_id = fmod.series_id WHERE fd.gap_days > fmod.modal * 1.5 GROUP BY 1)
+"""
+
+
+@plan("gap_native", "N4 N5 A10 A11", oracle=f"""
+WITH {_D_NATIVE}
+SELECT c.series_id, c.n, CAST(m.modal AS INTEGER) AS modal_days, CAST(coalesce(g.missing, 0) AS BIGINT) AS missing
+FROM fcount c LEFT JOIN fmod m ON c.series_id = m.series_id LEFT JOIN fgap g ON c.series_id = g.series_id
+""")
+def gap_native(spark, sf_dir):
+    """Per series: modal day spacing (ties → smaller gap) and estimated missing observations
+    where a spacing exceeds 1.5 × modal (finished orders per priority as the series)."""
+    o = read(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    s = o.select(F.col("o_orderpriority").alias("series_id"), F.to_date("o_orderdate").alias("obs_date"))
+    return ts.native_gaps(s, "series_id", "obs_date")
+
+
+@plan("gap_report", "A9 A8 A10 A11 O4 O1", oracle=f"""
+WITH {_D_CQ}, {_D_NATIVE},
+cm AS (SELECT o_custkey AS geo_id, year(CAST(o_orderdate AS DATE)) * 12 + month(CAST(o_orderdate AS DATE)) AS ord
+       FROM orders GROUP BY 1, 2),
+cmp AS (SELECT geo_id, count(*) AS present, max(ord) - min(ord) + 1 AS span FROM cm GROUP BY 1),
+cqp AS (SELECT geo_id, count(*) AS present,
+               max(year(quarter_end) * 4 + quarter(quarter_end)) - min(year(quarter_end) * 4 + quarter(quarter_end)) + 1 AS span
+        FROM cq GROUP BY 1),
+fsum AS (SELECT c.series_id, c.n, coalesce(g.missing, 0) AS missing FROM fcount c LEFT JOIN fgap g ON c.series_id = g.series_id)
+SELECT fact, grain, entities, "rows", entities_with_gaps, missing_periods,
+       CASE WHEN missing_periods = 0 THEN 'OK' ELSE 'GAPS' END AS verdict FROM (
+  SELECT 'customer_monthly' AS fact, 'monthly' AS grain, count(*) AS entities, CAST(sum(present) AS BIGINT) AS "rows",
+         CAST(sum(CASE WHEN present < span THEN 1 ELSE 0 END) AS BIGINT) AS entities_with_gaps,
+         CAST(sum(span - present) AS BIGINT) AS missing_periods FROM cmp
+  UNION ALL
+  SELECT 'customer_quarterly', 'quarterly', count(*), CAST(sum(present) AS BIGINT),
+         CAST(sum(CASE WHEN present < span THEN 1 ELSE 0 END) AS BIGINT), CAST(sum(span - present) AS BIGINT) FROM cqp
+  UNION ALL
+  SELECT 'priority_series', 'per-series native', count(*), CAST(sum(n) AS BIGINT),
+         CAST(sum(CASE WHEN missing > 0 THEN 1 ELSE 0 END) AS BIGINT), CAST(sum(missing) AS BIGINT) FROM fsum)
+""")
+def gap_report(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    cm = o.select(F.col("o_custkey").alias("geo_id"), month_ordinal(F.to_date("o_orderdate")).alias("ord")).distinct()
+    monthly = ts.gap_summary(ts.ordinal_gaps(cm, "geo_id", "ord"), label="customer_monthly", grain="monthly")
+    cq = customer_quarterly(spark, sf_dir)
+    quarterly = ts.gap_summary(ts.ordinal_gaps(cq, "geo_id", quarter_ordinal("quarter_end")),
+                               label="customer_quarterly", grain="quarterly")
+    nat = gap_native(spark, sf_dir).select(F.col("n").alias("present"), "missing")
+    native = ts.gap_summary(nat, label="priority_series", grain="per-series native")
+    return monthly.unionByName(quarterly).unionByName(native)
+
+
+@plan("latest_per_key", "N1 O2", oracle="""
+SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
+WHERE rn = 1
+""")
+def latest_per_key(spark, sf_dir):
+    """Latest order per customer (ties → larger order key), as an aggregation."""
+    o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"),
+                                             "o_totalprice")
+    return ts.latest_per_key(o, "o_custkey", ["o_orderdate", "o_orderkey"])
+
+
+@plan("latest_vintage", "N7 T5", oracle="""
+SELECT l_orderkey, l_linenumber, realtime_start, value, vintages FROM (
+  SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS realtime_start, l_extendedprice AS value,
+         count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS vintages,
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_extendedprice DESC) AS rn
+  FROM lineitem) WHERE rn = 1
+""")
+def latest_vintage(spark, sf_dir):
+    """Repeated (order, line) rows are vintages of one observation: keep the newest
+    ``realtime_start`` (ship date), then the larger value; report how many vintages exist."""
+    li = read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("realtime_start"),
+        F.col("l_extendedprice").alias("value"))
+    counts = li.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("vintages"),
+                                                          F.max(F.struct("realtime_start", "value")).alias("m"))
+    return counts.select("l_orderkey", "l_linenumber", "m.realtime_start", "m.value", "vintages")
