@@ -1 +1,111 @@
-"""Plans (to be filled)."""
+"""Matching and spatial plans."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from medalloy.operators import matching as mt
+from medalloy.operators import spatial as sp
+from medalloy.plans.registry import plan
+from medalloy.plans.tables import read
+
+
+def master(spark, sf_dir):
+    """Entity master from detail rows: one code per distinct part name (smallest part key),
+    its title and the set of brands ("states") it occurs in."""
+    p = read(spark, sf_dir, "part")
+    return (p.groupBy("p_name").agg(F.min("p_partkey").alias("code"),
+                                    F.array_sort(F.collect_set("p_brand")).alias("brands"),
+                                    F.count(F.lit(1)).alias("detail_rows"))
+             .withColumnRenamed("p_name", "title"))
+
+
+@plan("entity_master", "A17 O5", oracle="""
+SELECT min(p_partkey) AS code, p_name AS title, array_to_string(list_sort(list_distinct(list(p_brand))), ',') AS brands,
+       count(*) AS detail_rows
+FROM part WHERE regexp_matches(p_brand, '^Brand#[0-9]+$') GROUP BY p_name
+""")
+def entity_master(spark, sf_dir):
+    p = read(spark, sf_dir, "part").where(F.col("p_brand").rlike(r"^Brand#[0-9]+$"))
+    m = mt.entity_master(p.withColumn("title", F.col("p_name")), code="p_name", title="title", block="p_brand")
+    first = p.groupBy("p_name").agg(F.min("p_partkey").alias("code"))
+    return m.join(first, "p_name").select("code", "title", F.array_join("blocks", ",").alias("brands"), "detail_rows")
+
+
+def edited_names(spark, sf_dir):
+    """Part names with deterministic edits by size band: dropped last letter, swapped words,
+    an appended 'st.' word, an appended type word."""
+    p = read(spark, sf_dir, "part")
+    w = F.split("p_name", " ")
+    name = (F.when(F.col("p_size") < 10, F.expr("substring(p_name, 1, length(p_name) - 1)"))
+             .when(F.col("p_size") < 20, F.concat_ws(" ", F.element_at(w, -1), F.element_at(w, 1)))
+             .when(F.col("p_size") < 30, F.concat(F.col("p_name"), F.lit(" st.")))
+             .when(F.col("p_size") < 40, F.concat(F.col("p_name"), F.lit(" "), F.lower("p_type")))
+             .otherwise(F.upper("p_name")))
+    return p.select("p_partkey", name.alias("region_name"), F.col("p_brand").alias("state"))
+
+
+@plan("fuzzy_match", "J14 T14")
+def fuzzy_match(spark, sf_dir):
+    """Blocked best match of edited part names to the master (block = brand)."""
+    m = master(spark, sf_dir)
+    return mt.best_match(edited_names(spark, sf_dir), m, left_key="p_partkey", left_name="region_name",
+                         left_block="state", right_key="code", right_title="title", right_blocks="brands",
+                         right_names=F.array(F.col("title")))
+
+
+@plan("override", "J15")
+def override(spark, sf_dir):
+    """Matches with manual overrides: the largest parts are pinned to their true code; an
+    override for an unknown key (-1) is ignored."""
+    m = master(spark, sf_dir)
+    matches = mt.best_match(edited_names(spark, sf_dir), m, left_key="p_partkey", left_name="region_name",
+                            left_block="state", right_key="code", right_title="title", right_blocks="brands",
+                            right_names=F.array(F.col("title")))
+    p = read(spark, sf_dir, "part")
+    ov = (p.where(F.col("p_size") == 50).join(m.select(F.col("title").alias("p_name"), "code"), "p_name")
+           .select("p_partkey", "code")
+           .unionByName(spark.createDataFrame([(-1, -1)], "p_partkey long, code long")))
+    return mt.apply_overrides(matches, ov, key="p_partkey", code="code")
+
+
+def _points(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    n_orders = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
+    c = read(spark, sf_dir, "customer").join(n_orders, "c_custkey", "left")
+    return c.select(F.col("c_custkey").alias("point_id"), (F.col("c_acctbal") / 100.0).alias("x"),
+                    F.coalesce(F.col("n"), F.lit(0)).cast("double").alias("y"))
+
+
+# Hexagon offsets (dx, dy) around each nation's centre.
+HEX = [(-5, 0), (-3, -4), (3, -4), (5, 0), (3, 5), (-3, 5)]
+
+
+def _polygons(spark, sf_dir):
+    n = read(spark, sf_dir, "nation")
+    cx = (F.col("n_nationkey") * 4).cast("double")
+    cy = (F.col("n_regionkey") * 2 + 10).cast("double")
+    ring = F.array(*[F.struct((cx + dx).alias("x"), (cy + dy).alias("y")) for dx, dy in HEX])
+    return n.select(F.col("n_nationkey").alias("polygon_id"), ring.alias("ring"))
+
+
+_HEX_SQL = " UNION ALL ".join(
+    f"SELECT {i} AS k, {dx}.0 AS dx, {dy}.0 AS dy" for i, (dx, dy) in enumerate(HEX))
+
+
+@plan("point_in_polygon", "J16 O6", oracle=f"""
+WITH pts AS (SELECT c.c_custkey AS point_id, c.c_acctbal / 100.0 AS px, CAST(coalesce(o.n, 0) AS DOUBLE) AS py
+             FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o ON o.o_custkey = c.c_custkey),
+hex AS ({_HEX_SQL}),
+v AS (SELECT n_nationkey AS polygon_id, k, CAST(n_nationkey * 4 AS DOUBLE) + dx AS x, CAST(n_regionkey * 2 + 10 AS DOUBLE) + dy AS y
+      FROM nation, hex),
+e AS (SELECT a.polygon_id, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM v a JOIN v b
+      ON a.polygon_id = b.polygon_id AND b.k = (a.k + 1) % {len(HEX)}),
+hits AS (SELECT p.point_id, e.polygon_id, count(*) AS c FROM pts p JOIN e
+         ON ((e.y1 > p.py) <> (e.y2 > p.py)) AND p.px < e.x1 + (p.py - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+         GROUP BY 1, 2)
+SELECT point_id, min(polygon_id) AS polygon_id FROM hits WHERE c % 2 = 1 GROUP BY 1
+""")
+def point_in_polygon(spark, sf_dir):
+    """Customers as points (x = balance/100, y = order count) inside nation hexagons."""
+    return sp.within(_points(spark, sf_dir), _polygons(spark, sf_dir), cell=4.0)
