@@ -82,18 +82,24 @@ def mom_change(spark, sf_dir):
 @plan("rolling_3_12", "N8", oracle=f"""
 WITH {_D_NM}
 SELECT geo_id, month_end, value,
-       round(avg(value) OVER (PARTITION BY geo_id ORDER BY ord RANGE BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS avg_3m,
-       round(avg(value) OVER (PARTITION BY geo_id ORDER BY ord RANGE BETWEEN 11 PRECEDING AND CURRENT ROW), 4) AS avg_12m,
+       round(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY geo_id ORDER BY ord RANGE BETWEEN 2 PRECEDING AND CURRENT ROW)
+             / count(*) OVER (PARTITION BY geo_id ORDER BY ord RANGE BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS avg_3m,
+       round(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY geo_id ORDER BY ord RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)
+             / count(*) OVER (PARTITION BY geo_id ORDER BY ord RANGE BETWEEN 11 PRECEDING AND CURRENT ROW), 6) AS avg_12m,
        round(sum(value) OVER (PARTITION BY geo_id, year(month_end) ORDER BY month(month_end)
                               RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS ytd
 FROM nmo
 """)
 def rolling_3_12(spark, sf_dir):
     """Trailing 3- and 12-month means on the month ordinal (gap-safe) and year-to-date sum."""
-    nm = nation_monthly(spark, sf_dir).select("geo_id", "month_end", "value")
-    out = ts.rolling_mean(nm, "geo_id", "month_end", "value", 3, out="avg_3m", digits=4)
-    out = ts.rolling_mean(out, "geo_id", "month_end", "value", 12, out="avg_12m", digits=4)
-    return ts.year_to_date(out, "geo_id", "month_end", "value", out="ytd", digits=2)
+    # money stays DECIMAL inside the window so the means are exact (HALF_UP at 6 places)
+    nm = nation_monthly(spark, sf_dir).select("geo_id", "month_end", "value",
+                                              F.col("value").cast("decimal(18,2)").alias("v"))
+    out = ts.rolling_mean(nm, "geo_id", "month_end", "v", 3, out="avg_3m", digits=6)
+    out = ts.rolling_mean(out, "geo_id", "month_end", "v", 12, out="avg_12m", digits=6)
+    out = ts.year_to_date(out, "geo_id", "month_end", "v", out="ytd", digits=2)
+    return out.select("geo_id", "month_end", "value", *[F.col(c).cast("double").alias(c)
+                                                         for c in ("avg_3m", "avg_12m", "ytd")])
 
 
 @plan("rank_in_month", "N10", oracle=f"""

@@ -154,7 +154,7 @@ def parse_ragged(files: DataFrame, columns: Sequence[str], *, id_col: str, keep_
 def ragged_csv(spark: SparkSession, path: str, columns: Sequence[str], *, id_col: str,
                keep_prefix: str | None = None) -> DataFrame:
     """S10 over a directory of one-record CSV files (``wholetext``: one row per file)."""
-    files = spark.read.option("wholetext", True).text(path).select(
+    files = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("content"))
     return parse_ragged(files, columns, id_col=id_col, keep_prefix=keep_prefix)
 

@@ -18,7 +18,7 @@ def flatten_pages(pages: DataFrame, text_col: str, schema: T.StructType, *, arra
 
 def read_pages(spark, path: str, schema: T.StructType, **kw) -> DataFrame:
     """Pages stored one JSON document per file."""
-    pages = spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "page")
+    pages = spark.read.text(path, wholetext=True).withColumnRenamed("value", "page")
     return flatten_pages(pages, "page", schema, **kw)
 
 
