@@ -26,10 +26,15 @@ def strict_number_string(col) -> Column:
     return F.when(c.rlike(NUMBER_PATTERN), F.trim(c))
 
 
+def finite(d: Column) -> Column:
+    """NULL for ±Infinity (text like ``1e400`` overflows the double range)."""
+    return F.when(F.abs(d) < F.lit(float("inf")), d)
+
+
 def strict_double(col) -> Column:
-    """Text → DOUBLE; null for blank, malformed, NaN or out-of-range input."""
-    d = strict_number_string(col).try_cast("double")
-    return F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d)
+    """Text → DOUBLE; null for blank, malformed, NaN or out-of-range input (the pattern
+    already rejects NaN/Infinity spellings)."""
+    return finite(strict_number_string(col).try_cast("double"))
 
 
 def strict_long(col) -> Column:

@@ -15,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medalloy.functions.casts import cast_error, strict_double, strict_int, strict_long
+from medalloy.functions.casts import (cast_error, finite, strict_double, strict_int, strict_long,
+                                      strict_number_string)
 from medalloy.functions.dates import date_key, month_end_from_yyyymm, safe_date
 from medalloy.operators.sizing import broadcast_if_small
 
@@ -56,20 +57,54 @@ def typed_expr(raw: Column, kind: str) -> Column:
     raise ValueError(f"unknown kind {kind!r}")
 
 
+def _staged_numeric(kind: str, text: Column, parsed: Column) -> Column:
+    if kind == "long":
+        return F.round(parsed).try_cast("long")
+    if kind == "int":
+        return F.round(parsed).try_cast("int")
+    return parsed
+
+
 def type_columns(df: DataFrame, specs: Sequence[ColumnSpec], *, keep: Sequence[str] = (),
-                 errors_col: str = "cast_errors") -> DataFrame:
+                 errors_col: str = "cast_errors", as_array: bool = True) -> DataFrame:
     """Q1 — typed columns plus ``cast_errors``: names of columns whose reported value
-    (non-null, non-blank) failed to type; a key column fails on any null result."""
-    typed = [typed_expr(F.col(s.raw), s.kind).alias(s.name) for s in specs]
+    (non-null, non-blank) failed to type; a key column fails on any null result.
+
+    Staged projections so each pattern match / parse runs once per value, and no
+    higher-order function (which would drop the projection out of whole-stage codegen):
+    the error list is a ``concat_ws`` string, split into an array at the end.
+    """
+    n = len(specs)
+    raw = [F.col(s.raw).alias(f"_r{i}") for i, s in enumerate(specs)]
+    # 1) pattern match once: numeric text or NULL
+    s1 = df.select(*keep, *raw, *[
+        (strict_number_string(F.col(s.raw)) if s.kind in ("double", "long", "int") else F.lit(None).cast("string"))
+        .alias(f"_n{i}") for i, s in enumerate(specs)])
+    # 2) parse once
+    s2 = s1.select(*keep, *[f"_r{i}" for i in range(n)], *[
+        (finite(F.col(f"_n{i}").try_cast("double")) if s.kind in ("double", "long", "int")
+         else F.lit(None).cast("double")).alias(f"_p{i}") for i, s in enumerate(specs)])
+    # 3) final typed values
+    typed = []
+    for i, s in enumerate(specs):
+        if s.kind in ("double", "long", "int"):
+            typed.append(_staged_numeric(s.kind, F.col(f"_r{i}"), F.col(f"_p{i}")).alias(f"_t{i}"))
+        else:
+            typed.append(typed_expr(F.col(f"_r{i}"), s.kind).alias(f"_t{i}"))
+    s3 = s2.select(*keep, *[f"_r{i}" for i in range(n)], *typed)
+    # 4) errors from raw vs typed (references only)
     errs = []
-    for s, t in zip(specs, typed):
+    for i, s in enumerate(specs):
         if not s.checked:
             continue
-        tc = typed_expr(F.col(s.raw), s.kind)
-        bad = tc.isNull() if s.key else cast_error(F.col(s.raw), tc)
+        bad = F.col(f"_t{i}").isNull() if s.key else cast_error(F.col(f"_r{i}"), F.col(f"_t{i}"))
         errs.append(F.when(bad, F.lit(s.name)))
-    errors = F.array_compact(F.array(*errs)) if errs else F.array().cast("array<string>")
-    return df.select(*keep, *typed, errors.alias(errors_col))
+    err_text = F.concat_ws(",", *errs) if errs else F.lit("")
+    s4 = s3.select(*keep, *[F.col(f"_t{i}").alias(s.name) for i, s in enumerate(specs)], err_text.alias("_e"))
+    if not as_array:
+        return s4.withColumnRenamed("_e", errors_col)
+    arr = F.when(F.col("_e") == "", F.array().cast("array<string>")).otherwise(F.split(F.col("_e"), ","))
+    return s4.select(*keep, *[s.name for s in specs], arr.alias(errors_col))
 
 
 def sentinel_reason(date_raw: Column, value_raw: Column, *, date_name: str = "observation_date",
@@ -109,9 +144,16 @@ def natural_key(cols: Sequence[str], sep: str = "|") -> Column:
     return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
 
 
+def _keep_if(df: DataFrame, cond: Column) -> DataFrame:
+    """Rows where ``cond`` holds, as a one-element generator instead of a Filter: a Filter
+    would be pushed below the staged typing projections with every alias inlined, which
+    re-evaluates the whole pattern/parse tree per row; a Generate is not pushed down."""
+    return df.select("*", F.explode(F.when(cond, F.array(F.lit(True)))).alias("_keep")).drop("_keep")
+
+
 def split(staged: DataFrame, reason_col: str = "quarantine_reason") -> tuple[DataFrame, DataFrame]:
     """Good rows (no reason) and bad rows; good ∪ bad = input, by construction."""
-    return staged.where(F.col(reason_col).isNull()), staged.where(F.col(reason_col).isNotNull())
+    return (_keep_if(staged, F.col(reason_col).isNull()), _keep_if(staged, F.col(reason_col).isNotNull()))
 
 
 def quarantine_rows(bad: DataFrame, *, source_system: str, natural_key_cols: Sequence[str],

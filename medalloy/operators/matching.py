@@ -20,7 +20,10 @@ Only candidate pairs are scored, in Arrow batches.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +33,10 @@ from medalloy.operators.sizing import broadcast_if_small
 
 ACCEPT, REVIEW = 90.0, 80.0
 
+# Functions of this module run inside Python workers (Arrow batches); ship them by value so
+# executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def token_sort(col: Column) -> Column:
     """normalise, split on blanks, sort tokens, re-join."""
@@ -93,8 +100,11 @@ def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: s
     (code and score NULL): pairs under the threshold are never generated.
     """
     dice = review / 100.0
-    lft = left.select(F.col(left_key).alias("lk"), F.col(left_block).alias("blk"),
-                      normalise_name(F.col(left_name)).alias("nm"), token_sort(F.col(left_name)).alias("ts"))
+    rows = left.select(F.col(left_key).alias("lk"), F.col(left_block).alias("blk"),
+                       normalise_name(F.col(left_name)).alias("nm"))
+    # match distinct (block, name) values once; rows join back at the end
+    lft = (rows.select("blk", "nm").distinct()
+               .select(F.struct("blk", "nm").alias("lk"), "blk", "nm", token_sort(F.col("nm")).alias("ts")))
     rgt = right.select(F.col(right_key).alias("rk"), F.explode(F.array_distinct(right_blocks)).alias("blk"),
                        normalise_name(F.col(right_title)).alias("title_n"), token_sort(F.col(right_title)).alias("rts"),
                        (F.transform(F.col(right_names) if isinstance(right_names, str) else right_names, lambda x: normalise_name(x)) if right_names is not None
@@ -115,14 +125,18 @@ def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: s
     ls = _signatures(lft, "lk", "blk", "ts", order, dice)
     rs = _signatures(rgt, "rk", "blk", "rts", order, dice)
     pairs = ls.join(rs, ["blk", "tok"]).select("lk", "rk", "blk").distinct()
-    scored = (pairs.join(lft.select("lk", "blk", "ts"), ["lk", "blk"])
-                   .join(rgt.select("rk", "blk", "rts"), ["rk", "blk"])
-                   .select("lk", "rk", indel_ratio_udf(F.col("ts"), F.col("rts")).alias("score"))
+    named = (pairs.join(lft.select("lk", "blk", "ts"), ["lk", "blk"])
+                  .join(rgt.select("rk", "blk", "rts"), ["rk", "blk"]))
+    # score each distinct string pair once (names repeat across rows), then join back
+    ratios = (named.select("ts", "rts").distinct()
+                   .select("ts", "rts", indel_ratio_udf(F.col("ts"), F.col("rts")).alias("score"))
                    .where(F.col("score") >= review))
+    scored = named.join(ratios, ["ts", "rts"]).select("lk", "rk", "score")
     allc = eq.unionByName(pre).unionByName(scored)
     best = (allc.groupBy("lk").agg(F.max(F.struct(F.col("score"), (-F.col("rk")).alias("neg"))).alias("b"))
                 .select("lk", F.col("b.score").alias("match_score"), (-F.col("b.neg")).alias("rk")))
-    out = lft.select("lk").join(best, "lk", "left")
+    per_value = lft.select("lk", "blk", "nm").join(best, "lk", "left").drop("lk")
+    out = rows.join(per_value, ["blk", "nm"], "left")
     method = F.when(F.col("match_score") >= 100.0, "exact").when(F.col("match_score").isNotNull(), "fuzzy") \
               .otherwise("unmatched")
     return out.select(F.col("lk").alias(left_key), F.col("rk").alias(right_key),

@@ -8,12 +8,15 @@ are parsed per partition with Arrow batches.
 
 from __future__ import annotations
 
+import sys
+
 import csv
 import io
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,10 @@ from medalloy.session import ensure_checkpoint_dir
 
 BOM = "\ufeff"
 
+# Functions of this module run inside Python workers (Arrow batches); ship them by value so
+# executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint dir (never a machine-local one)."""
