@@ -220,3 +220,25 @@ def parse_inventory(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 def read_inventory(spark: SparkSession, path: str) -> DataFrame:
     return parse_inventory(spark.read.text(path))
+
+
+# --------------------------------------------------------------------------- S4, A1
+
+
+class ColumnContractError(ValueError):
+    pass
+
+
+def read_parquet_contract(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """S4 — Parquet scan whose column list must equal ``columns`` exactly (schema metadata
+    only; no data is read to check it)."""
+    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    if list(df.columns) != list(columns):
+        raise ColumnContractError(f"expected columns {list(columns)}, found {df.columns}")
+    return df
+
+
+def file_inventory(df: DataFrame) -> DataFrame:
+    """A1 — rows and distinct source files of a file-backed DataFrame, in one aggregate."""
+    return df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.count_distinct(F.col("_metadata.file_path")).alias("n_files"))
