@@ -98,3 +98,71 @@ def latest_hash(ledger: DataFrame, *, source_col: str = "source_url", sha_col: s
     """L6 — newest non-null hash of a succeeded landing per source (all sources at once)."""
     ok = ledger.where((F.col(status_col) == SUCCEEDED) & F.col(sha_col).isNotNull())
     return ok.groupBy(source_col).agg(F.max_by(sha_col, started_col).alias("last_sha256"))
+
+
+# --------------------------------------------------------------------------- recorder (L1–L3)
+
+
+class AuditLog:
+    """Append-only audit trail in a :class:`medalloy.store.TableStore`.
+
+    ``step(...)`` is a context manager that appends a ``running`` event on entry and a
+    ``succeeded`` / ``no_files`` / ``failed`` event (rows, duration, error) on exit; the
+    step's state is the latest event (:func:`current_state`). Writing an audit row never
+    fails the load: errors are returned in the result dict instead (L2/L3 contract).
+    """
+
+    STEP_SCHEMA = ("step_log_id string, run_id string, step_name string, status string, "
+                   "rows_read long, rows_written long, event_ts timestamp, error string")
+
+    def __init__(self, store, table: str = "pipeline_step_log"):
+        self.store = store
+        self.table = table
+
+    def _append(self, rows: list[tuple], schema: str, table: str) -> dict:
+        try:
+            df = self.store.spark.createDataFrame(rows, schema)
+            return {"ok": True, **self.store.append(table, df)}
+        except Exception as e:  # noqa: BLE001 - logging must not fail the load
+            return {"ok": False, "error": f"{type(e).__name__}: {e}"}
+
+    def event(self, step_log_id: str, run_id: str, step_name: str, status: str, *, rows_read=None,
+              rows_written=None, error: str | None = None) -> dict:
+        import datetime as _dt
+        ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        return self._append([(step_log_id, run_id, step_name, status, rows_read, rows_written, ts, error)],
+                            self.STEP_SCHEMA, self.table)
+
+    def step(self, step_log_id: str, run_id: str, step_name: str):
+        log = self
+
+        class _Step:
+            rows_read = None
+            rows_written = None
+            status = None
+
+            def no_files(self):
+                self.status = NO_FILES
+
+            def __enter__(self):
+                log.event(step_log_id, run_id, step_name, RUNNING)
+                return self
+
+            def __exit__(self, exc_type, exc, tb):
+                if exc is not None:
+                    log.event(step_log_id, run_id, step_name, FAILED, rows_read=self.rows_read,
+                              rows_written=self.rows_written, error=f"{exc_type.__name__}: {exc}")
+                    return False
+                log.event(step_log_id, run_id, step_name, self.status or SUCCEEDED,
+                          rows_read=self.rows_read, rows_written=self.rows_written)
+                return False
+
+        return _Step()
+
+    def state(self) -> DataFrame:
+        """Current state per step, with duration from its first event."""
+        ev = self.store.read(self.table)
+        cur = current_state(ev, "step_log_id", "event_ts", ["status"])
+        first = ev.groupBy("step_log_id").agg(F.min("event_ts").alias("started"))
+        return cur.join(first, "step_log_id").withColumn(
+            "duration_seconds", duration_seconds(F.col("started"), F.col("event_ts")))

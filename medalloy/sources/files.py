@@ -242,3 +242,26 @@ def file_inventory(df: DataFrame) -> DataFrame:
     """A1 — rows and distinct source files of a file-backed DataFrame, in one aggregate."""
     return df.agg(F.count(F.lit(1)).alias("rows"),
                   F.count_distinct(F.col("_metadata.file_path")).alias("n_files"))
+
+
+class HeaderContractError(ValueError):
+    pass
+
+
+def enforce_headers(report: DataFrame) -> str:
+    """S6 — ``'ok'``, or ``'no_files'`` when nothing matched the path; otherwise raise naming
+    every bad file (the report is one small row per file)."""
+    rows = report.select("file_path", "ok", "missing").collect()
+    if not rows:
+        return "no_files"
+    bad = [f"{r.file_path} (missing {list(r.missing)})" for r in rows if not r.ok]
+    if bad:
+        raise HeaderContractError("header contract failed: " + "; ".join(bad))
+    return "ok"
+
+
+def enforce_manifest(mapped: DataFrame, id_col: str = "series_id", path_col: str = "source_file_path") -> None:
+    """S7 — raise if any file is not in the manifest (lists the distinct unknown files)."""
+    unknown = [r[0] for r in mapped.where(F.col(id_col).isNull()).select(path_col).distinct().limit(100).collect()]
+    if unknown:
+        raise ValueError(f"files not in the manifest: {unknown}")

@@ -80,3 +80,33 @@ def test_inventory_and_acceptance(spark):
     r = df.select(fs.acceptance_reason(F.col("content"), F.length("content"), F.lit(None).cast("long"),
                                        F.lit("csv"), F.lit("a,b")).alias("r")).collect()
     assert [x.r for x in r] == ["empty", None, None, "header_mismatch"]
+
+
+def test_audit_log_steps(spark):
+    from medalloy.store import TableStore
+    st = TableStore(spark, tempfile.mkdtemp(prefix="audit-", dir="/tmp"))
+    log = au.AuditLog(st)
+    with log.step("s1", "r1", "load_a") as s:
+        s.rows_read, s.rows_written = 10, 9
+    try:
+        with log.step("s2", "r1", "load_b"):
+            raise RuntimeError("boom")
+    except RuntimeError:
+        pass
+    with log.step("s3", "r1", "load_c") as s:
+        s.no_files()
+    got = {r.step_log_id: (r.status, r.rows_written) for r in log.state().collect()}
+    assert got == {"s1": ("succeeded", 9), "s2": ("failed", None), "s3": ("no_files", None)}
+    bad = au.AuditLog(TableStore(spark, "/proc/definitely/not/writable"))
+    assert bad.event("x", "r", "n", "running")["ok"] is False
+
+
+def test_enforce_headers(spark):
+    import pytest
+    d = tempfile.mkdtemp(prefix="hdr2-", dir="/tmp")
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("x,y\n1,2\n")
+    assert fs.enforce_headers(fs.header_report(spark, d, ["x", "y"])) == "ok"
+    with pytest.raises(fs.HeaderContractError):
+        fs.enforce_headers(fs.header_report(spark, d, ["x", "z"]))
+    assert fs.enforce_headers(fs.header_report(spark, d, ["x", "y"]).limit(0)) == "no_files"
