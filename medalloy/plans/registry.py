@@ -31,6 +31,6 @@ def plan(name: str, ops: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every plan module so its plans register."""
     from medalloy.plans import (  # noqa: F401
-        audit_plans, catalog_plans, conform_plans, file_plans, gold_plans, match_plans, metric_plans, reshape_plans,
+        audit_plans, catalog_plans, conform_plans, file_plans, gold_plans, layer_plans, match_plans, metric_plans, reshape_plans,
         rollup_plans, timeseries_plans, upsert_plans,
     )

@@ -138,9 +138,11 @@ class TableStore:
         base = self.read(name) if self.exists(name) else None
         return self.write(name, df if base is None else base.unionByName(df, allowMissingColumns=True))
 
-    def upsert(self, name: str, source: DataFrame, keys: Sequence[str], **merge_kw) -> dict:
+    def upsert(self, name: str, source: DataFrame, keys: Sequence[str], *, resolve_duplicates: bool = False,
+               **merge_kw) -> dict:
         """W1–W6 — merge ``source`` into the current version; counts by change kind are observed
-        on the write; a batch with duplicate keys is refused before the commit (W6)."""
+        on the write; a batch with duplicate keys is refused before the commit (W6) unless
+        ``resolve_duplicates`` (an ordered load, W4: the greatest ``order`` row per key wins)."""
         target = self.read(name)
         merged = up.merge_upsert(target, source, keys, **merge_kw)
         metrics = {k: F.sum(F.when(F.col("_change") == k, 1).otherwise(0)) for k in
@@ -148,7 +150,7 @@ class TableStore:
         metrics["max_source_rows"] = F.max("_src_rows")
 
         def check(m):
-            if (m.get("max_source_rows") or 0) > 1:
+            if not resolve_duplicates and (m.get("max_source_rows") or 0) > 1:
                 raise DuplicateSourceKeys(f"[{name}] a key occurs {m['max_source_rows']} times in the source batch")
 
         return self.write(name, merged, metrics=metrics, check=check, columns=target.columns)
