@@ -1,13 +1,15 @@
 """Blocked best-match of entity names (J14), manual overrides (J15) and entity masters.
 
-Score of a (name, candidate) pair — the reference rule:
-  * 100 when the name equals one of the candidate's principal names,
-  * 96 when the candidate's title starts with the name,
-  * otherwise the token-sort Indel ratio ``100·2·LCS(a,b)/(|a|+|b|)`` of the two
-    normalised, token-sorted strings;
-≥ 90 accept, 80–89 accept with ``needs_review``, below 80 unmatched. The candidate's
-block set (e.g. its states) must contain the name's block; there is no cross-block
-fallback. Ties keep the smallest candidate code.
+Score of a (name, candidate) pair — the reference rule, the maximum of:
+  * the token-sort Indel ratio ``100·2·LCS(a,b)/(|a|+|b|)`` of the normalised, token-sorted
+    name and title,
+  * per principal name: 100 when equal, else the token-sort ratio against it,
+  * 96 when the title starts with the name;
+≥ 90 accept, 80–89 accept with ``needs_review``, below 80 unmatched (``needs_review`` set,
+code and score NULL). Reported scores are truncated to integers. The candidate's block set
+(e.g. its states) must contain the name's block; there is no cross-block fallback, and a
+row without a block gets no candidates (the reference compares such a row with every
+candidate, which is the all-pairs case avoided here). Ties keep the smallest code.
 
 No block is ever expanded into all pairs. Candidates come from three exact filters:
   1. equality of the name with a principal name (equi-join),
@@ -32,6 +34,8 @@ from medalloy.functions.text import normalise_name
 from medalloy.operators.sizing import broadcast_if_small
 
 ACCEPT, REVIEW = 90.0, 80.0
+# Fixed value: the method label of a blocked fuzzy match.
+FUZZY_METHOD = "city+state_fuzzy"
 
 # Functions of this module run inside Python workers (Arrow batches); ship them by value so
 # executors need not have the package installed.
@@ -119,14 +123,19 @@ def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: s
               .join(lft.select("lk", "blk", "nm").where(F.length("nm") > 0), ["blk", "nm"])
               .select("lk", "rk", F.lit(96.0).alias("score")))
     # 3) ratio candidates via prefix filtering on rare character tokens
+    # ratio targets: the whole title and every principal name (token-sorted)
+    targets = rgt.select("rk", "blk", "rts").unionByName(
+        rgt.select("rk", "blk", F.explode("names").alias("_pn")).select("rk", "blk", token_sort(F.col("_pn")).alias("rts"))
+    ).distinct()
     toks = (lft.select(F.explode(F.array_distinct(_char_tokens(F.col("ts")))).alias("tok"))
-            .unionByName(rgt.select(F.explode(F.array_distinct(_char_tokens(F.col("rts")))).alias("tok"))))
+            .unionByName(targets.select(F.explode(F.array_distinct(_char_tokens(F.col("rts")))).alias("tok"))))
     order = broadcast_if_small(toks.groupBy("tok").agg(F.count(F.lit(1)).alias("freq")))
     ls = _signatures(lft, "lk", "blk", "ts", order, dice)
-    rs = _signatures(rgt, "rk", "blk", "rts", order, dice)
-    pairs = ls.join(rs, ["blk", "tok"]).select("lk", "rk", "blk").distinct()
+    tg = targets.withColumn("tk", F.struct("rk", "rts"))
+    rs = _signatures(tg, "tk", "blk", "rts", order, dice)
+    pairs = ls.join(rs, ["blk", "tok"]).select("lk", "tk", "blk").distinct()
     named = (pairs.join(lft.select("lk", "blk", "ts"), ["lk", "blk"])
-                  .join(rgt.select("rk", "blk", "rts"), ["rk", "blk"]))
+                  .select("lk", F.col("tk.rk").alias("rk"), "ts", F.col("tk.rts").alias("rts")))
     # score each distinct string pair once (names repeat across rows), then join back
     ratios = (named.select("ts", "rts").distinct()
                    .select("ts", "rts", indel_ratio_udf(F.col("ts"), F.col("rts")).alias("score"))
@@ -137,11 +146,11 @@ def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: s
                 .select("lk", F.col("b.score").alias("match_score"), (-F.col("b.neg")).alias("rk")))
     per_value = lft.select("lk", "blk", "nm").join(best, "lk", "left").drop("lk")
     out = rows.join(per_value, ["blk", "nm"], "left")
-    method = F.when(F.col("match_score") >= 100.0, "exact").when(F.col("match_score").isNotNull(), "fuzzy") \
-              .otherwise("unmatched")
+    matched = F.col("match_score").isNotNull()
     return out.select(F.col("lk").alias(left_key), F.col("rk").alias(right_key),
-                      F.round("match_score", 2).alias("match_score"), method.alias("match_method"),
-                      (F.col("match_score") < accept).alias("needs_review"))
+                      F.floor("match_score").cast("int").alias("match_score"),
+                      F.when(matched, F.lit(FUZZY_METHOD)).otherwise(F.lit("unmatched")).alias("match_method"),
+                      (~matched | (F.col("match_score") < accept)).alias("needs_review"))
 
 
 def apply_overrides(matches: DataFrame, overrides: DataFrame, *, key: str, code: str) -> DataFrame:
@@ -152,7 +161,7 @@ def apply_overrides(matches: DataFrame, overrides: DataFrame, *, key: str, code:
     hit = F.col("_ov").isNotNull()
     return j.select(
         key, F.when(hit, F.col("_ov")).otherwise(F.col(code)).alias(code),
-        F.when(hit, F.lit(None).cast("double")).otherwise(F.col("match_score")).alias("match_score"),
+        F.col("match_score"),
         F.when(hit, "manual").otherwise(F.col("match_method")).alias("match_method"),
         F.when(hit, F.lit(False)).otherwise(F.col("needs_review")).alias("needs_review"))
 
@@ -179,8 +188,9 @@ def brute_force_best(left: pd.DataFrame, right: pd.DataFrame, normalise, accept=
             rts = " ".join(sorted(t for t in title.split(" ") if t))
             names = [normalise(x) for x in (rrow.get("names") or [])]
             s = indel_ratio(ts, rts)
-            if nm in names:
-                s = max(s, 100.0)
+            for pn in names:
+                pts = " ".join(sorted(t for t in pn.split(" ") if t))
+                s = max(s, 100.0 if nm == pn else indel_ratio(ts, pts))
             if nm and title.startswith(nm):
                 s = max(s, 96.0)
             cand = (s, -rrow["code"])
@@ -189,6 +199,6 @@ def brute_force_best(left: pd.DataFrame, right: pd.DataFrame, normalise, accept=
         if best is None or best[0] < review:
             out[lrow["key"]] = (None, None)
         else:
-            out[lrow["key"]] = (-best[1], round(best[0], 2))
+            out[lrow["key"]] = (-best[1], int(best[0]))
     return out
 
