@@ -109,13 +109,13 @@ def type_columns(df: DataFrame, specs: Sequence[ColumnSpec], *, keep: Sequence[s
 
 def sentinel_reason(date_raw: Column, value_raw: Column, *, date_name: str = "observation_date",
                     value_name: str = "value", missing: str = ".") -> Column:
-    """Q2 — ordered rejection of a series row: bad date, then the missing-value sentinel,
-    then a malformed number; NULL when the row is good."""
+    """Q2 — ordered rejection of a series row: bad date, then the missing-value sentinel
+    (exact text), then a reported (non-blank) value that is not a number; NULL when the row
+    is good. A blank value is "not reported", not an error."""
     d = safe_date(F.trim(date_raw), "yyyy-MM-dd")
-    v = strict_double(value_raw)
     return (F.when(d.isNull(), F.lit(f"cast_failed:{date_name}"))
-             .when(F.trim(value_raw) == F.lit(missing), F.lit("null_value"))
-             .when(v.isNull(), F.lit(f"cast_failed:{value_name}")))
+             .when(value_raw == F.lit(missing), F.lit("null_value"))
+             .when(cast_error(value_raw, strict_double(value_raw)), F.lit(f"cast_failed:{value_name}")))
 
 
 def resolve_key(df: DataFrame, dim: DataFrame, on: str | Sequence[str], key: str, *,

@@ -130,6 +130,7 @@ SELECT o_orderpriority AS series_id,
             ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS observation_date,
        CASE WHEN o_orderstatus = 'P' AND o_totalprice >= 1000 AND o_totalprice < 5000 THEN '.'
             WHEN o_orderstatus = 'F' AND o_totalprice < 2000 THEN 'n/a'
+            WHEN o_orderstatus = 'O' AND o_totalprice < 1500 THEN ''
             ELSE CAST(o_totalprice AS STRING) END AS value,
        o_orderkey
 FROM orders
@@ -140,8 +141,8 @@ FROM orders
 WITH raw AS ({SERIES_RAW_SQL.replace('AS STRING', 'AS VARCHAR')})
 SELECT o_orderkey, series_id,
        CASE WHEN TRY_CAST(trim(observation_date) AS DATE) IS NULL THEN 'cast_failed:observation_date'
-            WHEN trim(value) = '.' THEN 'null_value'
-            WHEN {_d_double('value')} IS NULL THEN 'cast_failed:value' END AS reject_reason,
+            WHEN value = '.' THEN 'null_value'
+            WHEN value IS NOT NULL AND trim(value) <> '' AND {_d_double('value')} IS NULL THEN 'cast_failed:value' END AS reject_reason,
        TRY_CAST(trim(observation_date) AS DATE) AS observation_date,
        {_d_double('value')} AS value
 FROM raw
