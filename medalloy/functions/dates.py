@@ -49,3 +49,19 @@ def month_ordinal(d) -> Column:
 def quarter_ordinal(d) -> Column:
     d = _c(d)
     return (F.year(d) * 4 + F.quarter(d)).cast("int")
+
+
+def month_end_of(year, month) -> Column:
+    """(year, month 1..12) → month-end DATE; other months → null."""
+    y, m = _c(year).cast("int"), _c(month).cast("int")
+    return F.last_day(F.when(m.between(1, 12) & y.between(1, 9999),
+                             safe_date(F.format_string("%04d-%02d-01", y, m), "yyyy-MM-dd")))
+
+
+def period_date(frequency, year, period) -> Column:
+    """Price-index period → period-end DATE, by frequency (T6): 'quarterly' uses periods 1–4,
+    'monthly' 1–12; an unknown frequency or an out-of-range period gives null (so a monthly
+    period 12 can never reach the quarterly formula)."""
+    f = F.lower(F.trim(_c(frequency)))
+    return (F.when(f == "quarterly", quarter_end(year, period))
+             .when(f == "monthly", month_end_of(year, period)))

@@ -208,3 +208,51 @@ def rollup_then_resolve(spark, sf_dir):
     res = cf.resolve_key(rolled, dim, "c_nationkey", "region_key")
     return res.select("c_nationkey", "customers", "acctbal", "region_key",
                       F.when(F.col("region_key").isNull(), "unmatched_geography").alias("quarantine_reason"))
+
+
+@plan("period_key", "T6 P3 Q3", oracle=r"""
+WITH raw AS (
+  SELECT o_orderkey,
+         CASE o_orderstatus WHEN 'F' THEN 'quarterly' WHEN 'O' THEN 'monthly' WHEN 'P' THEN 'Quarterly' END AS frequency,
+         year(o_orderdate) AS yr,
+         CASE WHEN o_orderstatus = 'F' THEN quarter(o_orderdate) ELSE month(o_orderdate) END AS period,
+         CASE WHEN o_orderpriority = '5-LOW' THEN '-'
+              WHEN o_orderpriority = '1-URGENT' THEN '( ' || CAST(o_totalprice AS VARCHAR) || ')'
+              ELSE CAST(o_totalprice AS VARCHAR) END AS index_raw
+  FROM orders),
+p AS (
+  SELECT *, CASE lower(trim(frequency))
+              WHEN 'quarterly' THEN CASE WHEN period BETWEEN 1 AND 4 THEN last_day(make_date(CAST(yr AS INTEGER), CAST(period * 3 AS INTEGER), 1)) END
+              WHEN 'monthly' THEN CASE WHEN period BETWEEN 1 AND 12 THEN last_day(make_date(CAST(yr AS INTEGER), CAST(period AS INTEGER), 1)) END
+            END AS period_end,
+         CASE WHEN trim(index_raw) = '-' THEN NULL ELSE regexp_replace(trim(index_raw), '^\(\s*(.*?)\s*\)$', '\1') END AS idx_txt
+  FROM raw)
+SELECT o_orderkey, frequency, period_end,
+       CAST(year(period_end) * 10000 + month(period_end) * 100 + day(period_end) AS INTEGER) AS date_key,
+       CASE WHEN regexp_matches(idx_txt, '^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$')
+            THEN TRY_CAST(trim(idx_txt) AS DOUBLE) END AS index_value,
+       CASE WHEN period_end IS NULL THEN 'cast_failed:period' END AS reject_reason
+FROM p
+""")
+def period_key(spark, sf_dir):
+    """Index rows keyed by (frequency, year, period): finished orders are quarterly, open ones
+    monthly, pending ones claim 'Quarterly' but carry month numbers — periods above 4 are
+    rejected instead of producing a wrong quarter. Index text uses workbook sentinels
+    ('-' = missing, '( 2.56)' = 2.56)."""
+    from medalloy.functions.dates import period_date
+    from medalloy.functions.text import sentinel_number
+    o = read(spark, sf_dir, "orders")
+    freq = (F.when(F.col("o_orderstatus") == "F", "quarterly").when(F.col("o_orderstatus") == "O", "monthly")
+             .when(F.col("o_orderstatus") == "P", "Quarterly"))
+    period = F.when(F.col("o_orderstatus") == "F", F.quarter("o_orderdate")).otherwise(F.month("o_orderdate"))
+    raw = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("-"))
+            .when(F.col("o_orderpriority") == "1-URGENT",
+                  F.concat(F.lit("( "), F.col("o_totalprice").cast("string"), F.lit(")")))
+            .otherwise(F.col("o_totalprice").cast("string")))
+    staged = o.select("o_orderkey", freq.alias("frequency"), F.year("o_orderdate").alias("yr"),
+                      period.alias("period"), raw.alias("index_raw"))
+    pe = period_date(F.col("frequency"), F.col("yr"), F.col("period"))
+    out = staged.select("o_orderkey", "frequency", pe.alias("period_end"),
+                        sentinel_number(F.col("index_raw")).alias("index_value"))
+    return out.select("o_orderkey", "frequency", "period_end", date_key("period_end").alias("date_key"), "index_value",
+                      F.when(F.col("period_end").isNull(), "cast_failed:period").alias("reject_reason"))
