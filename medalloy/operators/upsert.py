@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 INSERT, UPDATE, UNCHANGED, KEPT = "insert", "update", "unchanged", "kept"
@@ -100,21 +100,37 @@ def prioritise(frames: Sequence[DataFrame], priority_col: str = "_priority") ->
     return out
 
 
+def dense_positions(df: DataFrame, order: Sequence[str], out: str = "_pos") -> DataFrame:
+    """1-based position of each row in the total order of ``order`` (distinct values), fully
+    distributed and JVM-side: range-partition and sort by ``order``, take each row's index
+    inside its partition from ``monotonically_increasing_id`` (partition id in the high
+    bits, row index in the low 33), and add the row counts of all earlier partitions (a
+    table with one row per partition). The position is the row's global sorted rank, so it
+    does not depend on where the range boundaries fall."""
+    n = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+           .withColumn("_pid", F.spark_partition_id())
+           .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
+    return (s.join(F.broadcast(offsets), "_pid")  # one row per partition
+             .withColumn(out, F.col("_off") + F.col("_local") + 1)
+             .drop("_pid", "_local", "_off"))
+
+
 def assign_surrogates(target: DataFrame, source: DataFrame, natural_keys: str | Sequence[str],
                       key_col: str) -> DataFrame:
     """W7 — keep existing surrogate keys; give new natural keys ``max(key) + rank`` in
-    natural-key order. Ranks come from a distributed sort + ``zipWithIndex`` (per-partition
-    counts and offsets), never a single-partition window, and are deterministic for a
-    given input (unlike ``monotonically_increasing_id``)."""
+    natural-key order. Ranks come from :func:`dense_positions` (distributed sort, per-partition
+    offsets), never a single-partition window, and are deterministic for a given input
+    (unlike ``monotonically_increasing_id`` alone)."""
     natural_keys = _list(natural_keys)
-    spark = source.sparkSession
     nk = source.select(*natural_keys).distinct()
     existing = target.select(*natural_keys, key_col)
-    new = nk.join(existing.select(*natural_keys), natural_keys, "left_anti").orderBy(*natural_keys)
+    new = nk.join(existing.select(*natural_keys), natural_keys, "left_anti")
     base = target.agg(F.coalesce(F.max(key_col), F.lit(0)).cast("long").alias("b"))
-    schema = new.schema.add("_rank", "long")
-    ranked = spark.createDataFrame(new.rdd.zipWithIndex().map(lambda ri: (*ri[0], ri[1] + 1)), schema)
-    fresh = ranked.select(*natural_keys, (F.col("_rank") + base.scalar()).alias(key_col))
+    ranked = dense_positions(new, natural_keys, "_rank")
+    fresh = ranked.select(*natural_keys, (F.col("_rank") + base.scalar()).cast("long").alias(key_col))
     return existing.unionByName(fresh)
 
 

@@ -100,3 +100,13 @@ def test_incremental_stream(spark):
         f.write("k,v\n2,bb\n3,c\n")
     upsert_new_files(spark, land, ["k", "v"], st, "bronze", ["k"], ck, transform=lambda b: b.select("k", "v"))
     assert sorted(tuple(r) for r in st.read("bronze").collect()) == [("1", "a"), ("2", "bb"), ("3", "c")]
+
+
+def test_dense_positions_match_sorted_rank(spark):
+    import random
+    rnd = random.Random(3)
+    keys = rnd.sample(range(1_000_000), 5000)
+    df = spark.createDataFrame([(k, f"n{k % 7}") for k in keys], "k long, g string").repartition(13)
+    got = {r.k: r._pos for r in up.dense_positions(df, ["k"]).collect()}
+    want = {k: i + 1 for i, k in enumerate(sorted(keys))}
+    assert got == want
