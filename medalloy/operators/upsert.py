@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from medalloy.session import ensure_checkpoint_dir
+
 INSERT, UPDATE, UNCHANGED, KEPT = "insert", "update", "unchanged", "kept"
 
 
@@ -106,11 +108,18 @@ def dense_positions(df: DataFrame, order: Sequence[str], out: str = "_pos") -> D
     inside its partition from ``monotonically_increasing_id`` (partition id in the high
     bits, row index in the low 33), and add the row counts of all earlier partitions (a
     table with one row per partition). The position is the row's global sorted rank, so it
-    does not depend on where the range boundaries fall."""
+    does not depend on where the range boundaries fall.
+
+    The partitioned frame is materialised once with a reliable ``checkpoint()`` (shared
+    checkpoint dir) so the offsets and the rows see the same partitioning — two evaluations
+    could otherwise sample different range boundaries. This runs one job (a load step).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
     n = max(1, df.sparkSession.sparkContext.defaultParallelism)
     s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
            .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
+           .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33))
+           .checkpoint(eager=True))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     return (s.join(F.broadcast(offsets), "_pid")  # one row per partition
