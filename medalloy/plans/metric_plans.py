@@ -151,7 +151,7 @@ def spread(spark, sf_dir):
 
 
 @plan("heat_band", "M11 P9", oracle="""
-SELECT o_custkey, count(*) AS active, sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS pending,
+SELECT o_custkey, count(*) AS active, CAST(sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS BIGINT) AS pending,
        round(sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) / count(*), 4) AS pending_ratio,
        CASE WHEN sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) / count(*) > 0.6 THEN 'hot'
             WHEN sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) / count(*) < 0.2 THEN 'cold' ELSE 'neutral' END AS heat

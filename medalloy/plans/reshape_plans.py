@@ -155,16 +155,16 @@ WITH c AS (SELECT c.c_custkey, c.c_acctbal, n.n_nationkey, n.n_name, r.r_regionk
                   CAST(c.c_custkey % 100 AS DOUBLE) AS w
            FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
 SELECT 'nation' AS geo_level, CAST(n_nationkey AS VARCHAR) AS geo_id, n_name AS geo_name, count(*) AS n_members,
-       round(sum(CAST(c_acctbal AS DECIMAL(18,2))), 2) AS acctbal,
+       CAST(round(sum(CAST(c_acctbal AS DECIMAL(18,2))), 2) AS DOUBLE) AS acctbal,
        round(sum(c_acctbal * w) / sum(CASE WHEN c_acctbal IS NOT NULL THEN w END), 2) AS acctbal_wmean
 FROM c GROUP BY n_nationkey, n_name
 UNION ALL
 SELECT 'region', CAST(r_regionkey AS VARCHAR), r_name, count(*),
-       round(sum(CAST(c_acctbal AS DECIMAL(18,2))), 2),
+       CAST(round(sum(CAST(c_acctbal AS DECIMAL(18,2))), 2) AS DOUBLE),
        round(sum(c_acctbal * w) / sum(CASE WHEN c_acctbal IS NOT NULL THEN w END), 2)
 FROM c GROUP BY r_regionkey, r_name
 UNION ALL
-SELECT 'all', NULL, NULL, count(*), round(sum(CAST(c_acctbal AS DECIMAL(18,2))), 2),
+SELECT 'all', NULL, NULL, count(*), CAST(round(sum(CAST(c_acctbal AS DECIMAL(18,2))), 2) AS DOUBLE),
        round(sum(c_acctbal * w) / sum(CASE WHEN c_acctbal IS NOT NULL THEN w END), 2) FROM c
 """)
 def level_stack(spark, sf_dir):
@@ -180,4 +180,5 @@ def level_stack(spark, sf_dir):
     out = ru.level_stack(j, [("nation", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name"),
                              ("all", "all_id", None)],
                          sums={"acctbal": "acct"}, weighted={"acctbal_wmean": "c_acctbal"}, weight="w")
-    return out.withColumn("geo_id", F.when(F.col("geo_level") == "all", None).otherwise(F.col("geo_id")))
+    return (out.withColumn("geo_id", F.when(F.col("geo_level") == "all", None).otherwise(F.col("geo_id")))
+               .withColumn("acctbal", F.col("acctbal").cast("double")))

@@ -105,7 +105,7 @@ def rolling_3_12(spark, sf_dir):
 @plan("rank_in_month", "N10", oracle=f"""
 WITH {_D_NM}
 SELECT geo_id, month_end, value,
-       rank() OVER w AS rank, dense_rank() OVER w AS dense_rank, round(percent_rank() OVER w, 6) AS pct_rank
+       CAST(rank() OVER w AS INTEGER) AS rank, CAST(dense_rank() OVER w AS INTEGER) AS dense_rank, round(percent_rank() OVER w, 6) AS pct_rank
 FROM nm WINDOW w AS (PARTITION BY month_end ORDER BY value DESC NULLS LAST)
 """)
 def rank_in_month(spark, sf_dir):
