@@ -36,3 +36,16 @@ def sentinel_number(col) -> Column:
         F.regexp_replace(s, r"^\(\s*(.*?)\s*\)$", "$1")
     )
     return strict_double(s)
+
+
+# Price-index geography level → key kind.
+LEVEL_KINDS = {"MSA": "cbsa", "State": "state", "USA or Census Division": "division", "Puerto Rico": "territory"}
+
+
+def geo_key(level, place_id) -> Column:
+    """Tagged-union geography key: struct(kind, id); unknown level → NULL kind."""
+    lv = _c(level)
+    kind = F.lit(None).cast("string")
+    for k, v in reversed(list(LEVEL_KINDS.items())):
+        kind = F.when(lv == F.lit(k), F.lit(v)).otherwise(kind)
+    return F.struct(kind.alias("kind"), F.trim(_c(place_id)).alias("id"))

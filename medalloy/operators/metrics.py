@@ -34,6 +34,11 @@ def real_value(nominal, index, base_index, digits: int | None = 2) -> Column:
     return safe_ratio(_c(nominal) * _c(base_index), _c(index), digits=digits)
 
 
+def affordability(value, national_rate) -> Column:
+    """M6 — metro value × the national rate on the same date (NULL where the rate is absent)."""
+    return _c(value) * _c(national_rate)
+
+
 def rebase(df: DataFrame, keys: Sequence[str], order: str, value: str, *, ref_filter: Column,
            out: str = "rebased", digits: int | None = 2) -> DataFrame:
     """M7 — ``100·x / x_ref`` per entity, x_ref = the entity's value in the reference period."""

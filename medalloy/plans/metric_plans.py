@@ -56,7 +56,8 @@ WITH {_D_FEEDS},
 nat AS (SELECT last_day(CAST(o_orderdate AS DATE)) AS month_end, count(*) AS idx FROM orders GROUP BY 1),
 base AS (SELECT idx AS base_idx FROM nat WHERE month_end = (SELECT min(month_end) FROM nat))
 SELECT nm.geo_id, nm.month_end, nm.value, nat.idx AS national_index,
-       CASE WHEN nat.idx IS NOT NULL AND nat.idx <> 0 THEN nm.value * base.base_idx / nat.idx END AS real_value
+       CASE WHEN nat.idx IS NOT NULL AND nat.idx <> 0 THEN nm.value * base.base_idx / nat.idx END AS real_value,
+       nm.value * nat.idx AS affordability_proxy
 FROM nm LEFT JOIN nat ON nm.month_end = nat.month_end, base
 """)
 def real_value(spark, sf_dir):
@@ -68,7 +69,8 @@ def real_value(spark, sf_dir):
     base = nat.agg(F.min_by("national_index", "month_end")).scalar()
     j = nm.join(broadcast_if_small(nat), "month_end", "left")
     return j.select("geo_id", "month_end", "value", "national_index",
-                    mx.real_value(F.col("value"), F.col("national_index"), base, digits=None).alias("real_value"))
+                    mx.real_value(F.col("value"), F.col("national_index"), base, digits=None).alias("real_value"),
+                    mx.affordability(F.col("value"), F.col("national_index")).alias("affordability_proxy"))
 
 
 @plan("rebase", "M7", oracle="""

@@ -45,3 +45,15 @@ def test_hash_deterministic(spark, vals):
     a = df.select(row_hash(["x", "y", "z"])).first()[0]
     b = df.select(row_hash(["x", "y", "z"])).first()[0]
     assert a == b and len(a) == 32
+
+
+def test_geo_key_and_period_date(spark):
+    from medalloy.functions.dates import period_date
+    from medalloy.functions.text import geo_key
+    df = spark.createDataFrame([("MSA", " 10180 ", "quarterly", 2024, 4), ("State", "TX", "monthly", 2024, 12),
+                                ("Other", "x", "quarterly", 2024, 12), ("MSA", "1", None, 2024, 1)],
+                               "level string, pid string, f string, y int, p int")
+    got = [(r.k.kind, r.k.id, r.d) for r in df.select(geo_key("level", "pid").alias("k"),
+                                                      period_date("f", "y", "p").alias("d")).collect()]
+    assert got == [("cbsa", "10180", dt.date(2024, 12, 31)), ("state", "TX", dt.date(2024, 12, 31)),
+                   (None, "x", None), ("cbsa", "1", None)]
