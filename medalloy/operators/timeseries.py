@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medalloy.functions.dates import date_key, month_ordinal, quarter_ordinal
+from medalloy.functions.dates import month_ordinal, quarter_ordinal
 
 
 def _cols(xs) -> list[str]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from medalloy.functions.dates import month_ordinal
 from medalloy.operators import metrics as mx
 from medalloy.operators import timeseries as ts
 from medalloy.operators.sizing import broadcast_if_small
