@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medalloy.operators.sizing import broadcast_if_small
+
 
 def _cell(v, cell: float):
     return F.floor(v / F.lit(cell)).cast("long")
@@ -42,13 +44,15 @@ def within(points: DataFrame, polygons: DataFrame, *, cell: float, point_id: str
                 .select("*", F.explode(F.sequence(_cell(F.col("miny"), cell), _cell(F.col("maxy"), cell))).alias("cy"))
     pts = points.select(F.col(point_id).alias("pid"), F.col(x).alias("px"), F.col(y).alias("py")) \
                 .withColumn("cx", _cell(F.col("px"), cell)).withColumn("cy", _cell(F.col("py"), cell))
-    cand = (pts.join(cells, ["cx", "cy"])
+    # polygon cells and edge rows are bounded by the polygons' geometry, not by the number of
+    # points: broadcast them (size-checked) so points never shuffle by cell (no hot cell task)
+    cand = (pts.join(broadcast_if_small(cells), ["cx", "cy"])
                .where((F.col("px") >= F.col("minx")) & (F.col("px") <= F.col("maxx")) &
                       (F.col("py") >= F.col("miny")) & (F.col("py") <= F.col("maxy")))
                .select("pid", "px", "py", polygon_id, "cy"))
     erows = edges.select("*", F.explode(F.sequence(_cell(F.least("y1", "y2"), cell),
                                                    _cell(F.greatest("y1", "y2"), cell))).alias("cy"))
-    j = cand.join(erows, [polygon_id, "cy"])
+    j = cand.join(broadcast_if_small(erows), [polygon_id, "cy"])
     straddle = (F.col("y1") > F.col("py")) != (F.col("y2") > F.col("py"))
     xcross = F.col("x1") + (F.col("py") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
     hits = j.where(straddle & (F.col("px") < xcross))

@@ -17,11 +17,15 @@ from medalloy.plans.tables import nation_monthly, read
 def _feeds(spark, sf_dir):
     nm = nation_monthly(spark, sf_dir).select("geo_id", "month_end", "value")
     li = read(spark, sf_dir, "lineitem")
-    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    rent = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
-              .groupBy(F.col("c_nationkey").alias("geo_id"), F.last_day(F.to_date("l_shipdate")).alias("month_end"))
-              .agg((F.sum(F.col("l_extendedprice").cast("decimal(18,2)")) / 100).cast("double").alias("rent")))
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    # pre-aggregate at each step (order × month → customer × month → nation × month): exact decimal sums
+    li_m = li.groupBy("l_orderkey", F.last_day(F.to_date("l_shipdate")).alias("month_end")).agg(
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("s"))
+    cust_m = li_m.join(o, "l_orderkey").groupBy("o_custkey", "month_end").agg(F.sum("s").alias("s"))
+    rent = (cust_m.join(c, "o_custkey")
+                  .groupBy(F.col("c_nationkey").alias("geo_id"), "month_end")
+                  .agg((F.sum("s") / 100).cast("double").alias("rent")))
     return nm.join(rent, ["geo_id", "month_end"], "full_outer")
 
 

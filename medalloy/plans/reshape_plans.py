@@ -11,7 +11,7 @@ from medalloy.operators import reshape as rs
 from medalloy.operators import rollup as ru
 from medalloy.operators import timeseries as ts
 from medalloy.plans.registry import plan
-from medalloy.plans.tables import SERIES, read
+from medalloy.plans.tables import SERIES, customer_period, read
 
 
 def _month_labels(lo: dt.date, hi: dt.date) -> list[str]:
@@ -85,10 +85,10 @@ def unpivot_quarter(spark, sf_dir):
     """Nation × quarter panel ('YYYY-Qn' headers; quarters present in the data)."""
     o = read(spark, sf_dir, "orders")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = o.join(c, o.o_custkey == c.c_custkey)
     labels = sorted(r[0] for r in o.select(_quarter_label(F.to_date("o_orderdate"))).distinct().collect())
-    staged = j.select(F.col("c_nationkey").alias("nation_id"), _quarter_label(F.to_date("o_orderdate")).alias("label"),
-                      F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    cq = customer_period(spark, sf_dir, "quarter")  # pre-aggregate before the dimension join
+    staged = cq.join(c, "c_custkey").select(F.col("c_nationkey").alias("nation_id"),
+                                            _quarter_label(F.col("p_start")).alias("label"), "v")
     return rs.unpivot(_wide(staged, ["nation_id"], "label", labels, "v"))
 
 

@@ -13,7 +13,7 @@ from medalloy.operators import checks as ck
 from medalloy.operators import rollup as ru
 from medalloy.operators.sizing import broadcast_if_small
 from medalloy.plans.registry import plan
-from medalloy.plans.tables import metro_monthly, read
+from medalloy.plans.tables import customer_period, read
 
 
 def units(spark, sf_dir):
@@ -139,12 +139,14 @@ def outer_feeds(spark, sf_dir):
     instead of two full outer joins, same result as FULL JOIN ... USING."""
     o = read(spark, sf_dir, "orders")
     li = read(spark, sf_dir, "lineitem")
-    f1 = metro_monthly(spark, sf_dir)
     f1 = (o.groupBy(F.col("o_custkey").alias("geo_id"), F.last_day(F.to_date("o_orderdate")).alias("month_end"))
            .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("order_value")))
-    f2 = (li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey)
-            .groupBy(F.col("o_custkey").alias("geo_id"), F.last_day(F.to_date("l_shipdate")).alias("month_end"))
-            .agg(F.sum("l_quantity").cast("double").alias("shipped_qty")))
+    # lineitem pre-aggregated per (order, ship month) before the join to orders
+    li_m = li.groupBy("l_orderkey", F.last_day(F.to_date("l_shipdate")).alias("month_end")).agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("q"))
+    f2 = (li_m.join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+              .groupBy(F.col("o_custkey").alias("geo_id"), "month_end")
+              .agg(F.sum("q").cast("double").alias("shipped_qty")))
     f3 = (o.where(F.col("o_orderstatus") == "O")
            .groupBy(F.col("o_custkey").alias("geo_id"), F.last_day(F.to_date("o_orderdate")).alias("month_end"))
            .agg(F.count(F.lit(1)).alias("open_orders")))
@@ -251,11 +253,11 @@ FROM q, (VALUES (1), (2), (3)) t(k)
 """)
 def month_from_quarter(spark, sf_dir):
     """Quarterly → monthly fill: each quarter's value applies to its three months."""
-    o = read(spark, sf_dir, "orders")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    q = (o.join(c, o.o_custkey == c.c_custkey)
-          .groupBy(F.col("c_nationkey").alias("geo_id"), F.trunc(F.to_date("o_orderdate"), "quarter").alias("q_start"))
-          .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("value")))
+    cq = customer_period(spark, sf_dir, "quarter")  # pre-aggregate before the dimension join
+    q = (cq.join(c, "c_custkey")
+           .groupBy(F.col("c_nationkey").alias("geo_id"), F.col("p_start").alias("q_start"))
+           .agg(F.sum("v").cast("double").alias("value")))
     months = F.sequence(F.col("q_start"), F.add_months("q_start", 2), F.expr("INTERVAL 1 MONTH"))
     return (q.select("geo_id", F.explode(months).alias("m"), "value")
              .select("geo_id", F.last_day("m").alias("month_end"), "value"))
