@@ -43,13 +43,6 @@ def macro_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def metro_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly metro fact analogue: per customer × month-end, order count and value."""
-    o = read(spark, sf_dir, "orders")
-    return (o.groupBy(F.col("o_custkey").alias("geo_id"), F.last_day(F.to_date("o_orderdate")).alias("month_end"))
-             .agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("value")))
-
-
 def customer_period(spark: SparkSession, sf_dir: str, period: str = "month") -> DataFrame:
     """Orders pre-aggregated to (customer, period start): exact DECIMAL sum and count.
 
