@@ -57,6 +57,20 @@ def unpivot_month(spark, sf_dir):
     return rs.unpivot(wide)
 
 
+@plan("read_and_unpivot", "S1 R1 R2 R3 R4 W9", oracle=_D_MONTH_GRID + """
+SELECT CAST(ids.region_id AS VARCHAR) AS region_id, m.period_date, agg.value
+FROM ids CROSS JOIN m LEFT JOIN agg ON agg.region_id = ids.region_id AND agg.period_date = m.period_date
+""")
+def read_and_unpivot(spark, sf_dir):
+    """The panel written as a wide CSV (one column per month, empty cells for no orders),
+    read back all-string, validated and unpivoted."""
+    from medalloy.sources.files import staging_path
+    wide, _ = wide_monthly_panel(spark, sf_dir)
+    path = staging_path(spark, "wide_panel")
+    wide.write.mode("overwrite").option("header", True).csv(path)
+    return rs.read_and_unpivot(spark, path)
+
+
 @plan("unpivot_conservation", "R5 Q6", oracle=_D_MONTH_GRID + """
 SELECT (SELECT count(*) FROM ids) AS wide_rows,
        (SELECT count(*) FROM ids) * (SELECT count(*) FROM m) AS long_rows,
