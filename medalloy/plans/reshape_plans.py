@@ -165,9 +165,11 @@ def pivot_priority(spark, sf_dir):
 
 
 @plan("level_stack", "R7 A14 A15 A3", oracle="""
-WITH c AS (SELECT c.c_custkey, c.c_acctbal, n.n_nationkey, n.n_name, r.r_regionkey, r.r_name,
-                  CAST(c.c_custkey % 100 AS DOUBLE) AS w
-           FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
+WITH oc AS (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey),
+c AS (SELECT c.c_custkey, c.c_acctbal, n.n_nationkey, n.n_name, r.r_regionkey, r.r_name,
+             CAST(coalesce(oc.n_orders, 0) AS DOUBLE) AS w
+      FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+      LEFT JOIN oc ON oc.o_custkey = c.c_custkey)
 SELECT 'nation' AS geo_level, CAST(n_nationkey AS VARCHAR) AS geo_id, n_name AS geo_name, count(*) AS n_members,
        CAST(round(sum(CAST(c_acctbal AS DECIMAL(18,2))), 2) AS DOUBLE) AS acctbal,
        round(sum(c_acctbal * w) / sum(CASE WHEN c_acctbal IS NOT NULL THEN w END), 2) AS acctbal_wmean
@@ -182,14 +184,21 @@ SELECT 'all', NULL, NULL, count(*), CAST(round(sum(CAST(c_acctbal AS DECIMAL(18,
        round(sum(c_acctbal * w) / sum(CASE WHEN c_acctbal IS NOT NULL THEN w END), 2) FROM c
 """)
 def level_stack(spark, sf_dir):
-    """Customers rolled to nation, region and total in one GROUPING SETS pass."""
+    """Customers rolled to nation, region and total in one GROUPING SETS pass.
+
+    The weight is the customer's order count (the population analogue), pre-aggregated on
+    the order side so the join to customers is one row per key on both sides.
+    """
     c = read(spark, sf_dir, "customer")
+    oc = read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders"))
     n = read(spark, sf_dir, "nation")
     r = read(spark, sf_dir, "region")
     j = (c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+          .join(oc, "c_custkey", "left")
           .select("c_custkey", F.col("c_acctbal").cast("decimal(18,2)").alias("acct"), F.col("c_acctbal"),
                   "n_nationkey", "n_name", "r_regionkey", "r_name",
-                  (F.col("c_custkey") % 100).cast("double").alias("w"),
+                  F.coalesce(F.col("n_orders"), F.lit(0)).cast("double").alias("w"),
                   F.lit("all").alias("all_id")))
     out = ru.level_stack(j, [("nation", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name"),
                              ("all", "all_id", None)],
