@@ -60,23 +60,40 @@ def lcs_len(a: str, b: str) -> int:
     return prev[-1]
 
 
-def indel_ratio(a: str, b: str) -> float:
+def lcs_len_bits(a: str, b: str) -> int:
+    """LCS length by the bit-parallel recurrence (Hyyrö 2004): one word-parallel step per
+    character of ``b``; equal to ``lcs_len`` (checked by a property test)."""
+    if not a or not b:
+        return 0
+    masks: dict[str, int] = {}
+    for i, c in enumerate(a):
+        masks[c] = masks.get(c, 0) | (1 << i)
+    full = (1 << len(a)) - 1
+    v = full
+    for c in b:
+        u = v & masks.get(c, 0)
+        v = ((v + u) | (v - u)) & full
+    return len(a) - v.bit_count()
+
+
+def indel_ratio(a: str, b: str, lcs=lcs_len) -> float:
     if not a and not b:
         return 100.0
-    return 100.0 * 2 * lcs_len(a, b) / (len(a) + len(b))
+    return 100.0 * 2 * lcs(a, b) / (len(a) + len(b))
 
 
 @F.pandas_udf(T.DoubleType())
 def indel_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else indel_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
+    return pd.Series([None if x is None or y is None else indel_ratio(x, y, lcs_len_bits) for x, y in zip(a, b)],
+                     dtype="float64")
 
 
 def _char_tokens(s: Column) -> Column:
     """'aba' → ['a#0', 'b#0', 'a#1']: characters tagged with their occurrence number, so the
     token multiset intersection equals the character multiset intersection."""
-    chars = F.filter(F.split(s, ""), lambda c: c != "")
-    return F.transform(chars, lambda c, i: F.concat(c, F.lit("#"),
-                                                    F.size(F.filter(F.slice(chars, 1, i), lambda x: x == c)).cast("string")))
+    # sorted, so a character's occurrence number is its distance from its first position
+    chars = F.array_sort(F.filter(F.split(s, ""), lambda c: c != ""))
+    return F.transform(chars, lambda c, i: F.concat(c, F.lit("#"), (i - F.array_position(chars, c) + 1).cast("string")))
 
 
 def _prefix_len(n: Column, dice: float) -> Column:
@@ -90,8 +107,8 @@ def _signatures(df: DataFrame, key: str, block: str, text: str, order: DataFrame
     ranked = toks.join(order, "tok")
     # keep the rarest prefix: sort each string's tokens by (global frequency, token)
     per = ranked.groupBy(key, block, "_n").agg(F.array_sort(F.collect_list(F.struct("freq", "tok"))).alias("_t"))
-    pref = per.select(key, block, F.explode(F.slice(F.col("_t"), 1, _prefix_len(F.col("_n"), dice))).alias("s"))
-    return pref.select(key, block, F.col("s.tok").alias("tok"))
+    pref = per.select(key, block, "_n", F.explode(F.slice(F.col("_t"), 1, _prefix_len(F.col("_n"), dice))).alias("s"))
+    return pref.select(key, block, "_n", F.col("s.tok").alias("tok"))
 
 
 def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: str, left_block: str,
@@ -133,7 +150,11 @@ def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: s
     ls = _signatures(lft, "lk", "blk", "ts", order, dice)
     tg = targets.withColumn("tk", F.struct("rk", "rts"))
     rs = _signatures(tg, "tk", "blk", "rts", order, dice)
-    pairs = ls.join(rs, ["blk", "tok"]).select("lk", "tk", "blk").distinct()
+    # length filter: LCS <= the shorter length, so 2·min/(la+lb) >= dice is necessary
+    la, lb = F.col("l._n"), F.col("r._n")
+    pairs = (ls.alias("l").join(rs.alias("r"), ["blk", "tok"])
+               .where(F.least(la, lb) * 2 >= F.lit(dice) * (la + lb))
+               .select("lk", "tk", "blk").distinct())
     named = (pairs.join(lft.select("lk", "blk", "ts"), ["lk", "blk"])
                   .select("lk", F.col("tk.rk").alias("rk"), "ts", F.col("tk.rts").alias("rts")))
     # score each distinct string pair once (names repeat across rows), then join back

@@ -73,3 +73,10 @@ def test_upsert_idempotent_and_complete(spark, target, source):
     want.update(dict(source))
     assert {r.k: r.v for r in once.collect()} == want
     assert sorted(once.collect()) == sorted(twice.collect())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abcd ", max_size=40), st.text(alphabet="abcd ", max_size=40))
+def test_bit_parallel_lcs_equals_dynamic_programme(a, b):
+    from medalloy.operators.matching import lcs_len, lcs_len_bits
+    assert lcs_len_bits(a, b) == lcs_len(a, b)
