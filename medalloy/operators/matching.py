@@ -44,7 +44,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def token_sort(col: Column) -> Column:
     """normalise, split on blanks, sort tokens, re-join."""
-    toks = F.filter(F.split(normalise_name(col), " "), lambda t: t != "")
+    toks = F.array_remove(F.split(normalise_name(col), " "), "")
     return F.array_join(F.array_sort(toks), " ")
 
 
@@ -88,12 +88,16 @@ def indel_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
                      dtype="float64")
 
 
-def _char_tokens(s: Column) -> Column:
-    """'aba' → ['a#0', 'b#0', 'a#1']: characters tagged with their occurrence number, so the
-    token multiset intersection equals the character multiset intersection."""
-    # sorted, so a character's occurrence number is its distance from its first position
-    chars = F.array_sort(F.filter(F.split(s, ""), lambda c: c != ""))
-    return F.transform(chars, lambda c, i: F.concat(c, F.lit("#"), (i - F.array_position(chars, c) + 1).cast("string")))
+def _char_token_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """One row per character of ``text`` tagged with its occurrence number ('aba' → a#0,
+    a#1, b#0), so the token multiset intersection equals the character multiset
+    intersection. In the sorted character array a character's occurrence number is its
+    distance from its first position; native array functions and ``posexplode`` only (no
+    lambda), so the projection stays in generated code."""
+    chars = F.array_sort(F.array_remove(F.split(F.col(text), ""), ""))
+    x = df.select(*keep, chars.alias("_cs")).select(*keep, "_cs", F.posexplode("_cs").alias("_i", "_c"))
+    occ = F.col("_i") - F.array_position(F.col("_cs"), F.col("_c")) + 1
+    return x.select(*keep, F.concat(F.col("_c"), F.lit("#"), occ.cast("string")).alias("tok"))
 
 
 def _prefix_len(n: Column, dice: float) -> Column:
@@ -102,8 +106,7 @@ def _prefix_len(n: Column, dice: float) -> Column:
 
 
 def _signatures(df: DataFrame, key: str, block: str, text: str, order: DataFrame, dice: float) -> DataFrame:
-    toks = df.select(key, block, F.explode(F.array_distinct(_char_tokens(F.col(text)))).alias("tok"),
-                     F.length(text).alias("_n"))
+    toks = _char_token_rows(df.withColumn("_n", F.length(text)), text, key, block, "_n")
     ranked = toks.join(order, "tok")
     # keep the rarest prefix: sort each string's tokens by (global frequency, token)
     per = ranked.groupBy(key, block, "_n").agg(F.array_sort(F.collect_list(F.struct("freq", "tok"))).alias("_t"))
@@ -144,8 +147,7 @@ def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: s
     targets = rgt.select("rk", "blk", "rts").unionByName(
         rgt.select("rk", "blk", F.explode("names").alias("_pn")).select("rk", "blk", token_sort(F.col("_pn")).alias("rts"))
     ).distinct()
-    toks = (lft.select(F.explode(F.array_distinct(_char_tokens(F.col("ts")))).alias("tok"))
-            .unionByName(targets.select(F.explode(F.array_distinct(_char_tokens(F.col("rts")))).alias("tok"))))
+    toks = _char_token_rows(lft, "ts").unionByName(_char_token_rows(targets, "rts"))
     order = broadcast_if_small(toks.groupBy("tok").agg(F.count(F.lit(1)).alias("freq")))
     ls = _signatures(lft, "lk", "blk", "ts", order, dice)
     tg = targets.withColumn("tk", F.struct("rk", "rts"))
