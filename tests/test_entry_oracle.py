@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 from medalloy.plans.tables import TABLES
+from test_plan_shape import assert_scalable_shape
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,6 +50,7 @@ def test_every_plan_has_ops_and_runs_or_oracle():
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_plan_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
+    assert_scalable_shape(df)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])
     cur = duck.execute(E.oracle_sql()[name])
     cols = [d[0] for d in cur.description]
