@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from medalloy.functions.text import normalise_name
 from medalloy.operators.sizing import broadcast_if_small
+from medalloy.store import cut_lineage
 
 ACCEPT, REVIEW = 90.0, 80.0
 # Fixed value: the method label of a blocked fuzzy match.
@@ -116,7 +117,7 @@ def _signatures(df: DataFrame, key: str, block: str, text: str, order: DataFrame
 
 def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: str, left_block: str,
                right_key: str, right_title: str, right_blocks: str, right_names: Column | None = None,
-               accept: float = ACCEPT, review: float = REVIEW) -> DataFrame:
+               accept: float = ACCEPT, review: float = REVIEW, materialise: bool = True) -> DataFrame:
     """J14 — per left row: code of the best candidate, its score, method and review flag.
 
     ``right_blocks`` is an ARRAY column (e.g. the states a metro spans); ``right_names`` an
@@ -133,6 +134,10 @@ def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: s
                        normalise_name(F.col(right_title)).alias("title_n"), token_sort(F.col(right_title)).alias("rts"),
                        (F.transform(F.col(right_names) if isinstance(right_names, str) else right_names, lambda x: normalise_name(x)) if right_names is not None
                         else F.array().cast("array<string>")).alias("names"))
+    if materialise:
+        # each value set feeds five branches: write it once to the shared checkpoint dir
+        # (reliable, so also a recovery point) instead of re-deriving it from the inputs
+        lft, rgt = cut_lineage(lft), cut_lineage(rgt)
     # 1) principal-name equality
     eq = (rgt.select("rk", "blk", F.explode("names").alias("nm"))
              .join(lft.select("lk", "blk", "nm"), ["blk", "nm"]).select("lk", "rk", F.lit(100.0).alias("score")))
