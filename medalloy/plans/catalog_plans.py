@@ -86,24 +86,25 @@ def existence_probe(spark, sf_dir):
     return mk("labels", lab).unionByName(mk("orders_2099", o))
 
 
-NATION_V2 = T.StructType([
-    column("n_nationkey", T.IntegerType(), "nation (state) key"),
-    column("n_name", T.StringType(), "display name"),
-    column("n_regionkey", T.IntegerType(), "parent region key"),
-    column("n_comment", T.StringType(), "added in v2; NULL for rows loaded before"),
+CUSTOMER_V2 = T.StructType([
+    column("c_custkey", T.LongType(), "customer (metro) key"),
+    column("c_name", T.StringType(), "display name"),
+    column("c_nationkey", T.IntegerType(), "parent nation key"),
+    column("c_acctbal", T.DoubleType(), "account balance"),
+    column("c_comment", T.StringType(), "added in v2; NULL for rows loaded before"),
 ])
 
 
 @plan("schema_migration", "W12 W13 W14", oracle="""
-SELECT n_nationkey, n_name, n_regionkey, CAST(NULL AS VARCHAR) AS n_comment FROM nation
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(NULL AS VARCHAR) AS c_comment FROM customer
 """)
 def schema_migration(spark, sf_dir):
     """Create-if-absent from a declared spec (comments in field metadata), then an additive
     migration: rows of the old shape gain the new column as NULL."""
     store = TableStore(spark, fs.staging_path(spark, "catalog"))
-    spec = TableSpec("nation", NATION_V2, keys=("n_nationkey",))
+    spec = TableSpec("customer", CUSTOMER_V2, keys=("c_custkey",))
     store.create_if_absent([spec])
-    old = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    ck.enforce(ck.unique_violations(old, "n_nationkey"), "nation.pk")
-    store.write("nation", conform_to(old, spec.schema))
-    return store.read("nation")
+    old = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    ck.enforce(ck.unique_violations(old, "c_custkey"), "customer.pk")
+    store.write("customer", conform_to(old, spec.schema))
+    return store.read("customer")

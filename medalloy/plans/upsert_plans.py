@@ -138,21 +138,25 @@ def upsert_metrics(spark, sf_dir):
 
 
 @plan("surrogate_keys", "W7", oracle="""
-WITH old AS (SELECT n_name, CAST(row_number() OVER (ORDER BY n_name) AS BIGINT) AS geo_key
-             FROM nation WHERE n_regionkey <= 1),
-fresh AS (SELECT n_name FROM nation WHERE n_name NOT IN (SELECT n_name FROM old)),
-mx AS (SELECT max(geo_key) AS m FROM old)
-SELECT n_name, geo_key FROM old
+WITH old AS (SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) AS BIGINT) AS geo_key
+             FROM (SELECT DISTINCT c.c_name FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey
+                   WHERE CAST(o.o_orderdate AS DATE) < DATE '1995-07-01') t),
+fresh AS (SELECT DISTINCT c_name FROM customer WHERE c_name NOT IN (SELECT c_name FROM old)),
+mx AS (SELECT coalesce(max(geo_key), 0) AS m FROM old)
+SELECT c_name, geo_key FROM old
 UNION ALL
-SELECT n_name, CAST(m + row_number() OVER (ORDER BY n_name) AS BIGINT) FROM fresh, mx
+SELECT c_name, CAST(m + row_number() OVER (ORDER BY c_name) AS BIGINT) FROM fresh, mx
 """)
 def surrogate_keys(spark, sf_dir):
-    """First batch: nations of regions 0–1 keyed 1..k by name; second batch: all nations.
-    Existing keys stay, new names continue from max(key) in name order."""
-    nation = read(spark, sf_dir, "nation")
-    empty = nation.limit(0).select("n_name", F.lit(0).cast("long").alias("geo_key"))
-    first = up.assign_surrogates(empty, nation.where("n_regionkey <= 1"), "n_name", "geo_key")
-    return up.assign_surrogates(first, nation, "n_name", "geo_key")
+    """Entity keys assigned as entities appear in the facts: the first load keys the
+    customers with an order before 1995-07 (1..k by name); the second load brings every
+    customer. Existing keys stay, new names continue from max(key) in name order."""
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    early = (read(spark, sf_dir, "orders").where(F.to_date("o_orderdate") < F.lit("1995-07-01").cast("date"))
+             .select(F.col("o_custkey").alias("c_custkey")).distinct())
+    empty = c.limit(0).select("c_name", F.lit(0).cast("long").alias("geo_key"))
+    first = up.assign_surrogates(empty, c.join(early, "c_custkey").select("c_name"), "c_name", "geo_key")
+    return up.assign_surrogates(first, c.select("c_name"), "c_name", "geo_key")
 
 
 @plan("duplicate_keys", "W6", oracle="""
