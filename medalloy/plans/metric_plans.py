@@ -11,7 +11,7 @@ from medalloy.plans.registry import plan
 from medalloy.plans.tables import nation_monthly, read
 
 # "value" feed = order value per nation-month, "rent" feed = lineitem value per nation-month
-# (the two Zillow-style feeds); the national series = total order value per month.
+# (the two wide-panel feeds); the national series = total order value per month.
 
 
 def _feeds(spark, sf_dir):
