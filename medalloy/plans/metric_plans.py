@@ -25,7 +25,7 @@ def _feeds(spark, sf_dir):
     cust_m = li_m.join(o, "l_orderkey").groupBy("o_custkey", "month_end").agg(F.sum("s").alias("s"))
     rent = (cust_m.join(c, "o_custkey")
                   .groupBy(F.col("c_nationkey").alias("geo_id"), "month_end")
-                  .agg((F.sum("s") / 100).cast("double").alias("rent")))
+                  .agg((F.sum("s").cast("double") / 100).alias("rent")))
     return nm.join(rent, ["geo_id", "month_end"], "full_outer")
 
 
@@ -34,7 +34,7 @@ nm AS (SELECT c_nationkey AS geo_id, last_day(CAST(o_orderdate AS DATE)) AS mont
               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value
        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
 rent AS (SELECT c_nationkey AS geo_id, last_day(CAST(l_shipdate AS DATE)) AS month_end,
-                CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) / 100 AS DOUBLE) AS rent
+                CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / 100 AS rent
          FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
 f AS (SELECT * FROM nm FULL JOIN rent USING (geo_id, month_end))
 """
@@ -92,7 +92,7 @@ def rebase(spark, sf_dir):
 
 
 @plan("conf_band", "M8", oracle="""
-SELECT l_orderkey, l_linenumber, round(l_extendedprice - 1.96 * (l_tax * 1000), 2) AS lower_bound,
+SELECT l_orderkey, l_linenumber, round(l_extendedprice - 1.96 * (l_tax * 1000), 2) + 0.0 AS lower_bound,
        round(l_extendedprice + 1.96 * (l_tax * 1000), 2) AS upper_bound FROM lineitem
 """)
 def conf_band(spark, sf_dir):
@@ -136,7 +136,7 @@ g AS (SELECT c.geo_id, c.month_end, c.ord,
 ng AS (SELECT c.ord, CASE WHEN p.value IS NOT NULL AND p.value <> 0 THEN (c.value - p.value) / p.value * 100 END AS ngrowth
        FROM nat c LEFT JOIN nat p ON p.ord = c.ord - 12)
 SELECT g.geo_id, g.month_end, round(g.growth, 2) AS growth_pct, round(ng.ngrowth, 2) AS national_growth_pct,
-       round(g.growth - ng.ngrowth, 2) AS spread_pct, round((g.growth - ng.ngrowth) * 100, 2) AS spread_bps
+       round(g.growth - ng.ngrowth, 2) + 0.0 AS spread_pct, round((g.growth - ng.ngrowth) * 100, 2) + 0.0 AS spread_bps
 FROM g LEFT JOIN ng ON g.ord = ng.ord
 """)
 def spread(spark, sf_dir):

@@ -31,12 +31,14 @@ cq AS (SELECT o_custkey AS geo_id,
 """
 
 
+# DuckDB's round() keeps the sign of a zero result (-0.0), Spark's does not; "+ 0.0" in the
+# oracle SQL writes both zeros as 0.0 so the value hashes agree.
 @plan("yoy_date_aware", "J3 J9 M3 T7", oracle=f"""
 WITH {_D_CQ},
 cur AS (SELECT geo_id, quarter_end, value, year(quarter_end) AS y, quarter(quarter_end) AS q FROM cq)
 SELECT c.geo_id, CAST(year(c.quarter_end) * 10000 + month(c.quarter_end) * 100 + day(c.quarter_end) AS INTEGER) AS date_key,
        CAST(c.y AS INTEGER) AS year, CAST(c.q AS INTEGER) AS quarter, c.value,
-       round(CASE WHEN p.value IS NOT NULL AND p.value <> 0 THEN (c.value - p.value) / p.value * 100 END, 2) AS pct_change_yoy
+       round(CASE WHEN p.value IS NOT NULL AND p.value <> 0 THEN (c.value - p.value) / p.value * 100 END, 2) + 0.0 AS pct_change_yoy
 FROM cur c LEFT JOIN cur p ON p.geo_id = c.geo_id AND p.y = c.y - 1 AND p.q = c.q
 """)
 def yoy_date_aware(spark, sf_dir):
@@ -61,8 +63,8 @@ nmo AS (SELECT *, year(month_end) * 12 + month(month_end) AS ord FROM nm)
 @plan("mom_change", "N9", oracle=f"""
 WITH {_D_NM}
 SELECT c.geo_id, c.month_end, c.value,
-       round(CASE WHEN p.value IS NOT NULL AND p.value <> 0 THEN c.value / p.value - 1 END, 6) AS mom,
-       round(CASE WHEN y.value IS NOT NULL AND y.value <> 0 THEN c.value / y.value - 1 END, 6) AS yoy
+       round(CASE WHEN p.value IS NOT NULL AND p.value <> 0 THEN c.value / p.value - 1 END, 6) + 0.0 AS mom,
+       round(CASE WHEN y.value IS NOT NULL AND y.value <> 0 THEN c.value / y.value - 1 END, 6) + 0.0 AS yoy
 FROM nmo c LEFT JOIN nmo p ON p.geo_id = c.geo_id AND p.ord = c.ord - 1
 LEFT JOIN nmo y ON y.geo_id = c.geo_id AND y.ord = c.ord - 12
 """)
