@@ -185,16 +185,60 @@ def year_to_date(df: DataFrame, keys, date_col: str, value: str, *, out: str | N
     return df.withColumn(out or f"{value}_ytd", F.round(s, digits) if digits is not None else s)
 
 
-def rank_in_period(df: DataFrame, period_cols, value: str, *, prefix: str = "") -> DataFrame:
-    """N10 — rank / dense rank / percent rank of entities within a period (descending value).
-
-    Runs on entity × period grain, so a partition holds one period's entities (bounded
-    by the dimension), never raw rows.
+def rank_in_period(df: DataFrame, period_cols, value: str, *, prefix: str = "", buckets: int = 64,
+                   bounded_entities: bool = False) -> DataFrame:
+    """N10 — rank / dense rank / percent rank of entities within a period (descending value,
+    NULLs last), equal to the window functions but with no period held whole by one task.
+
+    ``bounded_entities=True`` is for a fixed-size entity set (e.g. the 25 nations at every
+    scale): one window per period is then the cheapest plan (a single shuffle).
+
+    Ties collapse first: distinct (period, value) with their row count (map-side combine, so
+    a value shared by a third of all rows is one row). Each period's distinct values are cut
+    into ``buckets`` value ranges at approximate quantiles (the cuts only balance the work;
+    ranks stay exact because equal values always share a bucket). Rows and distinct values
+    before a value = totals of the earlier buckets (a window over ≤ ``buckets`` + 1 rows per
+    period) + those before it inside its bucket (a window over one bucket). The ranks join
+    back to the rows on (period, value), null-safe.
     """
-    w = Window.partitionBy(*_cols(period_cols)).orderBy(F.col(value).desc_nulls_last())
-    return (df.withColumn(f"{prefix}rank", F.rank().over(w))
-              .withColumn(f"{prefix}dense_rank", F.dense_rank().over(w))
-              .withColumn(f"{prefix}pct_rank", F.round(F.percent_rank().over(w), 6)))
+    p = _cols(period_cols)
+    v = F.col(value)
+    if bounded_entities:
+        w = Window.partitionBy(*p).orderBy(v.desc_nulls_last())
+        return (df.withColumn(f"{prefix}rank", F.rank().over(w))
+                  .withColumn(f"{prefix}dense_rank", F.dense_rank().over(w))
+                  .withColumn(f"{prefix}pct_rank", F.round(F.percent_rank().over(w), 6)))
+    vc = df.groupBy(*p, value).agg(F.count(F.lit(1)).alias("_c"))
+    buckets = max(1, int(buckets))
+    fracs = [i / buckets for i in range(1, buckets)]
+    cuts = vc.groupBy(*p).agg(
+        *([F.percentile_approx(value, fracs, 10000).alias("_cuts")] if fracs else []),
+        F.sum("_c").alias("_n"))
+    # bucket = number of cut points above the value (descending order); NULL sorts last
+    above = F.size(F.filter("_cuts", lambda c: c > v)) if fracs else F.lit(0)
+    b = (vc.join(cuts, p)
+           .withColumn("_b", F.when(v.isNull(), F.lit(buckets)).otherwise(above))
+           .drop(*(["_cuts"] if fracs else [])))
+    before = Window.partitionBy(*p).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (b.groupBy(*p, "_b").agg(F.sum("_c").alias("_bc"), F.count(F.lit(1)).alias("_bd"))
+                .select(*p, "_b", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_rows_off"),
+                        F.coalesce(F.sum("_bd").over(before), F.lit(0)).alias("_dist_off")))
+    inside = Window.partitionBy(*p, "_b").orderBy(v.desc_nulls_last())
+    ranked = (b.select(*p, value, "_b", "_n",
+                       F.coalesce(F.sum("_c").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                        .alias("_rows_before"),
+                       (F.row_number().over(inside) - 1).alias("_dist_before"))
+               .join(offsets, [*p, "_b"]))
+    rank = F.col("_rows_off") + F.col("_rows_before") + 1
+    ranks = ranked.select(
+        *[F.col(c).alias(f"_k_{c}") for c in p], F.col(value).alias("_k_v"),
+        rank.cast("int").alias(f"{prefix}rank"),
+        (F.col("_dist_off") + F.col("_dist_before") + 1).cast("int").alias(f"{prefix}dense_rank"),
+        F.round(F.when(F.col("_n") > 1, (rank - 1) / (F.col("_n") - 1)).otherwise(F.lit(0.0)), 6)
+         .alias(f"{prefix}pct_rank"))
+    cond = [df[c] == F.col(f"_k_{c}") for c in p] + [df[value].eqNullSafe(F.col("_k_v"))]
+    return (df.join(ranks, cond, "left")
+              .select(*[df[c] for c in df.columns], f"{prefix}rank", f"{prefix}dense_rank", f"{prefix}pct_rank"))
 
 
 # --------------------------------------------------------------------------- gaps

@@ -80,3 +80,19 @@ def test_upsert_idempotent_and_complete(spark, target, source):
 def test_bit_parallel_lcs_equals_dynamic_programme(a, b):
     from medalloy.operators.matching import lcs_len, lcs_len_bits
     assert lcs_len_bits(a, b) == lcs_len(a, b)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(-3, 3).map(float))),
+                min_size=1, max_size=40),
+       st.integers(1, 4))
+def test_bucketed_rank_equals_window(spark, rows, buckets):
+    from pyspark.sql import Window
+    df = spark.createDataFrame([(i, p, v) for i, (p, v) in enumerate(rows)], "e int, p int, v double")
+    w = Window.partitionBy("p").orderBy(F.col("v").desc_nulls_last())
+    want = df.select("e", F.rank().over(w).alias("rank"), F.dense_rank().over(w).alias("dense_rank"),
+                     F.round(F.percent_rank().over(w), 6).alias("pct_rank"))
+    expect = sorted(tuple(r) for r in want.collect())
+    for bounded in (False, True):
+        got = ts.rank_in_period(df, "p", "v", buckets=buckets, bounded_entities=bounded)
+        assert sorted(tuple(r) for r in got.select("e", "rank", "dense_rank", "pct_rank").collect()) == expect
