@@ -10,8 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalloy.llm import bpe, secrets
-from medalloy.llm.common import cut, table
+from medalloy.llm import bagminhash, bpe, decontam, quality, secrets
+from medalloy.llm.common import crc_mod, cut, table
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't reject (score 0.5 or more)."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), crc_mod(F.col("id"), 3) != 1)
+    return quality.score(docs, model, out="__score").where(F.col("__score") >= 0.5).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, the one with the smallest id (null ids stay)."""
+    classes = bagminhash.near_duplicates(docs).where("doc_id = class_id").select(F.col("doc_id").alias("__keep")).distinct()
+    kept = docs.join(classes, docs["doc_id"] == classes["__keep"], "left").where("__keep is not null or doc_id is null")
+    return kept.select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,6 +49,9 @@ def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality classifier", quality_classifier),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
     ("secret scans", secret_scan),
     ("byte-level BPE", bpe_tokens),
 ]

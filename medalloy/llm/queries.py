@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalloy.llm import bpe, pivot_search, secrets, url_rules
-from medalloy.llm.common import table
+from medalloy.llm import bagminhash, bpe, decontam, html_extract, langid, pivot_search, quality, secrets, toxicity, url_rules
+from medalloy.llm.common import crc_mod, table
+
+
+def op1_style_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op2_cgk_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item whose passage it holds; clean documents have none."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op3_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +25,18 @@ def op3_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_search.top_k(rows.where(F.col("vec_id") % 50 == 0), rows, k=5)
 
 
+def op4_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with its class of near duplicates (smallest id) and its class of equal words."""
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    words = langid.learn(docs, ~held_out)
+    return langid.predict(docs, words, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digests of the spans; code points, ends exclusive."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -31,6 +52,22 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op7_kernel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), crc_mod(F.col("id"), 3) != 1)
+    return _judged(quality.score(docs, model, keep=["doc_id"]), crc_mod(F.col("doc_id"), 3) == 1)
+
+
+def op10_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_mod(F.col("id"), 5) != 0)
+    return _judged(toxicity.score(docs, model, keep=["doc_id"]), crc_mod(F.col("doc_id"), 5) == 0)
+
+
+def _judged(scored: DataFrame, held_out: Column) -> DataFrame:
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_bpe_codec(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -45,10 +82,16 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_style_tree_text": op1_style_tree_text,
+    "op2_cgk_leaks": op2_cgk_leaks,
     "op3_pivot_topk": op3_pivot_topk,
+    "op4_bagminhash_classes": op4_bagminhash_classes,
+    "op5_cross_parsing_language": op5_cross_parsing_language,
     "op6_secret_scan": op6_secret_scan,
+    "op7_kernel_quality": op7_kernel_quality,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_url_rules": op9_url_rules,
+    "op10_boosted_toxicity": op10_boosted_toxicity,
 }
 
 ORACLES: dict[str, str] = {
