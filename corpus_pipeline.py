@@ -7,7 +7,7 @@ stages learn models and sign texts, which SQL cannot express; tests hold them ag
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from medalloy.llm import bagminhash, bpe, decontam, quality, secrets
@@ -21,10 +21,15 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest id (null ids stay)."""
+    """One document of each class of near duplicates, the one with the smallest id.
+
+    Rows without an id all stay; rows that repeat both id and text count as one document.
+    """
     classes = bagminhash.near_duplicates(docs).where("doc_id = class_id").select(F.col("doc_id").alias("__keep")).distinct()
     kept = docs.join(classes, docs["doc_id"] == classes["__keep"], "left").where("__keep is not null or doc_id is null")
-    return kept.select(*docs.columns)
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source")
+    again = F.when(F.col("doc_id").isNotNull(), F.row_number().over(same)).otherwise(1)
+    return kept.withColumn("__again", again).where("__again = 1").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
