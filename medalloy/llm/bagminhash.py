@@ -211,44 +211,48 @@ def class_range(k: int) -> tuple[int, int]:
     return lo, hi
 
 
-def prefix_rows(delta: list[int], n: int, n_leader: int, linked: bool) -> list[tuple[int, int, int]]:
-    """(low class, high class, element) under which a member looks for partners.
+def prefix_rows(d: int, n: int, n_leader: int, linked: bool) -> list[tuple[int, int, int]]:
+    """(low class, high class, length of prefix) under which a member looks for partners.
 
     For a partner whose difference has a size of class k, at least [lo, hi], and |B| <= 1.25 |A|,
     |B| <= |leader| + hi: common elements needed >= (|dA| + lo - (|A| + |B|)/9) / 2, and at least
     one unless both members link to the leader. Members that need t of their d elements in common
     must share one of the first d - t + 1, in any fixed order.
     """
-    d, own, out = len(delta), size_class(len(delta)), []
+    own, out = size_class(d), []
+    unlinked = math.floor((0.8 * n + n_leader) / 9 + 1e-9) + 1  # least difference of a partner that doesn't link
     for k in range(1, size_class(max(1, 3 * d + n_leader)) + 1):
         lo, hi = class_range(k)
-        if lo > hi or linked and hi <= (0.8 * n + n_leader) / 9:
+        if lo > hi or linked and hi < unlinked:
             continue  # a linked member looks for members that don't link to the leader only
-        need = (d + lo - (n + min(math.floor(1.25 * n), n_leader + hi)) / 9) / 2
+        lo = max(lo, unlinked) if linked else lo
+        need = (d + lo - (n + min(math.floor(1.25 * n + 1e-9), n_leader + hi)) / 9) / 2
         need = max(1, math.ceil(need - 1e-9))
-        if need > min(d, hi):
-            continue
-        pair = (min(own, k), max(own, k))
-        out += [(*pair, e) for e in delta[:d - need + 1]]
+        if need <= min(d, hi):
+            out.append((min(own, k), max(own, k), d - need + 1))
     return out
 
 
 def _prefixes(members: DataFrame) -> DataFrame:
-    schema = T.StructType([T.StructField("leader", T.BinaryType()), T.StructField("a", T.BinaryType()),
-                           T.StructField("comp", T.BinaryType()), T.StructField("linked", T.BooleanType()),
-                           T.StructField("cls", T.IntegerType()), T.StructField("rows", T.ArrayType(T.LongType(), False))])
+    """One row per member, pair of classes and prefix element; the key joins leader, classes and element."""
+    kinds = {"key": pa.int64(), "a": pa.binary(), "comp": pa.int64(), "linked": pa.bool_(), "pos": pa.int32(), "d": pa.int32(),
+             "n": pa.int32()}
+    schema = "key long, a binary, comp long, linked boolean, pos int, d int, n int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                p = batch.slice(at, 256).to_pydict()
-                keys = []
-                for delta, n, nl, linked in zip(p["delta"], p["na"], p["nb"], p["linked"], strict=True):
-                    keys.append([xxhash.xxh3_64_intdigest(b"%d %d %d" % r) - (1 << 63) for r in prefix_rows(delta, n, nl, linked)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(p["b"], pa.binary()), pa.array(p["a"], pa.binary()), pa.array(p["comp"], pa.binary()),
-                     pa.array(p["linked"], pa.bool_()), pa.array([size_class(len(x)) for x in p["delta"]], pa.int32()),
-                     pa.array(keys, pa.list_(pa.int64()))], names=schema.names)
+            for at in range(0, batch.num_rows, 64):
+                out: list[tuple] = []
+                p = batch.slice(at, 64).to_pydict()
+                for leader, a, comp, delta, n, nl, linked in zip(
+                        *(p[c] for c in ("b", "a", "comp", "delta", "na", "nb", "linked")), strict=True):
+                    d = len(delta)
+                    elements = np.array(delta, np.int64).view(np.uint64) ^ np.uint64(xxhash.xxh3_64_intdigest(leader))
+                    for lo, hi, length in prefix_rows(d, n, nl, linked):
+                        keys = mix64(elements[:length] + _times(lo * 1000 + hi + 1)).view(np.int64)
+                        out += [(k, a, comp, linked, i, d, n) for i, k in enumerate(keys.tolist(), 1)]
+                cols = list(zip(*out, strict=True)) if out else [[]] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds.values(), strict=True)], names=list(kinds))
 
     return members.mapInArrow(run, schema)
 
@@ -317,10 +321,13 @@ def _links_beyond_leaders(checked: DataFrame, links: DataFrame, texts: DataFrame
              .where("n > 1 and lo <> hi").select("b"))
     rest = cut(member.join(spans, "b"))
     deltas = _verify(rest, texts, deltas=True).drop("j").join(rest, ["a", "b"])
-    looked = cut(_prefixes(deltas).withColumn("key", F.explode("rows")).drop("rows"))
-    names = ("a", "comp", "linked")
-    x = looked.select("leader", "key", *(F.col(c).alias(f"{c}1") for c in names))
-    y = looked.select("leader", "key", *(F.col(c).alias(f"{c}2") for c in names))
-    pairs = (x.join(y, ["leader", "key"]).where("a1 < a2 and comp1 <> comp2 and not (linked1 and linked2)")
+    deltas = deltas.withColumn("comp", F.xxhash64("comp"))
+    looked = cut(_prefixes(deltas))
+    x, y = (looked.select("key", *(F.col(c).alias(f"{c}{i}") for c in looked.columns if c != "key")) for i in (1, 2))
+    # the exact number of common elements a pair needs, and with it the exact prefixes
+    need = F.expr("greatest(1, ceil((d1 + d2 - (n1 + n2) / 9) / 2 - 1e-9))")
+    pairs = (x.join(y, "key").where("a1 < a2 and comp1 <> comp2 and not (linked1 and linked2)")
+             .where((F.col("pos1") <= F.col("d1") - need + 1) & (F.col("pos2") <= F.col("d2") - need + 1))
+             .where("least(n1, n2) * 5 >= greatest(n1, n2) * 4")
              .select(F.col("a1").alias("a"), F.col("a2").alias("b")).distinct())
     return _verify(pairs, texts).where(F.col("j") >= threshold).select("a", "b")
