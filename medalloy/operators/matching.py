@@ -6,10 +6,10 @@ Score of a (name, candidate) pair — the reference rule, the maximum of:
   * per principal name: 100 when equal, else the token-sort ratio against it,
   * 96 when the title starts with the name;
 ≥ 90 accept, 80–89 accept with ``needs_review``, below 80 unmatched (``needs_review`` set,
-code and score NULL). Reported scores are truncated to integers. The candidate's block set
-(e.g. its states) must contain the name's block; there is no cross-block fallback, and a
-row without a block gets no candidates (the reference compares such a row with every
-candidate, which is the all-pairs case avoided here). Ties keep the smallest code.
+code and score NULL: pairs below 80 are not generated, so their best score is not known).
+Reported scores are truncated to integers. The candidate's block set (e.g. its states) must
+contain the name's block; a row without a block is held against all candidates, a candidate
+without blocks against all rows, by the same filters. Ties keep the smallest code.
 
 No block is ever expanded into all pairs. Candidates come from three exact filters:
   1. equality of the name with a principal name (equi-join),
@@ -101,17 +101,24 @@ def _char_token_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
     return x.select(*keep, F.concat(F.col("_c"), F.lit("#"), occ.cast("string")).alias("tok"))
 
 
-def _prefix_len(n: Column, dice: float) -> Column:
-    need = F.ceil(F.lit(dice / (2 - dice)) * n)
+def _prefix_len(n: Column, percent: int) -> Column:
+    """Length of the prefix of ``n`` tokens that a match of Dice >= percent/100 must touch: all
+    but ceil(n * p / (200 - p)) tokens, and one more. Integers only: a rounded quotient above its
+    true value would shorten the prefix and lose pairs that score exactly the threshold."""
+    need = F.floor((n * percent + (199 - percent)) / F.lit(200 - percent) + F.lit(1e-9))
     return F.greatest(n - need + 1, F.lit(1)).cast("int")
 
 
-def _signatures(df: DataFrame, key: str, block: str, text: str, order: DataFrame, dice: float) -> DataFrame:
+def _blank(c: Column) -> Column:
+    return c.isNull() | (F.trim(c) == "")
+
+
+def _signatures(df: DataFrame, key: str, block: str, text: str, order: DataFrame, percent: int) -> DataFrame:
     toks = _char_token_rows(df.withColumn("_n", F.length(text)), text, key, block, "_n")
     ranked = toks.join(order, "tok")
     # keep the rarest prefix: sort each string's tokens by (global frequency, token)
     per = ranked.groupBy(key, block, "_n").agg(F.array_sort(F.collect_list(F.struct("freq", "tok"))).alias("_t"))
-    pref = per.select(key, block, "_n", F.explode(F.slice(F.col("_t"), 1, _prefix_len(F.col("_n"), dice))).alias("s"))
+    pref = per.select(key, block, "_n", F.explode(F.slice(F.col("_t"), 1, _prefix_len(F.col("_n"), percent))).alias("s"))
     return pref.select(key, block, "_n", F.col("s.tok").alias("tok"))
 
 
@@ -124,13 +131,21 @@ def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: s
     optional ARRAY of principal names. Scores below ``review`` are reported as unmatched
     (code and score NULL): pairs under the threshold are never generated.
     """
-    dice = review / 100.0
+    percent = int(review)
+    if percent != review:
+        raise ValueError("review is a whole percentage")
     rows = left.select(F.col(left_key).alias("lk"), F.col(left_block).alias("blk"),
                        normalise_name(F.col(left_name)).alias("nm"))
     # match distinct (block, name) values once; rows join back at the end
-    lft = (rows.select("blk", "nm").distinct()
-               .select(F.struct("blk", "nm").alias("lk"), "blk", "nm", token_sort(F.col("nm")).alias("ts")))
-    rgt = right.select(F.col(right_key).alias("rk"), F.explode(F.array_distinct(right_blocks)).alias("blk"),
+    # a row without a block meets every target (block '*all'), a target without blocks every row ('*none')
+    values = rows.select("blk", "nm").distinct().select(F.struct("blk", "nm").alias("lk"), "nm", token_sort(F.col("nm")).alias("ts"))
+    meets = F.when(_blank(F.col("lk.blk")), F.array(F.lit("*all"))).otherwise(F.array(F.col("lk.blk"), F.lit("*none")))
+    lft = values.select("lk", F.explode(meets).alias("blk"), "nm", "ts")
+    stated = F.filter(F.coalesce(F.col(right_blocks) if isinstance(right_blocks, str) else right_blocks,
+                                 F.array().cast("array<string>")), lambda b: ~_blank(b))
+    held = F.concat(F.array_distinct(stated), F.array(F.lit("*all")),
+                    F.when(F.size(stated) == 0, F.array(F.lit("*none"))).otherwise(F.array().cast("array<string>")))
+    rgt = right.select(F.col(right_key).alias("rk"), F.explode(held).alias("blk"),
                        normalise_name(F.col(right_title)).alias("title_n"), token_sort(F.col(right_title)).alias("rts"),
                        (F.transform(F.col(right_names) if isinstance(right_names, str) else right_names, lambda x: normalise_name(x)) if right_names is not None
                         else F.array().cast("array<string>")).alias("names"))
@@ -154,13 +169,13 @@ def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: s
     ).distinct()
     toks = _char_token_rows(lft, "ts").unionByName(_char_token_rows(targets, "rts"))
     order = broadcast_if_small(toks.groupBy("tok").agg(F.count(F.lit(1)).alias("freq")))
-    ls = _signatures(lft, "lk", "blk", "ts", order, dice)
+    ls = _signatures(lft, "lk", "blk", "ts", order, percent)
     tg = targets.withColumn("tk", F.struct("rk", "rts"))
-    rs = _signatures(tg, "tk", "blk", "rts", order, dice)
+    rs = _signatures(tg, "tk", "blk", "rts", order, percent)
     # length filter: LCS <= the shorter length, so 2·min/(la+lb) >= dice is necessary
     la, lb = F.col("l._n"), F.col("r._n")
     pairs = (ls.alias("l").join(rs.alias("r"), ["blk", "tok"])
-               .where(F.least(la, lb) * 2 >= F.lit(dice) * (la + lb))
+               .where(F.least(la, lb) * 200 >= (la + lb) * percent)
                .select("lk", "tk", "blk").distinct())
     named = (pairs.join(lft.select("lk", "blk", "ts"), ["lk", "blk"])
                   .select("lk", F.col("tk.rk").alias("rk"), "ts", F.col("tk.rts").alias("rts")))
@@ -172,23 +187,30 @@ def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: s
     allc = eq.unionByName(pre).unionByName(scored)
     best = (allc.groupBy("lk").agg(F.max(F.struct(F.col("score"), (-F.col("rk")).alias("neg"))).alias("b"))
                 .select("lk", F.col("b.score").alias("match_score"), (-F.col("b.neg")).alias("rk")))
-    per_value = lft.select("lk", "blk", "nm").join(best, "lk", "left").drop("lk")
-    out = rows.join(per_value, ["blk", "nm"], "left")
+    titles = right.select(F.col(right_key).alias("rk"), F.col(right_title).alias("match_title"))
+    per_value = best.join(titles, "rk", "left")
+    per_value = per_value.select(F.col("lk.blk").alias("_b"), F.col("lk.nm").alias("_m"), "rk", "match_score", "match_title")
+    out = rows.join(per_value, F.col("blk").eqNullSafe(F.col("_b")) & F.col("nm").eqNullSafe(F.col("_m")), "left")
     matched = F.col("match_score").isNotNull()
-    return out.select(F.col("lk").alias(left_key), F.col("rk").alias(right_key),
+    return out.select(F.col("lk").alias(left_key), F.col("rk").alias(right_key), "match_title",
                       F.floor("match_score").cast("int").alias("match_score"),
                       F.when(matched, F.lit(FUZZY_METHOD)).otherwise(F.lit("unmatched")).alias("match_method"),
                       (~matched | (F.col("match_score") < accept)).alias("needs_review"))
 
 
-def apply_overrides(matches: DataFrame, overrides: DataFrame, *, key: str, code: str) -> DataFrame:
+def apply_overrides(matches: DataFrame, overrides: DataFrame, *, key: str, code: str,
+                    titles: DataFrame | None = None, title: str = "match_title") -> DataFrame:
     """J15 — an override row wins (method ``manual``, review off); overrides for unknown keys
-    are ignored (left join from the matches)."""
-    ov = broadcast_if_small(overrides.select(key, F.col(code).alias("_ov")))
-    j = matches.join(ov, key, "left")
+    are ignored (left join from the matches). ``titles`` (code, title) gives the title of an
+    overriding code; without it such a title is null."""
+    ov = overrides.select(key, F.col(code).alias("_ov"))
+    ov = ov.join(titles.select(F.col(code).alias("_ov"), F.col(title).alias("_title")), "_ov", "left") if titles is not None \
+        else ov.withColumn("_title", F.lit(None).cast("string"))
+    j = matches.join(broadcast_if_small(ov), key, "left")
     hit = F.col("_ov").isNotNull()
+    named = [F.when(hit, F.col("_title")).otherwise(F.col(title)).alias(title)] if title in matches.columns else []
     return j.select(
-        key, F.when(hit, F.col("_ov")).otherwise(F.col(code)).alias(code),
+        key, F.when(hit, F.col("_ov")).otherwise(F.col(code)).alias(code), *named,
         F.col("match_score"),
         F.when(hit, "manual").otherwise(F.col("match_method")).alias("match_method"),
         F.when(hit, F.lit(False)).otherwise(F.col("needs_review")).alias("needs_review"))
@@ -210,7 +232,8 @@ def brute_force_best(left: pd.DataFrame, right: pd.DataFrame, normalise, accept=
         ts = " ".join(sorted(t for t in nm.split(" ") if t))
         best = None
         for _, rrow in right.iterrows():
-            if lrow["block"] not in rrow["blocks"]:
+            blocks = [b for b in (rrow["blocks"] if rrow["blocks"] is not None else []) if b and b.strip()]
+            if lrow["block"] and lrow["block"].strip() and blocks and lrow["block"] not in blocks:
                 continue
             title = normalise(rrow["title"])
             rts = " ".join(sorted(t for t in title.split(" ") if t))

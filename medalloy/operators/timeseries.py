@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medalloy.functions.dates import month_ordinal, quarter_ordinal
+from medalloy.store import cut_lineage
 
 
 def _cols(xs) -> list[str]:
@@ -185,13 +186,13 @@ def year_to_date(df: DataFrame, keys, date_col: str, value: str, *, out: str | N
     return df.withColumn(out or f"{value}_ytd", F.round(s, digits) if digits is not None else s)
 
 
-def rank_in_period(df: DataFrame, period_cols, value: str, *, prefix: str = "", buckets: int = 64,
-                   bounded_entities: bool = False) -> DataFrame:
+def rank_in_period(df: DataFrame, period_cols, value: str, *, prefix: str = "", buckets: int = 64) -> DataFrame:
     """N10 — rank / dense rank / percent rank of entities within a period (descending value,
     NULLs last), equal to the window functions but with no period held whole by one task.
 
-    ``bounded_entities=True`` is for a fixed-size entity set (e.g. the 25 nations at every
-    scale): one window per period is then the cheapest plan (a single shuffle).
+    The cuts (at most ``buckets`` numbers per period) are found once and kept by a reliable
+    checkpoint: offsets and ranks read the same ones, also where an approximate quantile would
+    come out otherwise when computed again.
 
     Ties collapse first: distinct (period, value) with their row count (map-side combine, so
     a value shared by a third of all rows is one row). Each period's distinct values are cut
@@ -203,17 +204,13 @@ def rank_in_period(df: DataFrame, period_cols, value: str, *, prefix: str = "",
     """
     p = _cols(period_cols)
     v = F.col(value)
-    if bounded_entities:
-        w = Window.partitionBy(*p).orderBy(v.desc_nulls_last())
-        return (df.withColumn(f"{prefix}rank", F.rank().over(w))
-                  .withColumn(f"{prefix}dense_rank", F.dense_rank().over(w))
-                  .withColumn(f"{prefix}pct_rank", F.round(F.percent_rank().over(w), 6)))
     vc = df.groupBy(*p, value).agg(F.count(F.lit(1)).alias("_c"))
     buckets = max(1, int(buckets))
     fracs = [i / buckets for i in range(1, buckets)]
     cuts = vc.groupBy(*p).agg(
         *([F.percentile_approx(value, fracs, 10000).alias("_cuts")] if fracs else []),
         F.sum("_c").alias("_n"))
+    cuts = cut_lineage(cuts)
     # bucket = number of cut points above the value (descending order); NULL sorts last
     above = F.size(F.filter("_cuts", lambda c: c > v)) if fracs else F.lit(0)
     b = (vc.join(cuts, p)

@@ -42,8 +42,8 @@ def listing_flow(spark, sf_dir):
     store = TableStore(spark, fs.staging_path(spark, "layers"))
     raw = raw_feed(spark, sf_dir)
     # Bronze: two time slices; later batch wins, duplicates inside a batch resolved by month
-    first = raw.where(F.col("month_date_yyyymm") < "1998")
-    second = raw.where(~(F.col("month_date_yyyymm") < "1998"))
+    early = F.coalesce(F.col("month_date_yyyymm") < "1998", F.lit(False))  # a null month is in the second slice
+    first, second = raw.where(early), raw.where(~early)
     store.write("bronze_listing", up.dedupe(first, KEYS, ["month_date_yyyymm"]))
     store.upsert("bronze_listing", second, KEYS, order=["month_date_yyyymm"], resolve_duplicates=True)
     bronze = store.read("bronze_listing")

@@ -66,7 +66,8 @@ def override(spark, sf_dir):
     ov = (p.where(F.col("p_size") == 50).join(m.select(F.col("title").alias("p_name"), "code"), "p_name")
            .select("p_partkey", "code")
            .unionByName(spark.createDataFrame([(-1, -1)], "p_partkey long, code long")))
-    return mt.apply_overrides(matches, ov, key="p_partkey", code="code")
+    return mt.apply_overrides(matches, ov, key="p_partkey", code="code",
+                              titles=m.select("code", F.col("title").alias("match_title")))
 
 
 def _points(spark, sf_dir):

@@ -156,17 +156,16 @@ def outer_feeds(spark, sf_dir):
 
 @plan("outer_profile", "J7 P1", oracle="""
 WITH hz AS (SELECT doc_id, quality, toxic FROM labels),
-cl AS (SELECT doc_id, n_chars, lang FROM documents WHERE source IN ('src0','src1','src2','src3','src4'))
+cl AS (SELECT doc_id, n_chars, lang FROM documents)
 SELECT coalesce(hz.doc_id, cl.doc_id) AS doc_id, hz.quality AS quality_flag, hz.toxic AS toxic_flag,
        cl.n_chars AS text_length, cl.lang AS language
 FROM hz FULL OUTER JOIN cl ON hz.doc_id = cl.doc_id
 """)
 def outer_profile(spark, sf_dir):
-    """Two entity profiles (labels, document stats of five sources) full-outer joined on a
+    """Two entity profiles (labels, document stats) full-outer joined on a
     coalesced key, with an ordered rename map."""
     hz = read(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    cl = (read(spark, sf_dir, "documents").where(F.col("source").isin("src0", "src1", "src2", "src3", "src4"))
-          .select("doc_id", "n_chars", "lang"))
+    cl = read(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang")
     from medalloy.operators.joins import full_outer_coalesce, rename
     j = full_outer_coalesce(hz, cl, "doc_id")
     return rename(j, [("doc_id", "doc_id"), ("quality", "quality_flag"), ("toxic", "toxic_flag"),

@@ -181,15 +181,13 @@ def dedupe_keys(spark, sf_dir):
 
 
 @plan("replace_by_source", "W11 T17", oracle="""
-WITH old AS (SELECT doc_id, source, lang FROM documents WHERE lang = 'en'),
-new AS (SELECT doc_id, source, lang FROM documents WHERE lang = 'fr' AND source IN ('src0','src1','src2','src3'))
-SELECT * FROM old WHERE source NOT IN ('src0','src1','src2','src3','src4')
-UNION ALL SELECT * FROM new
+SELECT doc_id, source, lang FROM documents WHERE source IS NULL OR source NOT IN ('src0','src1','src2','src3','src4')
+UNION ALL
+SELECT doc_id, source, upper(lang) FROM documents WHERE source IN ('src0','src1','src2','src3')
 """)
 def replace_by_source(spark, sf_dir):
-    """Quarantine-style replace: English rows are the old table; a re-run processed
-    src0–src4 (src4 produced no rows, so its old rows must still go)."""
-    d = read(spark, sf_dir, "documents").select("doc_id", "source", "lang")
-    old = d.where(F.col("lang") == "en")
-    new = d.where((F.col("lang") == "fr") & F.col("source").isin("src0", "src1", "src2", "src3"))
+    """Quarantine-style replace: all documents are the old table; a re-run processed src0–src4
+    with other values (src4 produced no rows, so its old rows must still go)."""
+    old = read(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    new = old.where(F.col("source").isin("src0", "src1", "src2", "src3")).withColumn("lang", F.upper("lang"))
     return up.replace_by(old, new, "source", ["src0", "src1", "src2", "src3", "src4"])

@@ -249,19 +249,20 @@ class HeaderContractError(ValueError):
 
 
 def enforce_headers(report: DataFrame) -> str:
-    """S6 — ``'ok'``, or ``'no_files'`` when nothing matched the path; otherwise raise naming
-    every bad file (the report is one small row per file)."""
-    rows = report.select("file_path", "ok", "missing").collect()
-    if not rows:
+    """S6 — ``'ok'``, or ``'no_files'`` when nothing matched the path; otherwise raise with the
+    number of bad files, an example and its missing columns (``report`` itself lists them all)."""
+    seen = report.agg(F.count(F.lit(1)).alias("n"), F.sum((~F.col("ok")).cast("long")).alias("bad"),
+                      F.min(F.when(~F.col("ok"), F.struct("file_path", "missing"))).alias("first")).first()
+    if not seen.n:
         return "no_files"
-    bad = [f"{r.file_path} (missing {list(r.missing)})" for r in rows if not r.ok]
-    if bad:
-        raise HeaderContractError("header contract failed: " + "; ".join(bad))
+    if seen.bad:
+        raise HeaderContractError(f"header contract failed in {seen.bad} of {seen.n} files, first {seen.first.file_path} "
+                                  f"(missing {list(seen.first.missing)})")
     return "ok"
 
 
 def enforce_manifest(mapped: DataFrame, id_col: str = "series_id", path_col: str = "source_file_path") -> None:
-    """S7 — raise if any file is not in the manifest (lists the distinct unknown files)."""
-    unknown = [r[0] for r in mapped.where(F.col(id_col).isNull()).select(path_col).distinct().limit(100).collect()]
-    if unknown:
-        raise ValueError(f"files not in the manifest: {unknown}")
+    """S7 — raise if any file is not in the manifest, with the number of such files and the first."""
+    unknown = mapped.where(F.col(id_col).isNull()).agg(F.countDistinct(path_col).alias("n"), F.min(path_col).alias("first")).first()
+    if unknown.n:
+        raise ValueError(f"{unknown.n} files not in the manifest, first {unknown.first}")

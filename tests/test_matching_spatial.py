@@ -35,6 +35,22 @@ def test_best_match_equals_brute_force(spark, sf):
     assert any(v[0] is None for v in got.values()) and any(v[1] == 100.0 for v in got.values())
 
 
+def test_threshold_pairs_and_blank_blocks(spark):
+    """Pairs that score exactly 80 (lengths 9 and 6, 15 and 10), rows and targets without a block."""
+    left = spark.createDataFrame([(1, "abcdefxyz", "A"), (2, "abcdefghijuvwxy", "A"), (3, "delta echo", ""), (4, "delta echo", None),
+                                  (5, "orphan", "Q"), (6, "zulu", "A")], "k long, name string, block string")
+    right = spark.createDataFrame([(10, "abcdef", ["A"]), (20, "abcdefghij", ["A"]), (30, "delta echo", ["B"]), (40, "orphan", []),
+                                   (50, "zulu", ["B"])], "code long, title string, blocks array<string>")
+    got = {r.k: (r.code, r.match_score, r.match_title) for r in mt.best_match(
+        left, right, left_key="k", left_name="name", left_block="block", right_key="code", right_title="title",
+        right_blocks="blocks").collect()}
+    assert got == {1: (10, 80, "abcdef"), 2: (20, 80, "abcdefghij"), 3: (30, 100, "delta echo"), 4: (30, 100, "delta echo"),
+                   5: (40, 100, "orphan"), 6: (None, None, None)}
+    lp = left.toPandas().rename(columns={"k": "key"})
+    want = mt.brute_force_best(lp, right.toPandas(), _py_norm)
+    assert {k: v[:2] for k, v in got.items()} == want
+
+
 def test_overrides(spark):
     m = spark.createDataFrame([(1, 10, 85.0, "fuzzy", True), (2, None, None, "unmatched", None)],
                               "k long, code long, match_score double, match_method string, needs_review boolean")
