@@ -18,7 +18,8 @@ found without expanding a group of copies into its pairs:
    from the leader. With s = |A| + |B|, a link A-B needs |difference of differences| <= s/9,
    hence many common difference elements; a prefix filter per pair of difference sizes gives
    the pairs to check. Members that link to the leader are in one component already, so only
-   pairs with another member, of other components, are made.
+   pairs with another member, of other components, are made, each under the first leader that
+   both members have.
 
 Defined results: a null text, or one without a word, is a class of its own and links to
 nothing; a text of fewer than five words is one shingle; rows of equal words are one class;
@@ -175,8 +176,7 @@ def difference(x: tuple, y: tuple) -> list[int]:
     """Signed difference of two multisets as element hashes: what x adds first, then what it lacks.
 
     The i-th extra or lacking copy of a shingle is an element of its own, counted from the
-    smaller multiplicity towards y's, so that equal changes give equal elements. Any fixed order
-    serves the prefix filter; added elements come first because few members share them.
+    smaller multiplicity towards y's, so that equal changes give equal elements.
     """
     out = []
     for s, (p, q) in ((1, (x, y)), (2, (y, x))):
@@ -233,24 +233,42 @@ def prefix_rows(d: int, n: int, n_leader: int, linked: bool) -> list[tuple[int,
     return out
 
 
+def _rarest_first(members: DataFrame) -> DataFrame:
+    """``members`` with ``delta`` as (members, element), by the number of the leader's members that have the element.
+
+    The order is the same for all members of a leader, ties by the element.
+    """
+    one = members.select("a", "leader", F.explode("delta").alias("e"))
+    one = one.select("a", "leader", F.xxhash64("leader", "e").alias("element"))
+    count = one.groupBy("leader", "element").agg(F.count(F.lit(1)).cast("int").alias("members"))
+    order = (one.join(count, ["leader", "element"]).groupBy("a", "leader")
+             .agg(F.array_sort(F.collect_list(F.struct("members", "element"))).alias("delta")))
+    return members.drop("delta").join(order, ["a", "leader"])
+
+
 def _prefixes(members: DataFrame) -> DataFrame:
-    """One row per member, pair of classes and prefix element; the key joins leader, classes and element."""
+    """One row per member, pair of classes and prefix element; the key joins leader, classes and element.
+
+    Elements come rarest first. Those that no other member has fill the first positions of the
+    prefix and give no row, as they can't be common to a pair.
+    """
     kinds = {"key": pa.int64(), "a": pa.binary(), "comp": pa.int64(), "linked": pa.bool_(), "pos": pa.int32(), "d": pa.int32(),
-             "n": pa.int32()}
-    schema = "key long, a binary, comp long, linked boolean, pos int, d int, n int"
+             "n": pa.int32(), "leader": pa.int64(), "leaders": pa.list_(pa.int64())}
+    schema = "key long, a binary, comp long, linked boolean, pos int, d int, n int, leader long, leaders array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 out: list[tuple] = []
                 p = batch.slice(at, 64).to_pydict()
-                for leader, a, comp, delta, n, nl, linked in zip(
-                        *(p[c] for c in ("b", "a", "comp", "delta", "na", "nb", "linked")), strict=True):
+                for a, comp, delta, n, nl, linked, *of in zip(
+                        *(p[c] for c in ("a", "comp", "delta", "na", "nb", "linked", "leader", "leaders")), strict=True):
                     d = len(delta)
-                    elements = np.array(delta, np.int64).view(np.uint64) ^ np.uint64(xxhash.xxh3_64_intdigest(leader))
+                    elements = np.array([e["element"] for e in delta], np.int64).view(np.uint64)
+                    alone = sum(e["members"] == 1 for e in delta)
                     for lo, hi, length in prefix_rows(d, n, nl, linked):
-                        keys = mix64(elements[:length] + _times(lo * 1000 + hi + 1)).view(np.int64)
-                        out += [(k, a, comp, linked, i, d, n) for i, k in enumerate(keys.tolist(), 1)]
+                        keys = mix64(elements[alone:length] + _times(lo * 1000 + hi + 1)).view(np.int64)
+                        out += [(k, a, comp, linked, i, d, n, *of) for i, k in enumerate(keys.tolist(), alone + 1)]
                 cols = list(zip(*out, strict=True)) if out else [[]] * len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds.values(), strict=True)], names=list(kinds))
 
@@ -319,15 +337,18 @@ def _links_beyond_leaders(checked: DataFrame, links: DataFrame, texts: DataFrame
               .select("a", "b", (F.col("j") >= threshold).alias("linked"), F.coalesce("comp", "a").alias("comp")))
     spans = (member.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("n > 1 and lo <> hi").select("b"))
-    rest = cut(member.join(spans, "b"))
+    rest = member.join(spans, "b").withColumn("leader", F.xxhash64("b"))
+    # a member has at most one leader per band
+    leaders = rest.groupBy("a").agg(F.array_sort(F.collect_set("leader")).alias("leaders"))
+    rest = cut(rest.join(leaders, "a"))
     deltas = _verify(rest, texts, deltas=True).drop("j").join(rest, ["a", "b"])
-    deltas = deltas.withColumn("comp", F.xxhash64("comp"))
-    looked = cut(_prefixes(deltas))
+    looked = _prefixes(cut(_rarest_first(cut(deltas.withColumn("comp", F.xxhash64("comp"))))))
     x, y = (looked.select("key", *(F.col(c).alias(f"{c}{i}") for c in looked.columns if c != "key")) for i in (1, 2))
     # the exact number of common elements a pair needs, and with it the exact prefixes
     need = F.expr("greatest(1, ceil((d1 + d2 - (n1 + n2) / 9) / 2 - 1e-9))")
-    pairs = (x.join(y, "key").where("a1 < a2 and comp1 <> comp2 and not (linked1 and linked2)")
+    pairs = (x.join(y, "key").where("leader1 = leader2 and a1 < a2 and comp1 <> comp2 and not (linked1 and linked2)")
              .where((F.col("pos1") <= F.col("d1") - need + 1) & (F.col("pos2") <= F.col("d2") - need + 1))
              .where("least(n1, n2) * 5 >= greatest(n1, n2) * 4")
+             .where("leader1 = array_intersect(leaders1, leaders2)[0]")
              .select(F.col("a1").alias("a"), F.col("a2").alias("b")).distinct())
     return _verify(pairs, texts).where(F.col("j") >= threshold).select("a", "b")
