@@ -49,3 +49,28 @@ def geo_key(level, place_id) -> Column:
     for k, v in reversed(list(LEVEL_KINDS.items())):
         kind = F.when(lv == F.lit(k), F.lit(v)).otherwise(kind)
     return F.struct(kind.alias("kind"), F.trim(_c(place_id)).alias("id"))
+
+
+def title_parts(title: Column) -> dict[str, Column]:
+    """Area title ``city-city, ST-ST`` → ``cities``, ``states`` (arrays) and ``primary_state``.
+
+    The last comma parts cities from states; blank parts are dropped. A title without a comma has
+    no states and an empty primary state; a NULL title gives NULLs.
+    """
+    def parts(blob: Column) -> Column:
+        return F.filter(F.transform(F.split(blob, "-"), lambda p: F.trim(p)), lambda p: p != "")
+
+    states = parts(F.regexp_extract(title, r"(?s)^.*,(.*)$", 1))
+    return {"cities": parts(F.regexp_replace(title, r"(?s),[^,]*$", "")), "states": states,
+            "primary_state": F.when(title.isNotNull(), F.coalesce(F.get(states, 0), F.lit("")))}
+
+
+def zero_pad(code: Column, width: int) -> Column:
+    """Code text with leading zeros up to ``width``; longer codes stay whole."""
+    s = code.cast("string")
+    return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
+
+
+def county_key(state: Column, county: Column) -> Column:
+    """Two-digit state and three-digit county code in one key."""
+    return F.concat(zero_pad(state, 2), zero_pad(county, 3))

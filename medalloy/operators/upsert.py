@@ -12,6 +12,8 @@ committing, and a priority column resolves ordered multi-file loads (W4).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,6 +50,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str]
     update=[cols]  W3: only the listed columns come from the source; the rest (e.g.
                    ``inserted_ts``) stay; ``touch`` sets columns on updated rows
                    (e.g. ``{"updated_ts": F.current_timestamp()}``).
+    A NULL key equals no key, as in MERGE: such a source row is inserted.
     ``keep`` columns always keep the target value on a match.
     Output: target's columns (in order), ``change_col`` and ``_src_rows``.
     """
@@ -130,13 +133,15 @@ def dense_positions(df: DataFrame, order: Sequence[str], out: str = "_pos") -> D
 def assign_surrogates(target: DataFrame, source: DataFrame, natural_keys: str | Sequence[str],
                       key_col: str) -> DataFrame:
     """W7 — keep existing surrogate keys; give new natural keys ``max(key) + rank`` in
-    natural-key order. Ranks come from :func:`dense_positions` (distributed sort, per-partition
+    natural-key order. Keys compare null-safe: a NULL natural key is one key with one id. Ranks come from :func:`dense_positions` (distributed sort, per-partition
     offsets), never a single-partition window, and are deterministic for a given input
     (unlike ``monotonically_increasing_id`` alone)."""
     natural_keys = _list(natural_keys)
     nk = source.select(*natural_keys).distinct()
     existing = target.select(*natural_keys, key_col)
-    new = nk.join(existing.select(*natural_keys), natural_keys, "left_anti")
+    old = existing.select(*[F.col(k).alias(f"_old_{k}") for k in natural_keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in natural_keys]
+    new = nk.join(old, reduce(and_, same), "left_anti")
     base = target.agg(F.coalesce(F.max(key_col), F.lit(0)).cast("long").alias("b"))
     ranked = dense_positions(new, natural_keys, "_rank")
     fresh = ranked.select(*natural_keys, (F.col("_rank") + base.scalar()).cast("long").alias(key_col))

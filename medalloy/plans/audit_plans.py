@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medalloy.operators import audit as au
+from medalloy.operators import upsert as up
 from medalloy.plans.registry import plan
 from medalloy.plans.tables import read
 
@@ -77,7 +78,7 @@ def run_status(spark, sf_dir):
     return au.run_status(tr, steps, fails)
 
 
-@plan("step_state", "L1 L2 L3", oracle="""
+@plan("step_state", "L1", oracle="""
 WITH s AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, 'step_' || CAST(user_id AS VARCHAR) AS step_log_id,
                   ts, event_id, CASE WHEN event_type = 'error' THEN 'failed' WHEN event_type = 'view' THEN 'running'
                                      WHEN event_type = 'signup' THEN 'no_files' ELSE 'succeeded' END AS status, value FROM events),
@@ -143,3 +144,71 @@ def download_gap(spark, sf_dir):
     lb = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id").select(
         F.concat(F.lit("landing/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("source_file_path"))
     return au.landed_not_ingested(d, lb)
+
+
+@plan("file_log", "L2", oracle="""
+SELECT 'run_1' AS run_id, 'ingest_' || source AS step_log_id, source AS source_system, 'bronze.documents' AS target_table,
+       'landing/' || source || '/' || lang AS source_file_path, count(*) AS rows_ingested,
+       sha256('run_1|ingest_' || source || '|landing/' || source || '/' || lang) AS file_log_id
+FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL GROUP BY source, lang
+""")
+def file_log(spark, sf_dir):
+    """One row per file a load read: documents as rows of one file per source and language."""
+    d = read(spark, sf_dir, "documents").withColumn("source_file_path", F.concat(F.lit("landing/"), "source", F.lit("/"), "lang"))
+    return au.file_rows(d, run_id=F.lit("run_1"), step_log_id=F.concat(F.lit("ingest_"), "source"), source_system=F.col("source"),
+                        target_table="bronze.documents")
+
+
+@plan("landing_log", "L2", oracle="""
+SELECT user_id AS source_url, arg_max(h, (ts, event_id)) AS file_sha256,
+       CASE WHEN arg_max(event_type, (ts, event_id)) = 'view' THEN 'skipped'
+            WHEN arg_max(event_type, (ts, event_id)) = 'error' THEN 'failed' ELSE 'succeeded' END AS status
+FROM (SELECT CAST(user_id AS VARCHAR) AS user_id, ts, event_id, event_type,
+             CASE WHEN event_type = 'error' THEN '' ELSE sha256(props) END AS h FROM events) GROUP BY user_id
+""")
+def landing_log(spark, sf_dir):
+    """Latest download per source: events as attempts, views as unchanged files, errors without a file."""
+    e = read(spark, sf_dir, "events")
+    a = e.select(F.col("user_id").cast("string").alias("source_url"), "ts", "event_id",
+                 F.when(F.col("event_type") != "error", F.sha2("props", 256)).alias("file_sha256"),
+                 F.when(F.col("event_type") == "view", "skipped").otherwise("land").alias("decision"))
+    return au.landing_rows(a, order=["ts", "event_id"]).withColumn("file_sha256", F.coalesce("file_sha256", F.lit("")))
+
+
+@plan("transform_log", "L3 W5", oracle="""
+WITH t AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+b AS (SELECT o_custkey AS k, o_totalprice >= 5000 AS good FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'),
+s AS (SELECT DISTINCT k FROM b WHERE good)
+SELECT sha256('run_1|silver|silver.customer_last') AS transform_log_id, 'run_1' AS run_id, 'silver' AS step_log_id,
+       'orders' AS source_system, 'silver.customer_last' AS target_table, 'upsert' AS load_type,
+       (SELECT count(*) FROM b) AS rows_read, (SELECT count(*) FROM b WHERE NOT good) AS rows_rejected,
+       (SELECT count(*) FROM b WHERE good) - (SELECT count(*) FROM s) AS rows_deduplicated,
+       (SELECT count(*) FROM s WHERE k NOT IN (SELECT k FROM t)) AS rows_inserted,
+       (SELECT count(*) FROM s WHERE k IN (SELECT k FROM t)) AS rows_updated, CAST(0 AS BIGINT) AS rows_unchanged,
+       (SELECT count(*) FROM t WHERE k NOT IN (SELECT k FROM s)) AS rows_kept,
+       (SELECT count(*) FROM (SELECT k FROM t UNION SELECT k FROM s)) AS rows_written, 'succeeded' AS status, '' AS error
+""")
+def transform_log(spark, sf_dir):
+    """The log row of an upsert of each customer's last order: history before 1998, batch from 1998, small orders rejected."""
+    o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    cut = F.lit("1998-01-01").cast("timestamp")
+    batch = o.where(F.col("o_orderdate") >= cut)
+    good = F.col("o_totalprice") >= 5000
+    target = up.dedupe(o.where(F.col("o_orderdate") < cut), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    merged = up.merge_upsert(target, batch.where(good), ["o_custkey"], order=["o_orderdate", "o_orderkey"])
+    rejected = batch.agg(F.coalesce(F.sum((~good).cast("long")), F.lit(0))).scalar()
+    row = au.transform_rows(merged, run_id="run_1", step_log_id="silver", source_system="orders",
+                            target_table="silver.customer_last", load_type="upsert", rows_rejected=rejected)
+    return row.withColumn("error", F.coalesce("error", F.lit("")))
+
+
+@plan("run_header_check", "L4", oracle="""
+WITH r AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) || '/' || CAST(user_id AS VARCHAR) AS run_id, event_type FROM events)
+SELECT run_id, count(*) AS failures FROM r
+WHERE event_type = 'error' AND run_id NOT IN (SELECT run_id FROM r WHERE event_type = 'click') GROUP BY run_id
+""")
+def run_header_check(spark, sf_dir):
+    """Runs (user-days) that logged failures without a header; a click is the header row."""
+    e = read(spark, sf_dir, "events").select(
+        F.concat_ws("/", F.to_date("ts").cast("string"), F.col("user_id").cast("string")).alias("run_id"), "event_type")
+    return au.runs_without_header(e.where("event_type = 'click'"), e.where("event_type = 'error'"))

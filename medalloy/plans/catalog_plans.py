@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medalloy.functions.text import county_key, title_parts
 from medalloy.operators import checks as ck
 from medalloy.operators import rollup as ru
 from medalloy.plans.registry import plan
@@ -108,3 +109,40 @@ def schema_migration(spark, sf_dir):
     ck.enforce(ck.unique_violations(old, "c_custkey"), "customer.pk")
     store.write("customer", conform_to(old, spec.schema))
     return store.read("customer")
+
+
+@plan("title_parse", "2.9 A17", oracle="""
+WITH t AS (SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN replace(p_name, ' ', '-')
+                                  WHEN p_size % 2 = 0 THEN 'Old, ' || replace(p_name, ' ', '- ') || ', ' || replace(p_brand, '#', '-')
+                                  ELSE replace(p_name, ' ', '--') || ', ' || replace(p_brand, '#', '-') END AS title FROM part),
+s AS (SELECT p_partkey, title, string_split(title, ',') AS c FROM t),
+x AS (SELECT p_partkey, title,
+             list_filter(list_transform(string_split(array_to_string(CASE WHEN len(c) > 1 THEN c[:-2] ELSE c END, ','), '-'), lambda v: trim(v)), lambda v: v <> '') AS cities,
+             list_filter(list_transform(string_split(CASE WHEN len(c) > 1 THEN c[-1] ELSE '' END, '-'), lambda v: trim(v)), lambda v: v <> '') AS states
+      FROM s)
+SELECT p_partkey, title, array_to_string(cities, '|') AS cities, array_to_string(states, '|') AS states,
+       coalesce(states[1], '') AS primary_state FROM x
+""")
+def title_parse(spark, sf_dir):
+    """Area titles made of part names and brands, cut into cities and states."""
+    p = read(spark, sf_dir, "part")
+    states = F.regexp_replace("p_brand", "#", "-")
+
+    def cities(dash: str):
+        return F.regexp_replace("p_name", " ", dash)
+
+    title = (F.when(F.col("p_size") % 7 == 0, cities("-"))
+             .when(F.col("p_size") % 2 == 0, F.concat(F.lit("Old, "), cities("- "), F.lit(", "), states))
+             .otherwise(F.concat(cities("--"), F.lit(", "), states)))
+    t = p.select("p_partkey", title.alias("title"))
+    got = title_parts(F.col("title"))
+    return t.select("p_partkey", "title", F.array_join(got["cities"], "|").alias("cities"),
+                    F.array_join(got["states"], "|").alias("states"), got["primary_state"].alias("primary_state"))
+
+
+@plan("county_key", "2.9", oracle="""
+SELECT c_custkey, printf('%02d%03d', c_nationkey, c_custkey) AS county_key FROM customer
+""")
+def county_keys(spark, sf_dir):
+    """State and county code of every customer: nation and customer number, zero-padded."""
+    return read(spark, sf_dir, "customer").select("c_custkey", county_key(F.col("c_nationkey"), F.col("c_custkey")).alias("county_key"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from medalloy.operators import metrics as mx
@@ -40,7 +41,7 @@ f AS (SELECT * FROM nm FULL JOIN rent USING (geo_id, month_end))
 """
 
 
-@plan("price_to_rent", "P9 M1 M2 M13", oracle=f"""
+@plan("price_to_rent", "P9 M1 M2", oracle=f"""
 WITH {_D_FEEDS}
 SELECT geo_id, month_end, value, rent,
        round(CASE WHEN rent * 12 IS NOT NULL AND rent * 12 <> 0 THEN value / (rent * 12) END, 2) AS price_to_rent,
@@ -124,7 +125,7 @@ def risk_band(spark, sf_dir):
     return c.select("c_custkey", label.alias("risk_label"), key.alias("risk_key"), rlabel.alias("resilience_label"))
 
 
-@plan("spread", "M10 M12 J12", oracle="""
+@plan("spread", "M10 J12", oracle="""
 WITH nm AS (SELECT c_nationkey AS geo_id, year(CAST(o_orderdate AS DATE)) * 12 + month(CAST(o_orderdate AS DATE)) AS ord,
                    last_day(CAST(o_orderdate AS DATE)) AS month_end, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value
             FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
@@ -170,3 +171,51 @@ def heat_band(spark, sf_dir):
     ratio = mx.safe_ratio(F.col("pending"), F.col("active"), digits=None)
     return g.select("o_custkey", "active", "pending", F.round(ratio, 4).alias("pending_ratio"),
                     mx.heat_band(ratio).alias("heat"))
+
+
+@plan("rate_change_bps", "M12 J9", oracle="""
+WITH r AS (SELECT o_orderpriority AS series_id, last_day(CAST(o_orderdate AS DATE)) AS month_end,
+                  year(CAST(o_orderdate AS DATE)) * 12 + month(CAST(o_orderdate AS DATE)) AS ord,
+                  sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) / count(*) * 100 AS rate FROM orders GROUP BY 1, 2, 3)
+SELECT c.series_id, c.month_end, c.rate, round((c.rate - p.rate) * 100, 2) + 0.0 AS change_bps
+FROM r c LEFT JOIN r p ON p.series_id = c.series_id AND p.ord = c.ord - 12
+""")
+def rate_change_bps(spark, sf_dir):
+    """Share of filled orders per series and month (a rate in percent) against the same month a year before."""
+    o = read(spark, sf_dir, "orders")
+    rate = F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)) / F.count(F.lit(1)) * 100
+    r = (o.groupBy(F.col("o_orderpriority").alias("series_id"), F.last_day(F.to_date("o_orderdate")).alias("month_end"))
+         .agg(rate.alias("rate")).withColumn("_m", F.year("month_end") * 12 + F.month("month_end")))
+    year = Window.partitionBy("series_id").orderBy("_m").rangeBetween(-12, -12)
+    return r.select("series_id", "month_end", "rate", (mx.bps_change(F.col("rate"), F.max("rate").over(year)) + 0.0).alias("change_bps"))
+
+
+@plan("rent_burden", "M13 P9", oracle="""
+WITH i AS (SELECT c_nationkey AS geo_id, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS income FROM customer GROUP BY 1),
+r AS (SELECT c_nationkey AS geo_id, last_day(CAST(o_orderdate AS DATE)) AS month_end,
+             CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS rent
+      FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)
+SELECT geo_id, month_end, rent, income,
+       round(CASE WHEN income IS NOT NULL AND income <> 0 THEN rent * 12 / income * 100 END, 2) AS rent_burden_pct
+FROM r LEFT JOIN i USING (geo_id)
+""")
+def rent_burden(spark, sf_dir):
+    """Monthly nation value as rent against the nation's summed balances as income."""
+    income = (read(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("geo_id"))
+              .agg(F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("income")))
+    r = nation_monthly(spark, sf_dir).select("geo_id", "month_end", F.col("value").alias("rent"))
+    j = r.join(broadcast_if_small(income), "geo_id", "left")
+    return j.select("geo_id", "month_end", "rent", "income", mx.rent_burden("rent", "income").alias("rent_burden_pct"))
+
+
+@plan("flow_ratio", "M11 P9", oracle="""
+SELECT o_custkey, n_new, active, round(CASE WHEN active <> 0 THEN n_new / active END, 4) AS new_active_ratio
+FROM (SELECT o_custkey, CAST(sum(CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 1 ELSE 0 END) AS BIGINT) AS n_new,
+             CAST(sum(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END) AS BIGINT) AS active FROM orders GROUP BY 1)
+""")
+def flow_ratio(spark, sf_dir):
+    """New against active listings per customer: orders from 1998 on against orders not yet filled; NULL without active ones."""
+    g = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.sum(F.when(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp"), 1).otherwise(0)).alias("n_new"),
+        F.sum(F.when(F.col("o_orderstatus") != "F", 1).otherwise(0)).alias("active"))
+    return g.select("o_custkey", "n_new", "active", mx.safe_ratio("n_new", "active", digits=4).alias("new_active_ratio"))

@@ -188,12 +188,13 @@ def changed_files(candidates: DataFrame, last: DataFrame, *, source_col: str = "
 def acceptance_reason(content: Column, length: Column, declared_size: Column, fmt: Column,
                       expected_header: Column) -> Column:
     """S13 — first failing check wins: empty; size differs from declared; for CSV only, the
-    header (BOM stripped) must start with the expected header; else NULL (accepted)."""
-    text = F.decode(content, "UTF-8")
-    first = F.regexp_replace(F.split(text, "\r?\n").getItem(0), "^" + BOM, "")
+    header's columns (BOM stripped) must begin with the expected columns; else NULL (accepted)."""
+    first = F.regexp_replace(F.substring_index(F.decode(content, "UTF-8"), "\n", 1), r"\r$", "")
+    expected = header_tokens(expected_header)
+    begins = F.slice(header_tokens(first), 1, F.size(expected)) == expected
     return (F.when(length == 0, F.lit("empty"))
              .when(declared_size.isNotNull() & (length != declared_size), F.lit("size_mismatch"))
-             .when((fmt == "csv") & expected_header.isNotNull() & ~first.startswith(expected_header),
+             .when((fmt == "csv") & expected_header.isNotNull() & ~begins,
                    F.lit("header_mismatch")))
 
 

@@ -1,9 +1,10 @@
 """Versioned Parquet table store: MERGE-free upserts with atomic commits.
 
-Layout: ``<root>/<table>/v=<n>/`` holds version ``n``; ``<root>/<table>/_commits/<n>`` is an
-empty marker written only after version ``n`` is complete and its checks passed. Readers
-take the highest committed version, so a read-modify-write never reads and overwrites the
-same files, and a failed or lost job leaves the previous version current. The root lives
+Layout: every write attempt has a folder of its own, ``<root>/<table>/v=<n>-<attempt>/``;
+the marker ``<root>/<table>/_commits/<n>`` names the folder that became version ``n`` and is
+written only after it is complete and its checks passed. Readers take the highest committed
+version. A failed or lost job leaves the previous version current, and of two writers that
+start from one version the later fails at the marker without touching the other's files. The root lives
 under the cluster's shared ``spark.checkpoint.dir`` unless given.
 
 Metrics (rows written, inserted/updated/...) come from ``DataFrame.observe`` on the write
@@ -12,6 +13,7 @@ itself — no second pass over the data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -47,11 +49,11 @@ def column(name: str, dtype: T.DataType, comment: str = "", nullable: bool = Tru
 
 def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     """W13 — additive migration: add missing columns as typed NULLs, cast and order by the
-    declared schema; extra columns are an error (never silently dropped)."""
+    declared schema, with its column comments; extra columns are an error (never silently dropped)."""
     extra = [c for c in df.columns if c not in schema.fieldNames()]
     if extra:
         raise ValueError(f"columns not in the declared schema: {extra}")
-    cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+    cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name, metadata=f.metadata)
             for f in schema.fields]
     return df.select(*cols)
 
@@ -68,13 +70,14 @@ class TableStore:
     def _fs(self, p: str):
         return self._Path(p).getFileSystem(self._conf)
 
-    def _commits(self, name: str) -> list[int]:
+    def _commits(self, name: str, started: bool = False) -> list[int]:
+        """Committed versions; with ``started`` also numbers whose marker was never filled."""
         d = f"{self.root}/{name}/_commits"
         fs = self._fs(d)
         if not fs.exists(self._Path(d)):
             return []
         return sorted(int(s.getPath().getName()) for s in fs.listStatus(self._Path(d))
-                      if s.getPath().getName().isdigit())
+                      if s.getPath().getName().isdigit() and (started or s.getLen() > 0))
 
     def version(self, name: str) -> int | None:
         c = self._commits(name)
@@ -83,16 +86,25 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return self.version(name) is not None
 
-    def _commit(self, name: str, v: int) -> None:
+    def _commit(self, name: str, v: int, folder: str) -> None:
         p = self._Path(f"{self.root}/{name}/_commits/{v}")
-        self._fs(str(p)).create(p, False).close()
+        out = self._fs(p.toString()).create(p, False)  # fails if another writer took the number
+        out.writeUTF(folder)
+        out.close()
 
-    # -- reads / writes ----------------------------------------------------------------
-    def read(self, name: str) -> DataFrame:
+    def _folder(self, name: str) -> str:
         v = self.version(name)
         if v is None:
             raise FileNotFoundError(f"table {name} has no committed version")
-        return self.spark.read.parquet(f"{self.root}/{name}/v={v}")
+        p = self._Path(f"{self.root}/{name}/_commits/{v}")
+        marker = self._fs(p.toString()).open(p)
+        folder = marker.readUTF()
+        marker.close()
+        return f"{self.root}/{name}/{folder}"
+
+    # -- reads / writes ----------------------------------------------------------------
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self._folder(name))
 
     def write(self, name: str, df: DataFrame, *, partition_by: Sequence[str] = (),
               metrics: Mapping[str, object] | None = None, check=None,
@@ -100,20 +112,21 @@ class TableStore:
         """W8 — full rebuild as a new version; ``metrics`` are aggregate Columns observed during
         the write (on ``df``; ``columns`` then selects what is stored); ``check(metrics)`` may
         raise to abort before the commit."""
-        v = (self.version(name) or 0) + 1
+        v = max(self._commits(name, started=True), default=0) + 1
+        folder = f"v={v}-{uuid.uuid4().hex[:12]}"
         obs = Observation(f"w_{name}_{v}")
         named = {"rows_written": F.count(F.lit(1)), **(metrics or {})}
         observed = df.observe(obs, *[c.alias(k) for k, c in named.items()])
         if columns is not None:
             observed = observed.select(*columns)
-        w = observed.write.mode("overwrite")
+        w = observed.write
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.root}/{name}/v={v}")
+        w.parquet(f"{self.root}/{name}/{folder}")
         result = dict(obs.get)
         if check is not None:
             check(result)
-        self._commit(name, v)
+        self._commit(name, v, folder)
         result["version"] = v
         return result
 
@@ -134,9 +147,17 @@ class TableStore:
         return out
 
     def append(self, name: str, df: DataFrame) -> dict:
-        """W10 — append-only logs: the new version is the old one plus the new rows."""
-        base = self.read(name) if self.exists(name) else None
-        return self.write(name, df if base is None else base.unionByName(df, allowMissingColumns=True))
+        """W10 — append-only logs: new files are added to the current version, nothing is rewritten.
+        Missing columns are NULL; a batch with new columns needs a migration and becomes a new version."""
+        if not self.exists(name):
+            return self.write(name, df)
+        base = self.read(name)
+        if set(df.columns) - set(base.columns):
+            return self.write(name, base.unionByName(df, allowMissingColumns=True))
+        obs = Observation(f"a_{name}_{uuid.uuid4().hex[:12]}")
+        rows = conform_to(df, base.schema).observe(obs, F.count(F.lit(1)).alias("rows_written"))
+        rows.write.mode("append").parquet(self._folder(name))
+        return {**obs.get, "version": self.version(name)}
 
     def upsert(self, name: str, source: DataFrame, keys: Sequence[str], *, resolve_duplicates: bool = False,
                **merge_kw) -> dict:

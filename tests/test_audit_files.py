@@ -80,6 +80,10 @@ def test_inventory_and_acceptance(spark):
     r = df.select(fs.acceptance_reason(F.col("content"), F.length("content"), F.lit(None).cast("long"),
                                        F.lit("csv"), F.lit("a,b")).alias("r")).collect()
     assert [x.r for x in r] == ["empty", None, None, "header_mismatch"]
+    df = spark.createDataFrame([(b"a,bb\r\n1",), (b"a,b\r\n1",), (b"a",)], "content binary")  # whole columns, not characters
+    r = df.select(fs.acceptance_reason(F.col("content"), F.length("content"), F.lit(None).cast("long"),
+                                       F.lit("csv"), F.lit("a,b")).alias("r")).collect()
+    assert [x.r for x in r] == ["header_mismatch", None, "header_mismatch"]
 
 
 def test_audit_log_steps(spark):
@@ -110,3 +114,24 @@ def test_enforce_headers(spark):
     with pytest.raises(fs.HeaderContractError):
         fs.enforce_headers(fs.header_report(spark, d, ["x", "z"]))
     assert fs.enforce_headers(fs.header_report(spark, d, ["x", "y"]).limit(0)) == "no_files"
+
+
+def test_run_without_header_raises(spark):
+    import pytest
+    runs = spark.createDataFrame([("r1",), ("r1",)], "run_id string")
+    fails = spark.createDataFrame([("r1", "a"), ("r2", "b"), ("r2", "c")], "run_id string, task string")
+    assert [tuple(r) for r in au.runs_without_header(runs, fails).collect()] == [("r2", 2)]
+    with pytest.raises(au.MissingRunHeader, match="1 runs"):
+        au.require_headers(runs, fails)
+    au.require_headers(runs, fails.where("run_id = 'r1'"))
+
+
+def test_title_and_key_edges(spark):
+    from medalloy.functions.text import county_key, title_parts
+    df = spark.createDataFrame([("New York-Newark, NY-NJ",), ("Lone",), ("A, B, TX",), ("",), (None,)], "t string")
+    p = title_parts(F.col("t"))
+    got = [(r.c, r.s, r.p) for r in df.select(p["cities"].alias("c"), p["states"].alias("s"), p["primary_state"].alias("p")).collect()]
+    assert got == [(["New York", "Newark"], ["NY", "NJ"], "NY"), (["Lone"], [], ""), (["A, B"], ["TX"], "TX"), ([], [], ""),
+                   (None, None, None)]
+    keys = spark.createDataFrame([("1", "7"), ("36", "061"), ("4", "12345")], "s string, c string")
+    assert [r[0] for r in keys.select(county_key(F.col("s"), F.col("c"))).collect()] == ["01007", "36061", "0412345"]

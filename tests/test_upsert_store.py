@@ -110,3 +110,61 @@ def test_dense_positions_match_sorted_rank(spark):
     got = {r.k: r._pos for r in up.dense_positions(df, ["k"]).collect()}
     want = {k: i + 1 for i, k in enumerate(sorted(keys))}
     assert got == want
+
+
+def test_two_writers_of_one_version(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="race-", dir="/tmp")
+    a, b = TableStore(spark, root), TableStore(spark, root)
+    a.write("t", spark.range(3))
+    seen = b._commits("t", started=True)
+    a.write("t", spark.range(5))
+    monkeypatch.setattr(b, "_commits", lambda name, started=False: seen)  # b read the version before a's commit
+    with pytest.raises(Exception, match="(?i)exist"):
+        b.write("t", spark.range(1))
+    assert a.version("t") == 2 and a.read("t").count() == 5
+
+
+def test_append_rewrites_nothing(spark):
+    st = TableStore(spark, tempfile.mkdtemp(prefix="append-", dir="/tmp"))
+    st.append("log", spark.createDataFrame([(1, "a")], "k int, s string"))
+    before = set(st.read("log").inputFiles())
+    assert st.append("log", spark.createDataFrame([(2,)], "k int"))["rows_written"] == 1
+    assert before < set(st.read("log").inputFiles())
+    assert sorted(tuple(r) for r in st.read("log").collect()) == [(1, "a"), (2, None)]
+
+
+def test_comments_survive_a_write(spark):
+    st = TableStore(spark, tempfile.mkdtemp(prefix="comment-", dir="/tmp"))
+    spec = TableSpec("c", T.StructType([column("k", T.IntegerType(), "key"), column("v", T.StringType(), "value")]))
+    st.write("c", conform_to(spark.createDataFrame([(1,)], "k int"), spec.schema))
+    assert {f.name: f.metadata.get("comment") for f in st.read("c").schema} == {"k": "key", "v": "value"}
+
+
+def test_null_natural_key_keeps_its_id(spark):
+    s = spark.createDataFrame([("x",), (None,), (None,)], "n string")
+    t = spark.createDataFrame([], "n string, key long")
+    first = up.assign_surrogates(t, s, "n", "key")
+    again = up.assign_surrogates(first, s, "n", "key")
+    assert sorted(map(tuple, first.collect()), key=str) == sorted(map(tuple, again.collect()), key=str)
+    assert first.where("n is null").count() == 1
+
+
+def test_stream_with_repeated_keys(spark):
+    from medalloy.streaming.incremental import upsert_new_files
+    base = tempfile.mkdtemp(prefix="stream2-", dir="/tmp")
+    land = os.path.join(base, "landing")
+    os.makedirs(land)
+    st = TableStore(spark, os.path.join(base, "tables"))
+
+    def load(name: str, text: str, table: str, order=()):
+        with open(os.path.join(land, name), "w") as f:
+            f.write(text)
+        upsert_new_files(spark, land, ["k", "v"], st, table, ["k"], os.path.join(base, "ck-" + table), order=order,
+                         transform=lambda b: b.select("k", "v"))
+
+    load("a.csv", "k,v\n1,a\n1,b\n2,c\n", "ordered", ["v"])
+    load("b.csv", "k,v\n2,d\n2,e\n", "ordered", ["v"])
+    assert sorted(tuple(r) for r in st.read("ordered").collect()) == [("1", "b"), ("2", "e")]
+    with pytest.raises(Exception, match="occurs 3 times"):
+        load("c.csv", "k,v\n3,f\n", "plain")
+    assert not st.exists("plain")
