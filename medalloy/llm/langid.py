@@ -140,8 +140,10 @@ def learn(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str
     rows = docs.where(train).select(col(id_col).alias("id"), col(text_col).alias("text"), col(lang_col).cast("string").alias("lang"))
     rows = rows.where("text is not null and lang is not null")
     totals = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    pick = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000)) < F.lit(1e6) * sample_docs / F.col("n")
-    words = (rows.join(totals, "lang").where(pick)
+    # one entry per language, looked up in the scan: no text is dealt by language
+    sizes = totals.agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("sizes")).scalar()
+    pick = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000)) < F.lit(1e6) * sample_docs / F.try_element_at(sizes, F.col("lang"))
+    words = (rows.where(pick)
              .select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("w"))
              .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("k")))
     words = cut(words)
