@@ -2,13 +2,15 @@
 
 Per language, a suffix automaton holds labelled text. A text is cross-parsed against each: from
 left to right it is cut into the longest phrases that the language's text contains. A phrase
-costs the bits that name a place in that text; the language with the fewest normalised phrases
-(bits per letter) wins. Phrases don't cross white space, so a word's phrase count is found once
-per task and reused: words are framed by spaces, and the whole text counts.
+costs the bits that name a place in the longest language's text, the same for all, so that a
+short text gains nothing; the language with the fewest normalised phrases (bits per letter)
+wins. Phrases don't cross white space, so a word's phrase count is found once per task and
+reused: words are framed by spaces, and the whole text counts.
 
 Learnt from a bounded, documented sample of the labelled rows: about ``SAMPLE_DOCS`` documents
 per language, and of their words the ``MAX_WORDS`` most frequent that are more usual in that
-language than in any other. All languages get text of the same length.
+language than in any other. Each language holds all of its own words, however few another has;
+word rates are smoothed by the rates over all languages, so a small sample wins no common words.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter, or if nothing
 was learnt; ties go to the alphabetically first language; with one language its score is 1.
@@ -87,16 +89,8 @@ class Classifier:
 
     def __init__(self, words: dict[str, list[str]]):
         self.langs = sorted(words)
-        size = min((sum(len(w) + 2 for w in v) for v in words.values()), default=0)
-        self.automata = []
-        for lang in self.langs:
-            text, left = [], size
-            for w in words[lang]:
-                text.append(f" {w} ")
-                left -= len(w) + 2
-                if left <= 0:
-                    break
-            self.automata.append(SuffixAutomaton("\n".join(text)))
+        self.automata = [SuffixAutomaton("\n".join(f" {w} " for w in words[lang])) for lang in self.langs]
+        self.bits = max((a.bits for a in self.automata), default=0.0)
         self.at: dict[str, int] = {}
         self.costs = np.zeros((1024, len(self.langs) + 1))
 
@@ -110,7 +104,7 @@ class Classifier:
             letters = "".join(c for c in w if c.isalpha())
             row = self.costs[len(at)]
             row[-1] = len(letters)
-            row[:-1] = [a.bits * a.phrases(f" {letters} ") for a in self.automata] if letters else 0
+            row[:-1] = [self.bits * a.phrases(f" {letters} ") for a in self.automata] if letters else 0
             at[w] = len(at)
         return np.fromiter(map(at.__getitem__, words), np.int64, len(words))
 
@@ -148,7 +142,11 @@ def learn(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str
              .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("k")))
     words = cut(words)
     of = words.groupBy("lang").agg(F.sum("k").alias("all"))
-    rate = words.join(of, "lang").withColumn("r", F.col("k") / F.col("all"))
+    most, every = of.agg(F.max("all"), F.sum("all")).first()
+    usual = words.groupBy("w").agg((F.sum("k") / F.lit(every)).alias("p"))
+    # drawn to the rate over all languages, as by as many words as the largest language has
+    smooth = (F.col("k") + F.lit(most) * F.col("p")) / (F.col("all") + F.lit(most))
+    rate = words.join(of, "lang").join(usual, "w").withColumn("r", smooth)
     best = rate.groupBy("w").agg(F.max(F.struct("r", "lang")).alias("b")).select("w", F.col("b.lang").alias("lang"))
     own = rate.join(best, ["w", "lang"])
     top = own.withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("k"), "w"))).where(F.col("i") <= max_words)

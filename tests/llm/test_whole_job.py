@@ -1,0 +1,27 @@
+"""Inputs on which an operator once did less than its whole job."""
+
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from medalloy.llm import langid
+from medalloy.llm.common import crc_mod
+
+
+def test_a_rare_language_leaves_the_others_whole(spark):
+    """One short document of a further language neither empties the automata nor takes common words."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    alone = langid.learn(docs, ~held_out)
+    common = [w for v in sorted(alone) for w in alone[v][:2]][:8]
+    rare = next(i for i in range(-1, -9, -1) if zlib.crc32(str(i).encode()) % 5)
+    more = docs.unionByName(spark.createDataFrame([(rare, " ".join(common) + " qxv zzkw", "xx")], docs.schema))
+    words = langid.learn(more, ~held_out)
+    assert set(words["xx"]) == {"qxv", "zzkw"}
+    assert all(len(words[v]) >= len(alone[v]) - 2 for v in alone) and all(words[v][:2] == alone[v][:2] for v in alone)
+    model = langid.Classifier(words)
+    assert [len(a.next) > 1000 for a in model.automata] == [v != "xx" for v in model.langs]
+    rows = langid.predict(more.where(held_out), words).where("lang is not null").select("lang", "lang_pred").collect()
+    assert len(rows) > 50 and sum(a == b for a, b in rows) >= 0.97 * len(rows)
+    assert model.predict("zzkw qxv")[0] == "xx"
