@@ -10,7 +10,10 @@ if it differs from the item by at most ``floor(0.2 n)`` word edits (a similarity
    Hamming distance once the walks of item and window meet again. Independent walks and sampled
    pairs of positions form the hash tables; an item that shares a table's key is a candidate.
 3. Each candidate is verified by the exact edit distance from the window's start to the best
-   end (Myers' bit vectors over words).
+   end (Myers' bit vectors over words). Equal windows share all keys, so exact copies are settled.
+4. The walks thin out on long items that lost words, so for every other pair of text and item all
+   starts that step 1 left are verified, in one backward pass: the recall is 1 for any length, and
+   the passage named is the best one.
 
 An item of the benchmark costs a few hundred bytes on each executor. Items are sent in blocks
 of ``ITEM_BLOCK`` rows, with one pass over the documents per block, so what is broadcast is
@@ -78,8 +81,12 @@ def table_keys(words: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
     return keys
 
 
-def prefix_distances(item: list[int], text: list[int]) -> list[int]:
-    """Edit distance of ``item`` to each prefix of ``text`` (lengths 0..len): Myers' bit vectors."""
+def prefix_distances(item: list[int], text: list[int], anywhere: bool = False) -> list[int]:
+    """Edit distance of ``item`` to each prefix of ``text`` (lengths 0..len): Myers' bit vectors.
+
+    ``anywhere``: to the best suffix of each prefix, so a passage may start at any word.
+    """
+    first = 0 if anywhere else 1
     m = len(item)
     where: dict[int, int] = {}
     for i, w in enumerate(item):
@@ -92,12 +99,28 @@ def prefix_distances(item: list[int], text: list[int]) -> list[int]:
         xh = (((eq & pv) + pv) ^ pv) | eq
         ph, mh = mv | ~(xh | pv) & full, pv & xh
         score += bool(ph & top) - bool(mh & top)
-        ph, mh = (ph << 1 | 1) & full, mh << 1 & full
+        ph, mh = (ph << 1 | first) & full, mh << 1 & full
         pv, mv = mh | ~(xv | ph) & full, ph & xv
         out.append(score)
     return out
 
 
+def best_passage(item: list[int], text: list[int], starts: list[int], k: int) -> tuple[int, int, int] | None:
+    """(distance, first word, end word) of the best passage at one of the sorted ``starts``, if within ``k`` edits."""
+    reach, back, best, lo = len(item) + k, item[::-1], None, 0
+    for hi in range(len(starts)):
+        if hi + 1 < len(starts) and starts[hi + 1] - starts[hi] < reach:
+            continue
+        own, lo = starts[lo:hi + 1], hi + 1
+        region = text[own[0]:own[-1] + reach]
+        got = prefix_distances(back, region[::-1], anywhere=True)  # by the words from the start to the region's end
+        best = min([(got[len(region) - s + own[0]], s) for s in own] + ([best] if best else []))
+    if best is None or best[0] > k:
+        return None
+    got = prefix_distances(item, text[best[1]:best[1] + reach])
+    return best[0], best[1], best[1] + got.index(best[0])
+
+
 class Matcher:
     """Tables of a block of items; matches whole texts."""
 
@@ -179,9 +202,11 @@ class Matcher:
         found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
         by_len: dict[int, list[tuple[int, np.ndarray]]] = {}
         open_: set[tuple[int, int, int]] = set()
+        left: dict[tuple[int, int], list[int]] = {}
         for d, w in enumerate(hashed):
             for n, own in self.windows(w).items():
                 by_len.setdefault(n, []).append((d, np.unique(np.concatenate([s for _, s in own]))))
+                left.update(((d, a), starts.tolist()) for a, starts in own)
                 open_.update((d, a, s) for a, starts in own for s in starts.tolist())
         for n, parts in by_len.items():
             docs = sorted({d for d, _ in parts})
@@ -205,6 +230,12 @@ class Matcher:
                     best = (dist, s, s + got.index(dist))
                     if a not in found[d] or best < found[d][a]:
                         found[d][a] = best
+        for (d, a), starts in left.items():
+            if found[d].get(a, (1,))[0]:  # no exact copy
+                item = self.items[a][1].tolist()
+                best = best_passage(item, hashed[d].tolist(), starts, allowed(len(item)))
+                if best:
+                    found[d][a] = best
         return [[(self.items[a][0], *v) for a, v in sorted(f.items())] for f in found]
 
     def _candidates(self, words: np.ndarray, at: np.ndarray, end: np.ndarray, n: int) -> list[tuple[int, int]]:

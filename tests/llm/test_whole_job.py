@@ -1,11 +1,11 @@
 """Inputs on which an operator once did less than its whole job."""
 
+import random
 import zlib
 
-import pytest
 from pyspark.sql import functions as F
 
-from medalloy.llm import langid
+from medalloy.llm import decontam, langid
 from medalloy.llm.common import crc_mod
 
 
@@ -25,3 +25,24 @@ def test_a_rare_language_leaves_the_others_whole(spark):
     rows = langid.predict(more.where(held_out), words).where("lang is not null").select("lang", "lang_pred").collect()
     assert len(rows) > 50 and sum(a == b for a, b in rows) >= 0.97 * len(rows)
     assert model.predict("zzkw qxv")[0] == "xx"
+
+
+def test_long_items_that_lost_words_are_found():
+    """Items of 100 to 500 words with as many deletions as are allowed: each is found, at its best passage."""
+    rng = random.Random(7)
+    word = lambda: f"v{rng.randrange(5000)}"
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([100, 200, 350, 500] * 3)]
+    texts = []
+    for _, t in items:
+        words = t.split()
+        for _ in range(decontam.allowed(len(words))):
+            del words[rng.randrange(len(words))]
+        texts.append(" ".join([word() for _ in range(30)] + words + [word() for _ in range(40)]))
+    texts.append(" ".join(items[0][1].split()[:80]))  # at the end of a text
+    got = decontam.Matcher(items).match(texts)
+    assert [[h[0] for h in hits] for hits in got] == [[i] for i, _ in items] + [[0]]
+    hashed = {i: decontam.word_hashes(t).tolist() for i, t in items}
+    for t, ((i, *found),) in zip(texts, got, strict=True):
+        w, x = decontam.word_hashes(t).tolist(), hashed[i]
+        by_start = [decontam.prefix_distances(x, w[s:s + 2 * len(x)]) for s in range(len(w))]
+        assert tuple(found) == min((min(d), s, s + d.index(min(d))) for s, d in enumerate(by_start))
