@@ -1,7 +1,9 @@
 """Secret scan: fixed patterns, plus a randomness test battery with false-discovery control.
 
-A candidate is a run of 16 or more characters of the usual text encodings. Its encoding is
-inferred from its characters. Two questions decide: does it look random in that encoding
+A candidate is a run of 16 or more characters of the usual text encodings, cut at ``=`` and at
+base spans; where no one encoding holds it, its parts between ``/`` or ``+`` and those between
+``-`` or ``_`` are candidates (random parts that overlap become one span). The encoding is
+inferred from the characters. Two questions decide: does it look random in that encoding
 (chi-squared test of uniform symbols, runs test, serial correlation, joined by Fisher's
 method), and is it too unlikely as ordinary text of this corpus? The second p-value is the
 likelihood ratio bound min(1, P(text) / P(uniform)) under the corpus' own character counts; it
@@ -37,6 +39,8 @@ _ASSIGN = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(ACCESS)
 _HEX = re.compile(HEX.replace("+", "{24,}"))  # a maximal run: the leftmost match of HEX
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_VALUE = re.compile(r"[^=]{16,}")
+_PARTS = re.compile(r"[^/+]{16,}"), re.compile(r"[^-_]{16,}")  # base64url, base64
 
 # Encodings from the narrowest alphabet to the widest (fixed values).
 ENCODINGS = (
@@ -64,7 +68,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def infer_encoding(token: str) -> tuple[str, dict[str, int]] | None:
-    """Narrowest encoding that holds all characters; padding ``=`` at the end is left out."""
+    """Narrowest encoding that holds all characters."""
     chars = set(token)
     if not chars & set("0123456789"):
         return None  # letters alone name no encoding: words, not keys
@@ -113,17 +117,29 @@ def _chi2_tail(x: float, df: int) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+def _outside(s: int, e: int, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of a run that lie outside the sorted base spans."""
+    for a, _, b in taken:
+        if s < b and a < e:
+            if s < a:
+                yield s, a
+            s = b
+    if s < e:
+        yield s, e
+
+
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, str, dict[str, int]]]:
-    """Candidate (start, end, token, alphabet) that look random and touch no base span."""
+    """Candidate (start, end, token, alphabet) in text order that look random and touch no base span."""
     out = []
     for m in _CANDIDATE.finditer(text):
-        token = m.group().rstrip("=")
-        s, e = m.start(), m.start() + len(token)
-        if len(token) < 16 or any(s < b and a < e for a, _, b in taken):
-            continue
-        found = infer_encoding(token)
-        if found and battery(token, found[1]) >= NOT_RANDOM:
-            out.append((s, e, token, found[1]))
+        for v in (v for s, e in _outside(*m.span(), taken) for v in _VALUE.finditer(text, s, e)):
+            spans = {v.span()}
+            if not (set("+/").isdisjoint(v.group()) or set("-_").isdisjoint(v.group())):
+                spans = {p.span() for cuts in _PARTS for p in cuts.finditer(text, *v.span())}
+            for s, e in sorted(spans):
+                found = infer_encoding(text[s:e])
+                if found and battery(text[s:e], found[1]) >= NOT_RANDOM:
+                    out.append((s, e, text[s:e], found[1]))
     return out
 
 
@@ -195,10 +211,12 @@ def fit(docs: DataFrame, text_col: str = "text", fdr: float = FDR) -> tuple[dict
 def scan(text: str, logs: dict[str, float], limits: dict[int, int]) -> list[tuple[int, int, int]]:
     """All spans (start, kind, end) of a text: base spans, and random ones within the rate."""
     base = base_spans(text)
-    more = []
+    more: list[tuple[int, int, int]] = []
     for s, e, token, index in candidates(text, base):
         limit = limits.get(length_class(len(token)))
         if limit is not None and math.ceil(BIN * log_p(token, index, logs)) <= limit:
+            if more and s < more[-1][2]:  # the other cut of the same run
+                s, e = more[-1][0], max(e, more.pop()[2])
             more.append((s, 3, e))
     return sorted(base + more) if more else base
 
