@@ -5,7 +5,9 @@ classes along the path from the root) form one style node. A node's content impo
 minus the mean entropy of its distinct contents over the host's pages: content found on one page
 only has entropy 0, content on all pages entropy 1. Presentation importance comes first: an
 element made for navigation, adverts, comments and the like has none, the text of an ``article``
-or ``main`` has all. Branches whose importance is below the threshold are left out of each page.
+or ``main`` has all. A class, an id or a form only marks a branch: it goes if its content importance
+is low, too; a mark on ``html`` or ``body`` says nothing, and none reaches an ``article`` or ``main``
+below it. Branches whose importance is below the threshold are left out of each page.
 
 A host with few pages says little, so its importance is drawn towards that of the same style
 node over all hosts (as ``PRIOR_PAGES`` pages would). Statistics cover all pages; pages of equal
@@ -35,6 +37,7 @@ from medalloy.llm.common import SLICE_CHARS, col, cut
 
 PRIOR_PAGES = 20
 THRESHOLD = 0.4
+NAMED_THRESHOLD = 0.8  # below a class or id that is a noise word as a whole
 # Low nodes are sent to executors whole up to this number, else joined by host.
 MAX_SENT_NODES = 200_000
 
@@ -42,13 +45,13 @@ MAX_SENT_NODES = 200_000
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noscript template iframe svg".split())
 NEVER = frozenset("head title script style noscript template iframe svg select option button textarea object math canvas".split())
-NOISE_TAGS = frozenset("nav footer aside form menu dialog header".split())
+NOISE_TAGS = frozenset("nav footer aside menu dialog header".split())
 NOISE_WORDS = frozenset(
     "ad ads advert advertisement advertising banner sponsor sponsored promo promotion sidebar side nav navbar navigation menu "
     "breadcrumb breadcrumbs footer header masthead comment comments reply replies respond disqus notice notices cookie cookies "
     "consent gdpr alert newsletter subscribe subscription signup login share sharing social related recommended widget popup "
     "modal overlay pagination pager toolbar copyright".split())
-NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 CONTENT_TAGS = frozenset("article main".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span "
@@ -73,15 +76,18 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 class _Node:
     """An open element: its style path, its role and whether it starts a block."""
 
-    __slots__ = ("tag", "path", "role", "content")
+    __slots__ = ("tag", "path", "role", "content", "block")
 
-    def __init__(self, tag: str, path: int, role: int, content: bool):
-        self.tag, self.path, self.role, self.content = tag, path, role, content
+    def __init__(self, tag: str, path: int, role: int, content: bool, block: bool = True):
+        self.tag, self.path, self.role, self.content, self.block = tag, path, role, content, block
 
 
-def _look(tag: str, attrs: str) -> tuple[str, bool, bool]:
-    """(presentation, noise, hidden) of an element by its tag, classes, id and role."""
-    label, noise, hidden = tag, tag in NOISE_TAGS, False
+def _look(tag: str, attrs: str) -> tuple[str, bool, int, bool]:
+    """(presentation, noise, mark, hidden) of an element by its tag, classes, id and role.
+
+    Mark: 4 if a class or the id is a noise word, 3 for a form or if a part of a name is one, else 0.
+    """
+    label, noise, mark, hidden = tag, tag in NOISE_TAGS, 3 * (tag == "form"), False
     if attrs:
         for name, value in _ATTR.findall(attrs):
             name, value = name.lower(), unescape(value.strip("\"'")).lower()
@@ -91,15 +97,20 @@ def _look(tag: str, attrs: str) -> tuple[str, bool, bool]:
                 hidden = True
             elif name == "role":
                 noise = noise or value in NOISE_ROLES
-            else:
-                noise = noise or not NOISE_WORDS.isdisjoint(_SPLIT.split(value))
-    return label, noise, hidden
+                mark = max(mark, 3 * (value == "form"))
+            elif tag in ("html", "body"):
+                continue  # the whole page
+            elif not NOISE_WORDS.isdisjoint(value.split()):
+                mark = 4
+            elif tag not in CONTENT_TAGS and not NOISE_WORDS.isdisjoint(_SPLIT.split(value)):
+                mark = max(mark, 3)
+    return f"{label}!{mark}" if mark else label, noise, mark, hidden
 
 
 def blocks(html: str) -> list[tuple[int, int, bool, str]]:
     """Blocks of a page in order: (style node, role, in content, text).
 
-    Role: 0 neutral, 1 noise, 2 never text. Texts are decoded and their white space is single.
+    Role: 0 neutral, 1 noise, 2 never text, 3 and 4 marked as noise (see :func:`_look`). Texts are decoded and their white space is single.
     A block is the text between two block boundaries under one style node of the nearest block.
     """
     out: list[tuple[int, int, bool, str]] = []
@@ -109,7 +120,7 @@ def blocks(html: str) -> list[tuple[int, int, bool, str]]:
 
     def block_node() -> _Node:
         for node in reversed(stack):
-            if node.tag not in INLINE or node.role:
+            if node.block:
                 return node
         return root
 
@@ -144,7 +155,7 @@ def blocks(html: str) -> list[tuple[int, int, bool, str]]:
         if m.group(1) or m.group(4):  # an end tag closes the nearest open element of its name
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
-                    if tag in INLINE and not stack[k].role and all(x.tag in INLINE and not x.role for x in stack[k:]):
+                    if not any(x.block for x in stack[k:]):
                         del stack[k:]
                     else:
                         close(k)
@@ -181,22 +192,21 @@ def blocks(html: str) -> list[tuple[int, int, bool, str]]:
         look = looks.get(key)
         if look is None:
             look = looks[key] = _look(tag, attrs)
-        label, noise, hidden = look
+        label, noise, mark, hidden = look
         up = stack[-1]
         if tag == "header" and up.content and noise:
             noise = _look("div", attrs)[1]  # the header of an article, not of the page
-        if tag in CONTENT_TAGS and not noise and not up.role:
-            content = True
-        else:
-            content = up.content
-        role = 2 if up.role == 2 or hidden or tag in NEVER else 1 if up.role or noise else 0
+        content, above = up.content, up.role
+        if tag in CONTENT_TAGS and not noise and above not in (1, 2):
+            content, above = True, 0
+        role = 2 if above == 2 or hidden or tag in NEVER else 1 if above == 1 or noise else max(above, mark)
         if tag in RAW:  # its content is no markup
             end = re.compile(rf"</{tag}\s*>|\Z", re.IGNORECASE).search(html, at)
             at = end.end()
             flush()
             continue
-        if tag in INLINE and not (noise or hidden):
-            stack.append(_Node(tag, up.path, role, content))
+        if tag in INLINE and not (noise or mark or hidden):
+            stack.append(_Node(tag, up.path, role, content, block=False))
             continue
         flush()
         path = xxhash.xxh3_64_intdigest(f"{up.path}>{label}".encode("utf-8", "surrogatepass"))
@@ -214,12 +224,15 @@ def kept(role: int, content: bool, low: bool, has_content: bool) -> bool:
     """Whether a block stays. ``low``: its importance is below the threshold.
 
     Presentation decides where it speaks: elements made for menus, adverts, comments and the
-    like never pass, and an ``article`` or ``main`` states what its text is. Elsewhere content
-    importance decides, unless the page has stated its article: the rest then is none of it.
+    like never pass, and an ``article`` or ``main`` states what its text is, but for branches
+    whose mark is confirmed. Elsewhere content importance decides, unless the page has stated its
+    article: the rest then is none of it.
     """
-    if role:
+    if role in (1, 2):
         return False
-    return content or not (low or has_content)
+    if content:
+        return not (role and low)
+    return not (low or has_content)
 
 
 def _pages(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -242,10 +255,11 @@ def style_statistics(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(host, node, open, pages, contents, logs), and the same per node over all hosts.
 
     ``pages`` counts pages that hold the node, ``contents`` its distinct contents, ``logs`` the
-    sum of ln(pages that hold a content); ``open`` marks nodes that presentation leaves open.
+    sum of ln(pages that hold a content); ``open`` is 1 for nodes that presentation leaves open, 2
+    for those named as noise, 0 for decided ones.
     """
     schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("node", T.LongType()),
-                           T.StructField("open", T.BooleanType()), T.StructField("content", T.LongType()),
+                           T.StructField("open", T.IntegerType()), T.StructField("content", T.LongType()),
                            T.StructField("n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,12 +268,12 @@ def style_statistics(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
                 seen: Counter = Counter()
                 hosts = [_host(u) for u in part.column(part.schema.get_field_index("url")).to_pylist()]
                 for host, h in zip(hosts, html, strict=True):
-                    own = {(node, not role and not content, content_key(text)) for node, role, content, text in blocks(h) if role < 2}
+                    own = {(node, _open(role, content), content_key(text)) for node, role, content, text in blocks(h) if role != 2}
                     seen.update((host, *x) for x in own)
                     seen.update((host, *x, None) for x in {x[:2] for x in own})  # the page itself
                 cols = list(zip(*seen, strict=True)) if seen else [[]] * 4
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.string()), pa.array([_signed(x) for x in cols[1]], pa.int64()), pa.array(cols[2], pa.bool_()),
+                    [pa.array(cols[0], pa.string()), pa.array([_signed(x) for x in cols[1]], pa.int64()), pa.array(cols[2], pa.int32()),
                      pa.array(cols[3], pa.int64()), pa.array(list(seen.values()), pa.int64())], names=schema.names)
 
     counts = cut(pages.mapInArrow(run, schema).groupBy("host", "node", "open", "content").agg(F.sum("n").alias("n")))
@@ -281,9 +295,10 @@ def low_nodes(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         n, c, logs = F.col(f"{p}pages"), F.col(f"{p}contents"), F.col(f"{p}logs")
         return F.when((n <= 1) | (c == 0), 1.0).otherwise(1.0 - logs / (c * F.log(n.cast("double"))))
 
-    every = everywhere.where("open").select("node", *(F.col(c).alias(f"all_{c}") for c in ("pages", "contents", "logs")))
+    every = everywhere.where("open > 0").select("node", "open", *(F.col(c).alias(f"all_{c}") for c in ("pages", "contents", "logs")))
     drawn = (F.col("pages") * score("") + PRIOR_PAGES * score("all_")) / (F.col("pages") + PRIOR_PAGES)
-    return cut(host.where("open").join(every, "node").where(drawn < threshold).select("host", "node"))
+    bound = F.when(F.col("open") == 2, float(max(threshold, NAMED_THRESHOLD))).otherwise(float(threshold))
+    return cut(host.where("open > 0").join(every, ["node", "open"]).where(drawn < bound).select("host", "node").distinct())
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -323,5 +338,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     return rows.mapInArrow(run, schema)
 
 
+def _open(role: int, content: bool) -> int:
+    return {0: int(not content), 3: 1, 4: 2}.get(role, 0)
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x

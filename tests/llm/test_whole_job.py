@@ -5,7 +5,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from medalloy.llm import decontam, langid, secrets
+from medalloy.llm import decontam, html_extract, langid, secrets
 from medalloy.llm.common import crc_mod
 
 
@@ -64,3 +64,17 @@ def test_secrets_inside_a_run_are_found(spark):
         assert any(s.kind == "random" and s.start <= at and s.end >= at + 44 for s in found[100 + i]), forms[i]
         assert k not in clean[100 + i] and "after" in clean[100 + i]
     assert not any(found[i] for i in range(50))
+
+
+def test_class_names_and_forms_alone_drop_no_text(spark):
+    """Marks on the page or around its article, and unique text in marked branches, stay; repeated ones go."""
+    rows = []
+    for i in range(30):
+        art = (f"<article><h1 class='post-header'>Head {i}</h1><p class='social'>Own <b>b</b>{i}, tail</p>"
+               "<p class='share'>Share this</p></article>")
+        rows += [(i, f"http://a.example/{i}", f"<body class='single has-sidebar'><div id='page-header-fixed'>{art}</div><nav>menu</nav></body>"),
+                 (100 + i, f"http://b.example/{i}", f"<form><p>Text {i}</p><div class='ad'>Buy</div></form>"),
+                 (200 + i, f"http://c.example/{i}", f"<form class=widget><main class='with-sidebar'><p>Main {i}</p></main></form>")]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(30):
+        assert got[i] == f"Head {i} Own b{i}, tail" and got[100 + i] == f"Text {i}" and got[200 + i] == f"Main {i}"
