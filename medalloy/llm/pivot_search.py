@@ -11,9 +11,9 @@ which a partial aggregation reduces to the k best.
 
 Defined results: vectors that are null, empty or hold a null or non-finite component take no
 part, as queries or candidates; vectors of another length than the query's are not compared
-with it; rows that repeat an id and a vector count once; an id that comes with several vectors
-gives a query answer of its own for each (they share ``query_id``), and an own id is no
-candidate; no rows in, no rows out. Ties go to the smaller ``vec_id``.
+with it; rows that repeat an id and a vector count once; each further vector of an id is a
+candidate row of its own, and queries that share an id have one answer, the k best rows of all
+its vectors; an own id is no candidate; no rows in, no rows out. Ties go to the smaller ``vec_id``.
 """
 
 from __future__ import annotations
@@ -104,7 +104,6 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 5, pivots: int = PIVOTS)
 
     cand = deal(rows, groups, "g").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = deal(queries, blocks, "b").withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    asked = asked.withColumn("qh", F.xxhash64("vec_id", "v"))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         parts = []
@@ -114,17 +113,14 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 5, pivots: int = PIVOTS)
                 continue
             q, c = np.array(own["v"].tolist(), float), np.array(other["v"].tolist(), float)
             got, _ = search_block(own["vec_id"].to_numpy(), q, other["vec_id"].to_numpy(), c, chosen.get(int(n), c[:pivots]), k)
-            hashes = own["qh"].to_numpy()
-            parts.append(pd.DataFrame([(hashes[i], a, b, s) for i, a, b, s in got], columns=["qh", "query_id", "vec_id", "score"]))
+            parts.append(pd.DataFrame([g[1:] for g in got], columns=["query_id", "vec_id", "score"]))
         if not parts:
-            return pd.DataFrame({"qh": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         return pd.concat(parts)
 
     met = (asked.groupBy("g", "b").cogroup(cand.groupBy("g", "b"))
-           .applyInPandas(meet, "qh long, query_id long, vec_id long, score long"))
-    # a candidate id with several vectors may score several times: its best counts
-    met = met.groupBy("qh", "query_id", "vec_id").agg(F.max("score").alias("score"))
+           .applyInPandas(meet, "query_id long, vec_id long, score long"))
     best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
-    out = met.groupBy("qh", "query_id").agg(best.alias("top")).select("query_id", F.posexplode("top").alias("i", "t"))
+    out = met.groupBy("query_id").agg(best.alias("top")).select("query_id", F.posexplode("top").alias("i", "t"))
     return out.select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("t.vec_id").alias("vec_id"),
                       (-F.col("t.s")).alias("score"))

@@ -5,7 +5,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from medalloy.llm import decontam, html_extract, langid, secrets
+from medalloy.llm import decontam, html_extract, langid, pivot_search, secrets
 from medalloy.llm.common import crc_mod
 
 
@@ -78,3 +78,17 @@ def test_class_names_and_forms_alone_drop_no_text(spark):
     got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for i in range(30):
         assert got[i] == f"Head {i} Own b{i}, tail" and got[100 + i] == f"Text {i}" and got[200 + i] == f"Main {i}"
+
+
+def test_each_vector_of_an_id_is_a_candidate(spark):
+    """As the registered SQL has it: rows compete one by one, also where an id repeats with other vectors."""
+    rng = random.Random(3)
+    rows = [(i, [rng.randrange(-8, 8) / 4.0 for _ in range(3)]) for i in [0, 0, 50, *range(1, 9)]] + [(7, [9.0 + i, 9.0, 9.0]) for i in range(12)]
+    v = pivot_search.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    got = sorted(tuple(r) for r in pivot_search.top_k(v.where("vec_id % 50 = 0"), v).collect())
+    own = {(r.vec_id, tuple(r.v)) for r in v.collect()}
+    want = []
+    for q in (0, 50):
+        met = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), j) for i, a in own if i == q for j, b in own if j != q)[:5]
+        want += [(q, n, j, -s) for n, (s, j) in enumerate(met, 1)]
+    assert got == want
