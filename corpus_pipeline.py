@@ -7,7 +7,7 @@ stages learn models and sign texts, which SQL cannot express; tests hold them ag
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medalloy.llm import bagminhash, bpe, decontam, quality, secrets
@@ -21,15 +21,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest id.
+    """One row of each class of near duplicates, the one with the smallest id (rows without an id last).
 
-    Rows without an id all stay; rows that repeat both id and text count as one document.
+    Rows are told apart by a key of their own, not by their id. A text without words is alike
+    only to the same text under the same id.
     """
-    classes = bagminhash.near_duplicates(docs).where("doc_id = class_id").select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(classes, docs["doc_id"] == classes["__keep"], "left").where("__keep is not null or doc_id is null")
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source")
-    again = F.when(F.col("doc_id").isNotNull(), F.row_number().over(same)).otherwise(1)
-    return kept.withColumn("__again", again).where("__again = 1").select(*docs.columns)
+    keyed = cut(docs.withColumn("__key", F.monotonically_increasing_id()))
+    classes = bagminhash.near_duplicates(keyed, "__key").select(F.col("doc_id").alias("__key"), "class_id", "n_shingles")
+    rows = keyed.select("__key", "doc_id", F.xxhash64("text").alias("h")).join(classes, "__key")
+    bare = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
+    rows = rows.withColumn("own", F.when(bare, F.col("doc_id"))).withColumn("cls", F.when(bare, F.col("h")).otherwise(F.col("class_id")))
+    first = rows.groupBy("cls", "own").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "__key")).alias("f"))
+    return keyed.join(first.select("f.__key"), "__key", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,3 +92,17 @@ def test_each_vector_of_an_id_is_a_candidate(spark):
         met = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), j) for i, a in own if i == q for j, b in own if j != q)[:5]
         want += [(q, n, j, -s) for n, (s, j) in enumerate(met, 1)]
     assert got == want
+
+
+def test_dedup_decides_by_row(spark):
+    import corpus_pipeline as cp
+
+    rng = random.Random(4)
+    text = lambda: " ".join(f"v{rng.randrange(9000)}" for _ in range(150))
+    a, b, c, d = (text() for _ in range(4))
+    near = " ".join(["other", *c.split()[1:]])
+    rows = [(3, a), (5, a), (5, b), (None, a), (None, d), (None, d), (8, c), (8, near), (9, ""), (9, ""), (10, None), (11, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in cp.near_dedup(spark, docs, "").collect()]
+    assert sorted(i for i, _ in got if i is not None) == [3, 5, 8, 9, 10, 11]
+    assert {x for x in got if x[1]} == {(3, a), (5, b), (None, d), *(x for x in got if x[0] == 8)} and len(got) == 7
