@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators; the digest columns are derived here."""
+"""Registered queries of the operators; the digest columns are derived here."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalloy.llm import bagminhash, bpe, decontam, html_extract, langid, pivot_search, quality, secrets, toxicity, url_rules
+from medalloy.llm import (
+    bagminhash, bpe, centroid_walk, decontam, html_extract, langid, periodic_runs, pivot_search, quality, secrets, stable_ann, toxicity,
+    url_rules,
+)
 from medalloy.llm.common import crc_mod, table
 
 
@@ -81,6 +84,40 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), keep=["page_id"])
 
 
+def op11_stable_projection_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stable_ann.valid_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return stable_ann.neighbours(rows.where(F.col("vec_id") % 100 == 0), rows, k=10)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents, by a hash of the id, the words from some word on repeat a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    docs = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)"))).alias("w"))
+    docs = docs.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    docs = docs.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), times)), F.lit(1), F.col("n") - F.col("a"))
+    words = F.concat(F.slice("w", F.lit(1), F.col("a")), tail)
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count, longest run and digests of each document's runs."""
+    found = periodic_runs.detect(with_planted_runs(table(spark, sf_dir, "documents")), keep=["doc_id"])
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("m"), (-r["start"]).alias("s"), (-r["period"]).alias("q"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    found = found.withColumn("top", top)
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.s")).alias("start"), F.col("top.m").alias("length"),
+                        (-F.col("top.q")).alias("period"), F.expr("1000 * top.m div -top.q").alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_centroid_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = centroid_walk.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", dims=64, scale=64)
+    assigned, centroids = centroid_walk.cluster(vectors, k=16, rounds=3, salt="1:")
+    return centroid_walk.with_inertia(assigned, centroids)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_style_tree_text": op1_style_tree_text,
     "op2_cgk_leaks": op2_cgk_leaks,
@@ -92,6 +129,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_codec": op8_bpe_codec,
     "op9_url_rules": op9_url_rules,
     "op10_boosted_toxicity": op10_boosted_toxicity,
+    "op11_stable_projection_ann": op11_stable_projection_ann,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_centroid_walk": op13_centroid_walk,
 }
 
 ORACLES: dict[str, str] = {
@@ -106,4 +146,5 @@ s as (
 select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
 from s qualify rank <= 5""",
     "op9_url_rules": url_rules.ORACLE,
+    "op13_centroid_walk": centroid_walk.CLUSTER_SQL,
 }
