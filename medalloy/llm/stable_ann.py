@@ -40,7 +40,7 @@ DIMS = 8
 CONFIDENCE = 0.98
 BLOCK = 8192
 QUERY_BLOCK = 16_384
-LEAF = 32
+LEAF = 256
 SAMPLE = 16_384
 MAX_CELLS = 4096
 NULL_ID = np.iinfo(np.int64).max  # stands for a null id inside blocks: last among ties
