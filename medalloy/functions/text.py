@@ -16,10 +16,9 @@ def _c(col) -> Column:
 
 
 def normalise_name(col) -> Column:
-    """lower → 'st.'→'saint', 'ste.'→'sainte' → drop non-alphanumerics → squeeze blanks."""
+    """lower → 'st.'→'saint', 'ste.'→'sainte' (wherever they stand) → drop non-alphanumerics → squeeze blanks."""
     s = F.lower(_c(col))
-    s = F.regexp_replace(s, r"\bste\.", "sainte")
-    s = F.regexp_replace(s, r"\bst\.", "saint")
+    s = F.replace(F.replace(s, F.lit("st."), F.lit("saint")), F.lit("ste."), F.lit("sainte"))
     s = F.regexp_replace(s, r"[^a-z0-9 ]", " ")
     s = F.regexp_replace(s, r" +", " ")
     return F.trim(s)

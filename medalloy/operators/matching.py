@@ -11,13 +11,14 @@ Reported scores are truncated to integers. The candidate's block set (e.g. its s
 contain the name's block; a row without a block is held against all candidates, a candidate
 without blocks against all rows, by the same filters. Ties keep the smallest code.
 
+A name that normalises to nothing matches nothing.
+
 No block is ever expanded into all pairs. Candidates come from three exact filters:
   1. equality of the name with a principal name (equi-join),
   2. the name equal to a prefix of the title (each title emits its prefixes: linear),
-  3. ratio ≥ 80 implies the character multisets have Dice ≥ 0.8, so (prefix filtering)
-     the rarest ``|s| − ⌈2|s|/3⌉ + 1`` character tokens of the two strings must overlap:
-     a join on (block, token).
-Only candidate pairs are scored, in Arrow batches.
+  3. overlap counts for the ratio, see :func:`ratio_candidates`.
+What the counts leave is counted again on whole strings (shared bigrams, shared characters), in
+the JVM; only pairs of strings that pass are scored, in Arrow batches.
 """
 
 from __future__ import annotations
@@ -89,37 +90,96 @@ def indel_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
                      dtype="float64")
 
 
-def _char_token_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
-    """One row per character of ``text`` tagged with its occurrence number ('aba' → a#0,
-    a#1, b#0), so the token multiset intersection equals the character multiset
-    intersection. In the sorted character array a character's occurrence number is its
-    distance from its first position; native array functions and ``posexplode`` only (no
-    lambda), so the projection stays in generated code."""
-    chars = F.array_sort(F.array_remove(F.split(F.col(text), ""), ""))
-    x = df.select(*keep, chars.alias("_cs")).select(*keep, "_cs", F.posexplode("_cs").alias("_i", "_c"))
-    occ = F.col("_i") - F.array_position(F.col("_cs"), F.col("_c")) + 1
-    return x.select(*keep, F.concat(F.col("_c"), F.lit("#"), occ.cast("string")).alias("tok"))
+def _grams(text: Column, q: int) -> Column:
+    """The stretches of ``q`` characters, each with its occurrence number ('abab' → ab#1, ab#2, ba#1),
+    so that the overlap of two arrays counts like that of the multisets."""
+    n = F.length(text) - (q - 1)
+    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    # an array of one array binds the sorted grams to a name: they are made once, not once a gram
+    once = F.array(F.array_sort(F.transform(places, lambda i: F.substring(text, i, F.lit(q)))))
+    numbered = F.transform(once, lambda g: F.transform(g, lambda x, i: F.concat(x, F.lit("#"), (i - F.array_position(g, x) + 2).cast("string"))))
+    return F.get(numbered, 0)
 
 
-def _prefix_len(n: Column, percent: int) -> Column:
-    """Length of the prefix of ``n`` tokens that a match of Dice >= percent/100 must touch: all
-    but ceil(n * p / (200 - p)) tokens, and one more. Integers only: a rounded quotient above its
-    true value would shorten the prefix and lose pairs that score exactly the threshold."""
-    need = F.floor((n * percent + (199 - percent)) / F.lit(200 - percent) + F.lit(1e-9))
-    return F.greatest(n - need + 1, F.lit(1)).cast("int")
+def _least_lcs(total: Column, percent: int) -> Column:
+    """Least LCS of two strings of ``total`` characters with a ratio of ``percent`` or more (integers only:
+    a rounded quotient could lose pairs that score exactly the threshold)."""
+    return F.floor((total * percent + 199) / F.lit(200) + F.lit(1e-9)).cast("int")
 
 
-def _blank(c: Column) -> Column:
-    return c.isNull() | (F.trim(c) == "")
+def _least_shared(total: Column, percent: int) -> Column:
+    """Least number of bigrams two such strings share.
+
+    An LCS of L characters has L - 1 neighbours; each of the la - L and lb - L characters outside
+    it parts one pair of them at most, so L - 1 - (la - L) - (lb - L) stay bigrams of both.
+    """
+    return _least_lcs(total, percent) * 3 - total - 1
+
 
+def _family(total: Column, percent: int) -> Column:
+    """What a pair of strings is found by: 2 = two shared bigrams, 1 = one, 0 = characters."""
+    return F.greatest(F.least(_least_shared(total, percent), F.lit(2)), F.lit(0))
 
-def _signatures(df: DataFrame, key: str, block: str, text: str, order: DataFrame, percent: int) -> DataFrame:
-    toks = _char_token_rows(df.withColumn("_n", F.length(text)), text, key, block, "_n")
-    ranked = toks.join(order, "tok")
-    # keep the rarest prefix: sort each string's tokens by (global frequency, token)
-    per = ranked.groupBy(key, block, "_n").agg(F.array_sort(F.collect_list(F.struct("freq", "tok"))).alias("_t"))
-    pref = per.select(key, block, "_n", F.explode(F.slice(F.col("_t"), 1, _prefix_len(F.col("_n"), percent))).alias("s"))
-    return pref.select(key, block, "_n", F.col("s.tok").alias("tok"))
+
+def ratio_candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """(blk, a, b): pairs of strings of one block that may have an Indel ratio of ``percent`` or more (none is lost).
+
+    Both sides hold distinct (blk, txt). A pair of total length ``s`` shares at least ``3 L - s - 1``
+    bigrams, ``L = ceil(percent s / 200)``. Among the rarest bigrams of each string (all but that
+    number, and two) it therefore shares two: the join key is a pair of bigrams. Where only one
+    shared bigram is sure it is one bigram, and where none is (for 80 %: strings of up to three
+    characters) it is a character among the rarest. Which of the three holds depends on ``s`` alone,
+    so a string sends keys for each kind that a partner's length can lead to.
+    """
+    sides = left.select("blk", "txt", F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(right.select("blk", "txt", F.lit(0).alias("l"), F.lit(1).alias("r")))
+    n = F.length("txt")
+    strings = sides.where(n > 0).groupBy("blk", "txt").agg(F.max("l").alias("l"), F.max("r").alias("r")).withColumn("n", n)
+    shortest = F.floor((F.col("n") * percent + (199 - percent)) / F.lit(200 - percent) + F.lit(1e-9)).cast("int")
+    longest = F.floor(F.col("n") * (200 - percent) / F.lit(percent) + F.lit(1e-9)).cast("int")
+    strings = strings.withColumn("totals", F.transform(F.sequence(shortest, F.greatest(shortest, longest)), lambda m: m + F.col("n")))
+
+    def least(family: int) -> Column:
+        """Least shared bigrams (or, for characters, LCS) over the partners of a family; null if there are none."""
+        of = F.filter("totals", lambda s: _family(s, percent) == family)
+        return F.array_min(F.transform(of, lambda s: _least_shared(s, percent) if family else _least_lcs(s, percent)))
+
+    strings = strings.select("blk", "txt", "l", "r", "n", *(least(f).alias(f"least{f}") for f in (0, 1, 2)))
+    grams = F.concat(_grams(F.col("txt"), 2), F.when(F.col("least0").isNotNull(), _grams(F.col("txt"), 1)).otherwise(F.array().cast("array<string>")))
+    tokens = strings.select("*", F.explode(grams).alias("tok"))
+    order = broadcast_if_small(tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("freq")))
+    rarest = F.array_sort(F.collect_list(F.struct("freq", "tok")))
+    each = tokens.join(order, "tok").groupBy(*strings.columns).agg(rarest.alias("t"))
+
+    def of_size(q: int) -> Column:
+        mine = F.filter("t", lambda x: F.length(F.regexp_replace(x["tok"], "#[0-9]+$", "")) == q)
+        return F.transform(mine, lambda x: x["tok"]).alias(f"t{q}")
+
+    each = each.select(*strings.columns, of_size(1), of_size(2))
+
+    def head(q: int, family: int) -> Column:
+        short = F.size(f"t{q}") - F.col(f"least{family}") + (2 if family == 2 else 1)
+        return F.when(F.col(f"least{family}").isNotNull(), F.slice(f"t{q}", F.lit(1), F.greatest(short, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+
+    each = each.select("blk", "txt", "l", "r", "n", head(2, 2).alias("h2"), head(2, 1).alias("h1"), head(1, 0).alias("h0"))
+    two = F.flatten(F.transform("h2", lambda x, i: F.transform(F.slice("h2", i + 2, F.size("h2")), lambda y: F.concat_ws(" ", F.lit("2"), x, y))))
+    keys = F.concat(two, F.transform("h1", lambda x: F.concat_ws(" ", F.lit("1"), x)), F.transform("h0", lambda x: F.concat_ws(" ", F.lit("0"), x)))
+    keyed = each.select("blk", "txt", "l", "r", "n", F.explode(keys).alias("tok"))
+    a = keyed.where("l = 1").select("blk", "tok", F.col("txt").alias("a"), F.col("n").alias("la"))
+    b = keyed.where("r = 1").select("blk", "tok", F.col("txt").alias("b"), F.col("n").alias("lb"))
+    la, lb = F.col("la"), F.col("lb")
+    fits = (F.least(la, lb) >= _least_lcs(la + lb, percent)) & (_family(la + lb, percent).cast("string") == F.substring("tok", 1, 1))
+    return a.join(b, ["blk", "tok"]).where(fits).select("blk", "a", "b").distinct()
+
+
+def may_reach(a: Column, b: Column, percent: int) -> Column:
+    """Whether shared characters and bigrams of two whole strings allow a ratio of ``percent``."""
+    total = F.length(a) + F.length(b)
+    return ((F.size(F.array_intersect(_grams(a, 1), _grams(b, 1))) >= _least_lcs(total, percent))
+            & (F.size(F.array_intersect(_grams(a, 2), _grams(b, 2))) >= _least_shared(total, percent)))
+
+
+def _blank(c: Column) -> Column:
+    return c.isNull() | (F.trim(c) == "")
 
 
 def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: str, left_block: str,
@@ -138,7 +198,7 @@ def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: s
                        normalise_name(F.col(left_name)).alias("nm"))
     # match distinct (block, name) values once; rows join back at the end
     # a row without a block meets every target (block '*all'), a target without blocks every row ('*none')
-    values = rows.select("blk", "nm").distinct().select(F.struct("blk", "nm").alias("lk"), "nm", token_sort(F.col("nm")).alias("ts"))
+    values = rows.where("nm <> ''").select("blk", "nm").distinct().select(F.struct("blk", "nm").alias("lk"), "nm", token_sort(F.col("nm")).alias("ts"))
     meets = F.when(_blank(F.col("lk.blk")), F.array(F.lit("*all"))).otherwise(F.array(F.col("lk.blk"), F.lit("*none")))
     lft = values.select("lk", F.explode(meets).alias("blk"), "nm", "ts")
     stated = F.filter(F.coalesce(F.col(right_blocks) if isinstance(right_blocks, str) else right_blocks,
@@ -162,28 +222,19 @@ def best_match(left: DataFrame, right: DataFrame, *, left_key: str, left_name: s
               .select("rk", "blk", F.substring("title_n", 1, F.col("_l")).alias("nm"))
               .join(lft.select("lk", "blk", "nm").where(F.length("nm") > 0), ["blk", "nm"])
               .select("lk", "rk", F.lit(96.0).alias("score")))
-    # 3) ratio candidates via prefix filtering on rare character tokens
-    # ratio targets: the whole title and every principal name (token-sorted)
+    # 3) ratio targets: the whole title and every principal name (token-sorted)
     targets = rgt.select("rk", "blk", "rts").unionByName(
         rgt.select("rk", "blk", F.explode("names").alias("_pn")).select("rk", "blk", token_sort(F.col("_pn")).alias("rts"))
     ).distinct()
-    toks = _char_token_rows(lft, "ts").unionByName(_char_token_rows(targets, "rts"))
-    order = broadcast_if_small(toks.groupBy("tok").agg(F.count(F.lit(1)).alias("freq")))
-    ls = _signatures(lft, "lk", "blk", "ts", order, percent)
-    tg = targets.withColumn("tk", F.struct("rk", "rts"))
-    rs = _signatures(tg, "tk", "blk", "rts", order, percent)
-    # length filter: LCS <= the shorter length, so 2·min/(la+lb) >= dice is necessary
-    la, lb = F.col("l._n"), F.col("r._n")
-    pairs = (ls.alias("l").join(rs.alias("r"), ["blk", "tok"])
-               .where(F.least(la, lb) * 200 >= (la + lb) * percent)
-               .select("lk", "tk", "blk").distinct())
-    named = (pairs.join(lft.select("lk", "blk", "ts"), ["lk", "blk"])
-                  .select("lk", F.col("tk.rk").alias("rk"), "ts", F.col("tk.rts").alias("rts")))
-    # score each distinct string pair once (names repeat across rows), then join back
-    ratios = (named.select("ts", "rts").distinct()
-                   .select("ts", "rts", indel_ratio_udf(F.col("ts"), F.col("rts")).alias("score"))
+    pairs = ratio_candidates(lft.select("blk", F.col("ts").alias("txt")).distinct(), targets.select("blk", F.col("rts").alias("txt")).distinct(), percent)
+    if materialise:
+        pairs = cut_lineage(pairs)  # read twice; and the counts below must not be pushed under the key join
+    # count and score each distinct string pair once (strings repeat across rows and blocks), then join back
+    ratios = (pairs.select("a", "b").distinct().where(may_reach(F.col("a"), F.col("b"), percent))
+                   .select("a", "b", indel_ratio_udf(F.col("a"), F.col("b")).alias("score"))
                    .where(F.col("score") >= review))
-    scored = named.join(ratios, ["ts", "rts"]).select("lk", "rk", "score")
+    scored = (pairs.join(ratios, ["a", "b"]).join(lft.select("lk", "blk", F.col("ts").alias("a")), ["blk", "a"])
+                   .join(targets.select("rk", "blk", F.col("rts").alias("b")), ["blk", "b"]).select("lk", "rk", "score"))
     allc = eq.unionByName(pre).unionByName(scored)
     best = (allc.groupBy("lk").agg(F.max(F.struct(F.col("score"), (-F.col("rk")).alias("neg"))).alias("b"))
                 .select("lk", F.col("b.score").alias("match_score"), (-F.col("b.neg")).alias("rk")))
@@ -229,6 +280,9 @@ def brute_force_best(left: pd.DataFrame, right: pd.DataFrame, normalise, accept=
     out = {}
     for _, lrow in left.iterrows():
         nm = normalise(lrow["name"])
+        if not nm:
+            out[lrow["key"]] = (None, None)
+            continue
         ts = " ".join(sorted(t for t in nm.split(" ") if t))
         best = None
         for _, rrow in right.iterrows():

@@ -45,7 +45,44 @@ def edited_names(spark, sf_dir):
     return p.select("p_partkey", name.alias("region_name"), F.col("p_brand").alias("state"))
 
 
-@plan("fuzzy_match", "J14 T14")
+def _norm_sql(c: str) -> str:
+    spelled = f"replace(replace(lower({c}), 'st.', 'saint'), 'ste.', 'sainte')"
+    return f"trim(regexp_replace(regexp_replace({spelled}, '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"
+
+
+def _sorted_sql(c: str) -> str:
+    return f"array_to_string(list_sort(string_split({c}, ' ')), ' ')"
+
+
+# The longest common subsequence as a fold over one string's letters: the state is the row of the
+# usual table, the next row a running maximum.
+_LCS_SQL = """list_last(list_reduce([list_transform(string_split(a, ''), lambda x: 0)]
+    || list_transform(string_split(b, ''), lambda c: list_transform(string_split(a, ''), lambda x: (x = c)::int)),
+  lambda r, m: list_transform(range(1, len(r) + 1), lambda j: list_max(list_transform(range(1, j + 1),
+    lambda i: case when m[i] = 1 then coalesce(r[i - 1], 0) + 1 else r[i] end)))::int[]))"""
+
+_MATCH_SQL = f"""
+WITH master AS (SELECT p_name AS title, min(p_partkey) AS code, list(DISTINCT p_brand) AS brands FROM part GROUP BY p_name),
+named AS (SELECT p_partkey, p_brand AS state, {_norm_sql("""CASE
+            WHEN p_size < 10 THEN substring(p_name, 1, length(p_name) - 1)
+            WHEN p_size < 20 THEN split_part(p_name, ' ', -1) || ' ' || split_part(p_name, ' ', 1)
+            WHEN p_size < 30 THEN p_name || ' st.'
+            WHEN p_size < 40 THEN p_name || ' ' || lower(p_type) ELSE upper(p_name) END""")} AS nm FROM part),
+l AS (SELECT DISTINCT state, nm, {_sorted_sql("nm")} AS a FROM named WHERE nm <> ''),
+r AS (SELECT code, title, brands, {_norm_sql("title")} AS tn, {_sorted_sql(_norm_sql("title"))} AS b FROM master),
+ratio AS (SELECT a, b, 200.0::double * {_LCS_SQL} / (length(a) + length(b)) AS ratio
+          FROM (SELECT DISTINCT a, b FROM l JOIN r ON list_contains(r.brands, l.state))),
+scored AS (SELECT state, nm, code, title,
+             greatest(ratio, CASE WHEN nm = tn THEN 100.0 ELSE 0 END, CASE WHEN starts_with(tn, nm) THEN 96.0 ELSE 0 END) AS score
+           FROM l JOIN r ON list_contains(r.brands, l.state) JOIN ratio USING (a, b)),
+best AS (SELECT * FROM scored WHERE score >= 80 QUALIFY row_number() OVER (PARTITION BY state, nm ORDER BY score DESC, code) = 1),
+matched AS (SELECT n.p_partkey, b.code, b.title AS match_title, floor(b.score)::int AS match_score,
+              CASE WHEN b.code IS NULL THEN 'unmatched' ELSE '{mt.FUZZY_METHOD}' END AS match_method,
+              coalesce(b.score < 90, true) AS needs_review
+            FROM named n LEFT JOIN best b ON b.state = n.state AND b.nm = n.nm)"""
+
+
+@plan("fuzzy_match", "J14 T14", oracle=_MATCH_SQL + " SELECT * FROM matched")
 def fuzzy_match(spark, sf_dir):
     """Blocked best match of edited part names to the master (block = brand)."""
     m = master(spark, sf_dir)
@@ -54,7 +91,10 @@ def fuzzy_match(spark, sf_dir):
                          right_names=F.array(F.col("title")))
 
 
-@plan("override", "J15")
+@plan("override", "J15", oracle=_MATCH_SQL + """
+SELECT m.p_partkey, coalesce(o.code, m.code) AS code, CASE WHEN o.code IS NULL THEN m.match_title ELSE p.p_name END AS match_title,
+  m.match_score, CASE WHEN o.code IS NULL THEN m.match_method ELSE 'manual' END AS match_method, o.code IS NULL AND m.needs_review AS needs_review
+FROM matched m JOIN part p USING (p_partkey) LEFT JOIN master o ON o.title = p.p_name AND p.p_size = 50""")
 def override(spark, sf_dir):
     """Matches with manual overrides: the largest parts are pinned to their true code; an
     override for an unknown key (-1) is ignored."""

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pandas as pd
@@ -10,8 +11,7 @@ from medalloy.plans import match_plans as mp
 
 def _py_norm(s):
     s = s.lower()
-    s = re.sub(r"\bste\.", "sainte", s)
-    s = re.sub(r"\bst\.", "saint", s)
+    s = s.replace("st.", "saint").replace("ste.", "sainte")
     s = re.sub(r"[^a-z0-9 ]", " ", s)
     return re.sub(r" +", " ", s).strip()
 
@@ -51,6 +51,23 @@ def test_threshold_pairs_and_blank_blocks(spark):
     assert {k: v[:2] for k, v in got.items()} == want
 
 
+def test_ratio_candidates_lose_no_pair(spark):
+    """Random strings of all short lengths: every pair at or over the threshold is a candidate and passes the counts."""
+    rnd = random.Random(4)
+    for percent, letters in ((80, "ab"), (80, "abcde "), (90, "abc"), (67, "abc"), (60, "abcd")):
+        texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 14))) for _ in range(90)]
+        texts += [t[:i] + t[i + 1:] for t in texts[:60] for i in (rnd.randrange(len(t)),) if len(t) > 1]
+        df = spark.createDataFrame([(i, "B", t) for i, t in enumerate(texts)], "k long, blk string, txt string")
+        found = {(r.a, r.b) for r in mt.ratio_candidates(df.select("blk", "txt").distinct(), df.select("blk", "txt").distinct(), percent).collect()}
+        got = {(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts) if (a, b) in found}
+        both = df.select(F.col("k").alias("i"), F.col("txt").alias("a")).crossJoin(df.select(F.col("k").alias("j"), F.col("txt").alias("b")))
+        counted = {(r.i, r.j) for r in both.where(mt.may_reach(F.col("a"), F.col("b"), percent)).collect()}
+        want = {(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts) if 200 * mt.lcs_len(a, b) >= percent * (len(a) + len(b))}
+        assert want <= got and want <= counted
+        if (percent, letters) == (80, "abcde "):
+            assert len(got & counted) < len(texts) ** 2 / 4
+
+
 def test_overrides(spark):
     m = spark.createDataFrame([(1, 10, 85.0, "fuzzy", True), (2, None, None, "unmatched", None)],
                               "k long, code long, match_score double, match_method string, needs_review boolean")
