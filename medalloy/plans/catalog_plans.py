@@ -31,12 +31,13 @@ def parquet_contract(spark, sf_dir):
 SELECT c_custkey AS geo_key, c_name AS geo_name, c_nationkey AS state_key, c_mktsegment AS segment FROM customer
 """)
 def gold_carry(spark, sf_dir):
-    """Silver dim → Gold: fixed column order, full rebuild into the table store (new version,
-    committed after the write), read back from the committed version."""
+    """Silver dim → Gold: fixed column order, full rebuild by one Spark write, read back; a second
+    rebuild takes the first one's place."""
     store = TableStore(spark, fs.staging_path(spark, "gold"))
     dim = read(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("geo_key"), F.col("c_name").alias("geo_name"),
         F.col("c_nationkey").alias("state_key"), F.col("c_mktsegment").alias("segment"))
+    store.write("dim_geo", dim.withColumn("segment", F.lit("old")))
     store.write("dim_geo", dim)
     return store.read("dim_geo")
 
@@ -82,7 +83,8 @@ UNION ALL SELECT 'orders_2099', (SELECT count(*) FROM orders WHERE year(o_orderd
 def existence_probe(spark, sf_dir):
     """``LIMIT 1`` existence probes (the scan stops at the first row)."""
     lab = read(spark, sf_dir, "labels").limit(1)
-    o = read(spark, sf_dir, "orders").where(F.year("o_orderdate") == 2099).limit(1)
+    o = read(spark, sf_dir, "orders").where((F.col("o_orderdate") >= F.lit("2099-01-01").cast("timestamp_ntz"))
+                                            & (F.col("o_orderdate") < F.lit("2100-01-01").cast("timestamp_ntz"))).limit(1)
     mk = lambda name, df: df.agg((F.count(F.lit(1)) > 0).alias("has_rows")).select(F.lit(name).alias("table_name"), "has_rows")
     return mk("labels", lab).unionByName(mk("orders_2099", o))
 

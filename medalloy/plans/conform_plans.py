@@ -10,6 +10,8 @@ from medalloy.operators import conform as cf
 from medalloy.operators.rollup import bridge_rollup
 from medalloy.plans.registry import plan
 from medalloy.plans.tables import read
+from medalloy.sources import files as fs
+from medalloy.store import TableStore
 
 # The raw "listing feed": lineitem rendered as all-string text the way a CSV source
 # writes it, with value-driven dirt: 'n/a', blanks, padded numbers, the '.' sentinel,
@@ -123,6 +125,32 @@ def quarantine_records(spark, sf_dir):
     return q.select("source_system", "natural_key", "quarantine_reason")
 
 
+_RAW_TOO = _D_TYPED.replace("SELECT l_orderkey, l_linenumber,\n", "SELECT l_orderkey, l_linenumber, month_date_yyyymm AS raw_month, quantity AS raw_quantity,\n", 1)
+
+
+@plan("append_log", "W10 Q3 2.9", oracle=f"""
+WITH {_RAW_TOO}
+SELECT 'batch-' || CAST(l_linenumber % 2 AS VARCHAR) AS batch, 'listing' AS source_system,
+       CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) AS natural_key,
+       'cast_failed:' || errs AS quarantine_reason, raw_month, raw_quantity
+FROM typed WHERE errs <> ''
+""")
+def append_log(spark, sf_dir):
+    """Quarantine rows appended in two batches, the second one sent twice, read back with two fields of
+    the JSON payload: a repeated batch adds nothing."""
+    raw = raw_feed(spark, sf_dir)
+    typed = cf.type_columns(raw.withColumn("_raw", F.struct(*raw.columns)), FEED_SPECS, keep=["l_orderkey", "l_linenumber", "_raw"])
+    _, bad = cf.split(typed.withColumn("quarantine_reason", cf.quarantine_reason()))
+    store = TableStore(spark, fs.staging_path(spark, "log"))
+    for i in (0, 1, 1):
+        rows = cf.quarantine_rows(bad.where(F.col("l_linenumber") % 2 == i), source_system="listing",
+                                  natural_key_cols=["l_orderkey", "l_linenumber"], payload=F.col("_raw"))
+        store.append("quarantine", rows.withColumn("batch", F.lit(f"batch-{i}")), batch=f"batch-{i}")
+    return store.read("quarantine").select(
+        "batch", "source_system", "natural_key", "quarantine_reason",
+        F.get_json_object("raw_payload", "$.month_date_yyyymm").alias("raw_month"), F.get_json_object("raw_payload", "$.quantity").alias("raw_quantity"))
+
+
 # Macro series raw text: the '.' missing sentinel and malformed dates arise from value rules.
 SERIES_RAW_SQL = """
 SELECT o_orderpriority AS series_id,

@@ -2,8 +2,8 @@
 
 Bronze: the raw listing feed arrives in two time-sliced batches (before / from 1998);
 the first is written, the second upserted with ordered duplicate resolution (latest
-month wins, W4). Silver: typed with cast-error capture; good rows go to the fact,
-rejects to the quarantine table by replace-by-source. Gold: date keys checked against
+month wins, W4). Silver: typed once with cast-error capture, good and rejected rows as two
+slots of one write; rejects go on to the quarantine log as one batch. Gold: date keys checked against
 the calendar dimension (FK orphans must be 0), then a full rebuild.
 """
 
@@ -20,7 +20,7 @@ from medalloy.plans.registry import plan
 from medalloy.plans.tables import read
 from medalloy.sources import files as fs
 from medalloy.sources.calendar import calendar_for
-from medalloy.store import TableStore
+from medalloy.store import TableStore, hash_slot
 
 KEYS = ["l_orderkey", "l_linenumber"]
 
@@ -44,19 +44,18 @@ def listing_flow(spark, sf_dir):
     # Bronze: two time slices; later batch wins, duplicates inside a batch resolved by month
     early = F.coalesce(F.col("month_date_yyyymm") < "1998", F.lit(False))  # a null month is in the second slice
     first, second = raw.where(early), raw.where(~early)
-    store.write("bronze_listing", up.dedupe(first, KEYS, ["month_date_yyyymm"]))
+    store.write("bronze_listing", up.dedupe(first, KEYS, ["month_date_yyyymm"]), slot=hash_slot(KEYS))
     store.upsert("bronze_listing", second, KEYS, order=["month_date_yyyymm"], resolve_duplicates=True)
     bronze = store.read("bronze_listing")
-    # Silver: type, split, write both branches
+    # Silver: typed once, both branches in one write
     typed = cf.type_columns(bronze.withColumn("_raw", F.struct(*bronze.columns)), FEED_SPECS, keep=[*KEYS, "_raw"])
-    staged = typed.withColumn("quarantine_reason", cf.quarantine_reason())
-    good, bad = cf.split(staged)
-    store.write("silver_listing", good.select(*KEYS, "month_end", "quantity", "extended_price", "tax"))
+    staged = typed.withColumn("quarantine_reason", cf.quarantine_reason()).withColumn("reason", F.col("quarantine_reason"))
+    store.write("silver_listing", staged, slot=F.when(F.col("reason").isNull(), "good").otherwise("bad"))
+    good, bad = store.read("silver_listing", ["good"]), store.read("silver_listing", ["bad"])
     q = cf.quarantine_rows(bad, source_system="listing", natural_key_cols=KEYS, payload=F.col("_raw"))
-    store.write("quarantine", q.limit(0))
-    store.replace_by("quarantine", q, "source_system", ["listing"])
+    store.append("quarantine", q, batch="listing")
     # Gold: FK check against the calendar dimension, then a full rebuild
-    silver = store.read("silver_listing").withColumn("date_key", date_key("month_end"))
+    silver = good.withColumn("date_key", date_key("month_end"))
     cal = calendar_for(read(spark, sf_dir, "lineitem"), "l_shipdate").select("date_key")
     ck.enforce(ck.orphans(silver, cal, "date_key"), "gold_listing.date_key")
     store.write("gold_listing", silver.select(*KEYS, "date_key", "month_end", "quantity", "extended_price", "tax"))

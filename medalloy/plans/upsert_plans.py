@@ -10,6 +10,8 @@ from medalloy.functions.hashing import row_hash
 from medalloy.operators import upsert as up
 from medalloy.plans.registry import plan
 from medalloy.plans.tables import read
+from medalloy.sources import files as fs
+from medalloy.store import TableStore, cut_lineage
 
 _COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 
@@ -191,3 +193,45 @@ def replace_by_source(spark, sf_dir):
     old = read(spark, sf_dir, "documents").select("doc_id", "source", "lang")
     new = old.where(F.col("source").isin("src0", "src1", "src2", "src3")).withColumn("lang", F.upper("lang"))
     return up.replace_by(old, new, "source", ["src0", "src1", "src2", "src3", "src4"])
+
+
+@plan("upsert_partitions", "W1 W5 W8", oracle=f"""
+WITH {_D_BATCHES},
+m AS (SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey, coalesce(s.o_orderdate, t.o_orderdate) AS o_orderdate,
+             CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+             CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice
+      FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey AND t.o_orderdate = s.o_orderdate),
+touched AS (SELECT DISTINCT year(o_orderdate) AS y FROM s)
+SELECT o_orderkey, o_orderdate, o_orderstatus, o_totalprice, year(o_orderdate) IN (SELECT y FROM touched) AS rewritten FROM m
+""")
+def upsert_partitions(spark, sf_dir):
+    """A batch merged into a table partitioned by year: the years it touches get new files, all others
+    keep theirs (``rewritten`` compares the files before and after)."""
+    store = TableStore(spark, fs.staging_path(spark, "years"))
+    target, source = _batches(spark, sf_dir)
+    year = F.year("o_orderdate")
+    store.write("orders", target, slot=year)
+    before = cut_lineage(store.files("orders"))
+    store.upsert("orders", source, ["o_orderkey", "o_orderdate"], slot=year)
+    rows = spark.read.parquet(store.path("orders")).withColumn("file_path", F.col("_metadata.file_path"))
+    known = before.select("file_path", F.lit(True).alias("known"))  # a row for each file
+    return rows.join(fs.broadcast_if_small(known), "file_path", "left").select(
+        "o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice", F.col("known").isNull().alias("rewritten"))
+
+
+@plan("replace_partitions", "W11 T17", oracle="""
+SELECT doc_id, source, lang, false AS rewritten FROM documents WHERE source IS NULL OR source NOT IN ('src0','src1','src2','src3','src4')
+UNION ALL
+SELECT doc_id, source, upper(lang), true FROM documents WHERE source IN ('src0','src1','src2','src3')
+""")
+def replace_partitions(spark, sf_dir):
+    """Replace-by-source on a table partitioned by source: src0 to src3 come with new rows, src4 with none
+    and is emptied, the files of all other sources stay."""
+    store = TableStore(spark, fs.staging_path(spark, "sources"))
+    old = read(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    store.write("rows", old, slot=F.col("source"))
+    before = cut_lineage(store.files("rows")).select("file_path", F.lit(True).alias("known"))
+    new = old.where(F.col("source").isin("src0", "src1", "src2", "src3")).withColumn("lang", F.upper("lang"))
+    store.replace_by("rows", new, "source", [f"src{i}" for i in range(5)])
+    rows = spark.read.parquet(store.path("rows")).withColumn("file_path", F.col("_metadata.file_path"))
+    return rows.join(fs.broadcast_if_small(before), "file_path", "left").select("doc_id", "source", "lang", F.col("known").isNull().alias("rewritten"))

@@ -1,29 +1,31 @@
-"""Versioned Parquet table store: MERGE-free upserts with atomic commits.
+"""Tables as partitioned Parquet folders, written by Spark alone.
 
-Layout: every write attempt has a folder of its own, ``<root>/<table>/v=<n>-<attempt>/``;
-the marker ``<root>/<table>/_commits/<n>`` names the folder that became version ``n`` and is
-written only after it is complete and its checks passed. Readers take the highest committed
-version. A failed or lost job leaves the previous version current, and of two writers that
-start from one version the later fails at the marker without touching the other's files. The root lives
-under the cluster's shared ``spark.checkpoint.dir`` unless given.
+A table is the folder ``<root>/<name>``. Tables that are changed in parts are partitioned by a
+``slot`` column that a row's key decides (:func:`hash_slot`, or a stable column such as the source
+or the year): a write replaces the slots it holds by ``partitionOverwriteMode=dynamic`` and leaves
+all other files as they are. Spark stages such a write beside the table and moves the new slots in
+when the job commits. A merged slot is computed into a reliable checkpoint before it is written, so
+that a load that fails while it writes can be run again.
 
-Metrics (rows written, inserted/updated/...) come from ``DataFrame.observe`` on the write
-itself — no second pass over the data.
+Metrics (rows written, inserted/updated/...) come from ``DataFrame.observe`` on that same pass.
+The root lives under the cluster's shared ``spark.checkpoint.dir`` unless given.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medalloy.operators import upsert as up
 from medalloy.session import ensure_checkpoint_dir
 
+SLOTS = 16
+
 
 class DuplicateSourceKeys(AssertionError):
     pass
@@ -31,12 +33,12 @@ class DuplicateSourceKeys(AssertionError):
 
 @dataclass(frozen=True)
 class TableSpec:
-    """W12 — declared table: schema (column comments in field metadata), keys, partitioning."""
+    """W12 — declared table: schema (column comments in field metadata), keys, foreign keys
+    (column → (table, column)); :mod:`medalloy.operators.constraints` makes checks of them."""
 
     name: str
     schema: T.StructType
     keys: tuple[str, ...] = ()
-    partition_by: tuple[str, ...] = ()
     foreign_keys: Mapping[str, tuple[str, str]] = field(default_factory=dict)
 
     def comments(self) -> dict[str, str]:
@@ -58,113 +60,89 @@ def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
+def hash_slot(keys: Sequence[str], slots: int = SLOTS) -> Column:
+    """Slot of a key: rows of a key always meet in one slot, whatever batch they come with."""
+    return F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int")
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = (root or ensure_checkpoint_dir(spark).rstrip("/") + "/medalloy-tables").rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    # -- low-level ----------------------------------------------------------------------
-    def _fs(self, p: str):
-        return self._Path(p).getFileSystem(self._conf)
-
-    def _commits(self, name: str, started: bool = False) -> list[int]:
-        """Committed versions; with ``started`` also numbers whose marker was never filled."""
-        d = f"{self.root}/{name}/_commits"
-        fs = self._fs(d)
-        if not fs.exists(self._Path(d)):
-            return []
-        return sorted(int(s.getPath().getName()) for s in fs.listStatus(self._Path(d))
-                      if s.getPath().getName().isdigit() and (started or s.getLen() > 0))
-
-    def version(self, name: str) -> int | None:
-        c = self._commits(name)
-        return c[-1] if c else None
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        return self.version(name) is not None
-
-    def _commit(self, name: str, v: int, folder: str) -> None:
-        p = self._Path(f"{self.root}/{name}/_commits/{v}")
-        out = self._fs(p.toString()).create(p, False)  # fails if another writer took the number
-        out.writeUTF(folder)
-        out.close()
-
-    def _folder(self, name: str) -> str:
-        v = self.version(name)
-        if v is None:
-            raise FileNotFoundError(f"table {name} has no committed version")
-        p = self._Path(f"{self.root}/{name}/_commits/{v}")
-        marker = self._fs(p.toString()).open(p)
-        folder = marker.readUTF()
-        marker.close()
-        return f"{self.root}/{name}/{folder}"
-
-    # -- reads / writes ----------------------------------------------------------------
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self._folder(name))
-
-    def write(self, name: str, df: DataFrame, *, partition_by: Sequence[str] = (),
-              metrics: Mapping[str, object] | None = None, check=None,
-              columns: Sequence[str] | None = None) -> dict:
-        """W8 — full rebuild as a new version; ``metrics`` are aggregate Columns observed during
-        the write (on ``df``; ``columns`` then selects what is stored); ``check(metrics)`` may
-        raise to abort before the commit."""
-        v = max(self._commits(name, started=True), default=0) + 1
-        folder = f"v={v}-{uuid.uuid4().hex[:12]}"
-        obs = Observation(f"w_{name}_{v}")
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+    def read(self, name: str, slots: Sequence | None = None) -> DataFrame:
+        """The table, or its ``slots`` (partition pruning); the slot itself is no column of it."""
+        if not self.exists(name):
+            raise FileNotFoundError(f"no table {name}")
+        df = self.spark.read.parquet(self.path(name))
+        if slots is not None:
+            df = df.where(F.col("slot").isin(list(slots)))
+        return df.drop("slot")
+
+    def files(self, name: str) -> DataFrame:
+        """(slot, file_path) of the table's files."""
+        return self.spark.read.parquet(self.path(name)).select("slot", F.col("_metadata.file_path").alias("file_path")).distinct()
+
+    def _save(self, name: str, df: DataFrame, slot: Column | None, mode: str) -> None:
+        w = (df if slot is None else df.withColumn("slot", slot)).write.mode(mode).option("partitionOverwriteMode", "dynamic" if slot is not None else "static")
+        (w if slot is None else w.partitionBy("slot")).parquet(self.path(name))
+
+    def write(self, name: str, df: DataFrame, *, slot: Column | None = None, metrics: Mapping[str, Column] | None = None,
+              check: Callable[[dict], None] | None = None, columns: Sequence[str] | None = None) -> dict:
+        """W8 — full rebuild, or with ``slot`` a rebuild of the slots that ``df`` has rows for.
+
+        ``metrics`` are aggregates observed on ``df``; ``columns`` selects what is stored.
+        ``check(metrics)`` may raise before anything is written (the rows are then computed into
+        a checkpoint first).
+        """
+        obs = Observation(f"w_{name}_{uuid.uuid4().hex[:12]}")
         named = {"rows_written": F.count(F.lit(1)), **(metrics or {})}
-        observed = df.observe(obs, *[c.alias(k) for k, c in named.items()])
-        if columns is not None:
-            observed = observed.select(*columns)
-        w = observed.write
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.root}/{name}/{folder}")
-        result = dict(obs.get)
+        rows = df.observe(obs, *[c.alias(k) for k, c in named.items()])
         if check is not None:
-            check(result)
-        self._commit(name, v, folder)
-        result["version"] = v
-        return result
+            rows = cut_lineage(rows)
+            check(dict(obs.get))
+        self._save(name, rows if columns is None else rows.select(*columns), slot, "overwrite")
+        return dict(obs.get)
 
     def create_if_absent(self, specs: Sequence[TableSpec]) -> dict[str, str]:
-        """W12 — create every declared table that does not exist yet (empty version 1);
-        stop at the first error and report per table."""
+        """W12 — create every declared table that does not exist yet (no rows, the schema with its
+        comments), in the given order; stop at the first error and report per table."""
         out: dict[str, str] = {}
         for s in specs:
             try:
-                if self.exists(s.name):
+                if not self.exists(s.name):
+                    self.write(s.name, self.spark.createDataFrame([], s.schema))
+                    out[s.name] = "created"
+                else:
                     out[s.name] = "exists"
-                    continue
-                self.write(s.name, self.spark.createDataFrame([], s.schema), partition_by=s.partition_by)
-                out[s.name] = "created"
             except Exception as e:  # noqa: BLE001 - structured result, then stop
                 out[s.name] = f"error: {e}"
                 break
         return out
 
-    def append(self, name: str, df: DataFrame) -> dict:
-        """W10 — append-only logs: new files are added to the current version, nothing is rewritten.
-        Missing columns are NULL; a batch with new columns needs a migration and becomes a new version."""
-        if not self.exists(name):
-            return self.write(name, df)
-        base = self.read(name)
-        if set(df.columns) - set(base.columns):
-            return self.write(name, base.unionByName(df, allowMissingColumns=True))
-        obs = Observation(f"a_{name}_{uuid.uuid4().hex[:12]}")
-        rows = conform_to(df, base.schema).observe(obs, F.count(F.lit(1)).alias("rows_written"))
-        rows.write.mode("append").parquet(self._folder(name))
-        return {**obs.get, "version": self.version(name)}
-
-    def upsert(self, name: str, source: DataFrame, keys: Sequence[str], *, resolve_duplicates: bool = False,
-               **merge_kw) -> dict:
-        """W1–W6 — merge ``source`` into the current version; counts by change kind are observed
-        on the write; a batch with duplicate keys is refused before the commit (W6) unless
-        ``resolve_duplicates`` (an ordered load, W4: the greatest ``order`` row per key wins)."""
-        target = self.read(name)
+    def append(self, name: str, df: DataFrame, *, batch: str) -> dict:
+        """W10 — append-only logs: a batch is a slot of its own, so other batches' files stay and a batch
+        that is sent again takes its own place instead of adding rows. Missing columns are NULL; new
+        columns need a migration first."""
+        rows = conform_to(df, self.read(name).schema) if self.exists(name) else df
+        return self.write(name, rows, slot=F.lit(batch))
+
+    def upsert(self, name: str, source: DataFrame, keys: Sequence[str], *, slot: Column | None = None,
+               resolve_duplicates: bool = False, **merge_kw) -> dict:
+        """W1–W6 — merge ``source`` into the slots it touches (the table was written with the same
+        ``slot``, by default :func:`hash_slot` of the keys); counts by change kind cover those slots. A
+        batch with duplicate keys is refused before the write (W6) unless ``resolve_duplicates`` (an
+        ordered load, W4: the greatest ``order`` row per key wins)."""
+        slot = hash_slot(keys) if slot is None else slot
+        touched = [r.slot for r in source.select(slot.alias("slot")).distinct().collect()]  # at most the table's slots
+        target = self.read(name, slots=touched)
         merged = up.merge_upsert(target, source, keys, **merge_kw)
         metrics = {k: F.sum(F.when(F.col("_change") == k, 1).otherwise(0)) for k in
                    (up.INSERT, up.UPDATE, up.UNCHANGED, up.KEPT)}
@@ -174,11 +152,19 @@ class TableStore:
             if not resolve_duplicates and (m.get("max_source_rows") or 0) > 1:
                 raise DuplicateSourceKeys(f"[{name}] a key occurs {m['max_source_rows']} times in the source batch")
 
-        return self.write(name, merged, metrics=metrics, check=check, columns=target.columns)
+        return self.write(name, merged, slot=slot, metrics=metrics, check=check, columns=target.columns)
 
     def replace_by(self, name: str, source: DataFrame, discriminator: str, processed: Sequence[str]) -> dict:
-        """W11 — idempotent replace of the processed discriminator values."""
-        return self.write(name, up.replace_by(self.read(name), source, discriminator, processed))
+        """W11 — replace the processed values of ``discriminator``, which is the table's slot: those with
+        new rows by the write itself, those without by a slot of no rows. Other slots stay as they are."""
+        schema = self.read(name).schema
+        rows = conform_to(source, schema).where(F.col(discriminator).isin(list(processed)))
+        done = self.write(name, rows, slot=F.col(discriminator), check=lambda m: None)
+        left = set(processed) - {r[0] for r in rows.select(discriminator).distinct().collect()}  # at most the processed values
+        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        for value in sorted(left):
+            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{self.path(name)}/{escape('slot', value)}")
+        return done
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

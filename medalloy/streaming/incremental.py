@@ -4,7 +4,7 @@ This is the streaming form of the reference's land-then-upsert loaders: a file-s
 stream with an explicit all-string schema and ``trigger(availableNow=True)`` processes
 every file not yet seen (tracked in the checkpoint), and ``foreachBatch`` applies the same
 keyed upsert as the batch loader. A batch re-run after a failure re-applies the same
-upsert, which is idempotent, and the table commit is atomic (see :mod:`medalloy.store`).
+upsert, which is idempotent (see :mod:`medalloy.store`).
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medalloy.operators.upsert import dedupe, one_per_key
-from medalloy.store import DuplicateSourceKeys, TableStore
+from medalloy.store import DuplicateSourceKeys, TableStore, hash_slot
 
 
 def landing_stream(spark: SparkSession, path: str, columns: Sequence[str], *, fmt: str = "csv") -> DataFrame:
@@ -43,7 +43,7 @@ def upsert_new_files(spark: SparkSession, landing: str, columns: Sequence[str],
         if order:
             b = dedupe(b, keys, order)
         if not store.exists(table):
-            results.append(store.write(table, one_per_key(b, keys), columns=b.columns,
+            results.append(store.write(table, one_per_key(b, keys), columns=b.columns, slot=hash_slot(keys),
                                        metrics={"max_source_rows": F.max("_src_rows")}, check=refuse_duplicates))
         else:
             results.append(store.upsert(table, b, keys))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medalloy.operators import upsert as up
-from medalloy.store import DuplicateSourceKeys, TableSpec, TableStore, column, conform_to
+from medalloy.store import DuplicateSourceKeys, TableSpec, TableStore, column, conform_to, hash_slot
 from pyspark.sql import types as T
 
 
@@ -61,21 +61,21 @@ def test_surrogates_stable(spark):
     assert got == {"b": 1, "d": 2, "a": 3, "c": 4}
 
 
-def test_store_versions_and_duplicate_guard(spark):
+def test_store_and_duplicate_guard(spark):
     root = tempfile.mkdtemp(prefix="store-", dir="/tmp")
     st = TableStore(spark, root)
     spec = TableSpec("t", T.StructType([column("k", T.IntegerType(), "key"), column("s", T.StringType()),
                                         column("v", T.DoubleType(), "value")]), keys=("k",))
     assert st.create_if_absent([spec]) == {"t": "created"}
     assert st.create_if_absent([spec]) == {"t": "exists"}
-    st.write("t", _t(spark))
-    res = st.upsert("t", spark.createDataFrame([(2, "b", 20.0), (4, "d", 4.0)], "k int, s string, v double"), ["k"])
-    assert (res["insert"], res["update"], res["kept"], res["rows_written"]) == (1, 1, 2, 4)
+    st.write("t", _t(spark), slot=hash_slot(["k"], 2))
+    res = st.upsert("t", spark.createDataFrame([(2, "b", 20.0), (4, "d", 4.0)], "k int, s string, v double"), ["k"], slot=hash_slot(["k"], 2))
+    assert (res["insert"], res["update"]) == (1, 1) and res["rows_written"] == 2 + res["kept"]
     assert st.read("t").count() == 4 and st.read("t").columns == ["k", "s", "v"]
-    v = st.version("t")
+    before = set(st.read("t").inputFiles())
     with pytest.raises(DuplicateSourceKeys):
-        st.upsert("t", spark.createDataFrame([(5, "e", 1.0), (5, "f", 2.0)], "k int, s string, v double"), ["k"])
-    assert st.version("t") == v  # refused batch never committed
+        st.upsert("t", spark.createDataFrame([(5, "e", 1.0), (5, "f", 2.0)], "k int, s string, v double"), ["k"], slot=hash_slot(["k"], 2))
+    assert set(st.read("t").inputFiles()) == before  # a refused batch writes nothing
     assert spec.comments()["k"] == "key"
 
 
@@ -112,25 +112,37 @@ def test_dense_positions_match_sorted_rank(spark):
     assert got == want
 
 
-def test_two_writers_of_one_version(spark, monkeypatch):
-    root = tempfile.mkdtemp(prefix="race-", dir="/tmp")
-    a, b = TableStore(spark, root), TableStore(spark, root)
-    a.write("t", spark.range(3))
-    seen = b._commits("t", started=True)
-    a.write("t", spark.range(5))
-    monkeypatch.setattr(b, "_commits", lambda name, started=False: seen)  # b read the version before a's commit
-    with pytest.raises(Exception, match="(?i)exist"):
-        b.write("t", spark.range(1))
-    assert a.version("t") == 2 and a.read("t").count() == 5
-
-
-def test_append_rewrites_nothing(spark):
+def test_append_is_idempotent_by_batch(spark):
     st = TableStore(spark, tempfile.mkdtemp(prefix="append-", dir="/tmp"))
-    st.append("log", spark.createDataFrame([(1, "a")], "k int, s string"))
+    st.append("log", spark.createDataFrame([(1, "a")], "k int, s string"), batch="001")
     before = set(st.read("log").inputFiles())
-    assert st.append("log", spark.createDataFrame([(2,)], "k int"))["rows_written"] == 1
-    assert before < set(st.read("log").inputFiles())
-    assert sorted(tuple(r) for r in st.read("log").collect()) == [(1, "a"), (2, None)]
+    for _ in range(2):
+        assert st.append("log", spark.createDataFrame([(2,), (3,)], "k int"), batch="01")["rows_written"] == 2
+        assert before < set(st.read("log").inputFiles())
+        assert sorted(tuple(r) for r in st.read("log").collect()) == [(1, "a"), (2, None), (3, None)]
+    with pytest.raises(ValueError, match="not in the declared schema"):
+        st.append("log", spark.createDataFrame([(2, 3)], "k int, other int"), batch="02")
+
+
+def test_upsert_rewrites_touched_slots_only(spark):
+    st = TableStore(spark, tempfile.mkdtemp(prefix="slots-", dir="/tmp"))
+    t = spark.createDataFrame([(k, y, 1.0) for k in range(20) for y in (1998, 1999)] + [(None, 1999, 1.0)], "k int, y int, v double")
+    st.write("t", t, slot=F.col("y"))
+    files = {r.slot: r.file_path for r in st.files("t").groupBy("slot").agg(F.min("file_path").alias("file_path")).collect()}
+    res = st.upsert("t", spark.createDataFrame([(3, 1999, 9.0), (77, 1999, 7.0)], "k int, y int, v double"), ["k", "y"], slot=F.col("y"))
+    assert (res["insert"], res["update"], res["kept"]) == (1, 1, 20)
+    now = {r.slot: r.file_path for r in st.files("t").groupBy("slot").agg(F.min("file_path").alias("file_path")).collect()}
+    assert now[1998] == files[1998] and now[1999] != files[1999]
+    assert st.read("t").count() == 42 and st.read("t").where("v = 9").count() == 1
+
+
+def test_replace_by_empties_a_slot_without_new_rows(spark):
+    st = TableStore(spark, tempfile.mkdtemp(prefix="replace-", dir="/tmp"))
+    st.write("q", spark.createDataFrame([("a/b", 1), ("c d", 2), ("e", 3), (None, 4)], "src string, n int"), slot=F.col("src"))
+    keep = {r.file_path for r in st.files("q").where("slot = 'e' or slot is null").collect()}
+    st.replace_by("q", spark.createDataFrame([("a/b", 10)], "src string, n int"), "src", ["a/b", "c d"])
+    assert sorted((tuple(r) for r in st.read("q").collect()), key=str) == [("a/b", 10), ("e", 3), (None, 4)]
+    assert keep <= {r.file_path for r in st.files("q").collect()}
 
 
 def test_comments_survive_a_write(spark):
