@@ -46,32 +46,36 @@ def task_outcomes(task_runs: DataFrame, *, run_col: str = "run_id", task_col: st
     if exclude_tasks:
         failed = failed.where(~F.col(task_col).isin(*exclude_tasks))
     msg = F.concat(F.lit("["), F.col(state_col), F.lit("] "),
-                   strip_ansi(F.coalesce(F.col(error_col), F.lit("no error message"))))
+                   strip_ansi(F.coalesce(F.col(error_col), F.lit("(no text)"))))
     return failed.select(run_col, task_col, msg.alias("error"))
 
 
+def failure_rows(steps: DataFrame, failures: DataFrame, *, run_col: str = "run_id", step_name: str = "step_name",
+                 step_status: str = "status", task_col: str = "task_key") -> DataFrame:
+    """A12 — what failed in each run, one row per distinct step name and per task: (run, kind, name, error)."""
+    step = steps.where(F.col(step_status) == FAILED).select(run_col, F.lit("step").alias("kind"), F.col(step_name).alias("name"),
+                                                            F.lit(None).cast("string").alias("error")).distinct()
+    return step.unionByName(failures.select(run_col, F.lit("task").alias("kind"), F.col(task_col).alias("name"), "error"))
+
+
 def run_status(runs: DataFrame, steps: DataFrame, failures: DataFrame, *, run_col: str = "run_id",
                step_name: str = "step_name", step_status: str = "status", task_col: str = "task_key") -> DataFrame:
-    """L4 — one row per run header: ``failed`` if any logged step failed or any task outcome
-    failed, with a message naming both; ``succeeded`` (NULL message) otherwise."""
-    fs = (steps.where(F.col(step_status) == FAILED)
-               .groupBy(run_col).agg(F.array_sort(F.collect_set(step_name)).alias("_steps"))
-               .withColumn("failed_steps", F.size("_steps")))
-    ft = (failures.groupBy(run_col)
-                  .agg(F.count(F.lit(1)).alias("failed_tasks"),
-                       F.array_sort(F.collect_list(F.concat(F.col(task_col), F.lit(": "), F.col("error")))).alias("_tasks")))
-    j = runs.select(run_col).distinct().join(fs, run_col, "left").join(ft, run_col, "left")
-    n_s = F.coalesce("failed_steps", F.lit(0))
-    n_t = F.coalesce("failed_tasks", F.lit(0))
-    step_part = F.when(n_s > 0, F.concat(n_s.cast("string"), F.lit(" logged step(s) failed: "),
-                                         F.array_join("_steps", ", "), F.lit(".")))
-    task_part = F.when(n_t > 0, F.concat(n_t.cast("string"), F.lit(" task(s) failed: "),
-                                         F.array_join("_tasks", "; ")))
+    """L4 — one row per run header: ``failed`` if any logged step or task outcome failed, with a message that
+    gives both numbers and the first name of each (:func:`failure_rows` lists them all); else ``succeeded``."""
+    rows = failure_rows(steps, failures, run_col=run_col, step_name=step_name, step_status=step_status, task_col=task_col)
+
+    def of(kind: str) -> list[Column]:
+        mine = F.col("kind") == kind
+        return [F.sum(mine.cast("long")).alias(f"n_{kind}"), F.min(F.when(mine, F.col("name"))).alias(f"first_{kind}")]
+
+    j = runs.select(run_col).distinct().join(rows.groupBy(run_col).agg(*of("step"), *of("task")), run_col, "left")
+    n_s, n_t = F.coalesce("n_step", F.lit(0)), F.coalesce("n_task", F.lit(0))
+    parts = [F.when(n > 0, F.concat(F.lit(f"{kind}s: "), n.cast("string"), F.lit(", first "), F.col(f"first_{kind}")))
+             for kind, n in (("step", n_s), ("task", n_t))]
     failed = (n_s > 0) | (n_t > 0)
-    message = F.when(failed, F.concat_ws(" ", step_part, task_part, F.lit("See the step log and task matrix.")))
     return j.select(run_col, F.when(failed, F.lit(FAILED)).otherwise(F.lit(SUCCEEDED)).alias("status"),
-                    n_s.cast("long").alias("failed_steps"), n_t.cast("long").alias("failed_tasks"),
-                    message.alias("error_message"))
+                    n_s.alias("failed_steps"), n_t.alias("failed_tasks"),
+                    F.when(failed, F.concat(F.lit("failed "), F.concat_ws("; ", *parts))).alias("error_message"))
 
 
 def stuck_steps(steps_state: DataFrame, runs_state: DataFrame, *, run_col: str = "run_id",
@@ -126,10 +130,12 @@ def landing_rows(attempts: DataFrame, *, source_col: str = "source_url", sha_col
 
 
 def transform_rows(merged: DataFrame, *, run_id: str, step_log_id: str, source_system: str, target_table: str, load_type: str,
-                   rows_rejected: Column, error: str | None = None) -> DataFrame:
+                   rows_rejected: Column, error: str | None = None, started: Column | None = None, ended: Column | None = None,
+                   rules: Sequence[str] = ()) -> DataFrame:
     """L3 — one row of a keyed load, counted in one pass over :func:`medalloy.operators.upsert.merge_upsert`'s result.
 
-    ``rows_rejected`` is a scalar (quarantined before the merge); ``rows_read`` counts them too.
+    ``rows_rejected`` is a scalar (quarantined before the merge); ``rows_read`` counts them too. ``started``
+    and ``ended`` are the load's times (null if not given), ``rules`` names what was applied, in order.
     """
     def n(kind: str) -> Column:
         return F.coalesce(F.sum((F.col("_change") == kind).cast("long")), F.lit(0))
@@ -139,13 +145,16 @@ def transform_rows(merged: DataFrame, *, run_id: str, step_log_id: str, source_s
                    n("unchanged").alias("rows_unchanged"), n("kept").alias("rows_kept"), F.count(F.lit(1)).alias("rows_written"))
     used = F.col("rows_inserted") + F.col("rows_updated") + F.col("rows_unchanged")
     c = c.withColumn("rows_rejected", rows_rejected)
+    begun, closed = ((F.lit(None) if t is None else t).cast("timestamp") for t in (started, ended))
     return c.select(
         _row_id(F.lit(run_id), F.lit(step_log_id), F.lit(target_table)).alias("transform_log_id"),
         F.lit(run_id).alias("run_id"), F.lit(step_log_id).alias("step_log_id"), F.lit(source_system).alias("source_system"),
         F.lit(target_table).alias("target_table"), F.lit(load_type).alias("load_type"),
         (F.col("_given") + F.col("rows_rejected")).alias("rows_read"), "rows_rejected",
         (F.col("_given") - used).alias("rows_deduplicated"), "rows_inserted", "rows_updated", "rows_unchanged", "rows_kept",
-        "rows_written", F.lit(FAILED if error else SUCCEEDED).alias("status"), F.lit(error).cast("string").alias("error"))
+        "rows_written", F.lit(FAILED if error else SUCCEEDED).alias("status"), F.lit(error).cast("string").alias("error"),
+        begun.alias("started"), closed.alias("ended"), duration_seconds(begun, closed).alias("duration_seconds"),
+        F.lit("; ".join(rules)).alias("rules_applied"))
 
 
 class MissingRunHeader(ValueError):
@@ -184,10 +193,10 @@ class AuditLog:
         self.store = store
         self.table = table
 
-    def _append(self, rows: list[tuple], schema: str, table: str) -> dict:
+    def _append(self, rows: list[tuple], schema: str, table: str, batch: str) -> dict:
         try:
             df = self.store.spark.createDataFrame(rows, schema)
-            return {"ok": True, **self.store.append(table, df)}
+            return {"ok": True, **self.store.append(table, df, batch=batch)}
         except Exception as e:  # noqa: BLE001 - logging must not fail the load
             return {"ok": False, "error": f"{type(e).__name__}: {e}"}
 
@@ -196,7 +205,7 @@ class AuditLog:
         import datetime as _dt
         ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         return self._append([(step_log_id, run_id, step_name, status, rows_read, rows_written, ts, error)],
-                            self.STEP_SCHEMA, self.table)
+                            self.STEP_SCHEMA, self.table, batch=f"{step_log_id} {status} {ts.isoformat()}")
 
     def step(self, step_log_id: str, run_id: str, step_name: str):
         log = self

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medalloy.operators.sizing import broadcast_if_small
@@ -51,6 +51,20 @@ def row_counts(tables: Mapping[str, DataFrame], kind: str | Mapping[str, str] =
     return out
 
 
+def counts_by_name(spark: SparkSession, views: Sequence[str]) -> DataFrame:
+    """S14 — row counts of registered views by one statement: the name is a session variable that
+    ``IDENTIFIER`` resolves, never text pasted into the SQL."""
+    spark.sql("DECLARE OR REPLACE VARIABLE scanned STRING")
+    out = None
+    for name in views:
+        spark.sql("SET VAR scanned = :name", args={"name": name})
+        part = spark.sql("SELECT count(*) AS row_count FROM IDENTIFIER(scanned)")
+        part = part.select(F.lit(name).alias("table_name"), "row_count")  # the variable has moved on when the plan runs
+        out = part if out is None else out.unionByName(part)
+    spark.sql("DROP TEMPORARY VARIABLE scanned")
+    return out
+
+
 def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Q8 — total rows and non-null count per enrichment column (one aggregate)."""
     return df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(c)).alias(f"{c}_present") for c in columns])

@@ -74,6 +74,68 @@ def risk_band(score, *, higher_is_better: bool = False) -> tuple[Column, Column]
     return label, key
 
 
+def natural_breaks(scores: DataFrame, score: str, bands: int, digits: int = 2) -> DataFrame:
+    """M9 — the exact one-dimensional k-means of scores rounded to ``digits``: (band, low, high, n), band 1 lowest.
+
+    Spark counts the rounded scores; a dynamic programme over these distinct values finds the cut
+    of least squared distance (sums of squares about the means), the lowest cuts among equals. Distinct
+    values are bounded by the score's range and ``digits`` (10,001 for 0-100 with two), rows are not
+    collected. NULL and non-finite scores take no part; fewer distinct values than bands give fewer bands.
+    """
+    scale = 10 ** digits
+    s = _c(score).cast("double")
+    finite = F.when(~F.isnan(s) & (F.abs(s) != float("inf")), s)
+    x = F.round(F.round(finite, digits) * scale).cast("long")
+    hist = scores.select(x.alias("x")).where("x is not null").groupBy("x").agg(F.count(F.lit(1)).alias("n")).orderBy("x").collect()
+    cuts = least_square_cuts([r.x for r in hist], [r.n for r in hist], bands)
+    rows = [(i + 1, hist[a].x / scale, hist[b - 1].x / scale, sum(r.n for r in hist[a:b])) for i, (a, b) in enumerate(cuts)]
+    return scores.sparkSession.createDataFrame(rows, "band int, low double, high double, n long")
+
+
+def least_square_cuts(x: Sequence[int], n: Sequence[int], k: int) -> list[tuple[int, int]]:
+    """(start, end) of the ``k`` stretches of sorted values ``x`` with counts ``n`` of least summed squared distance.
+
+    Costs are compared as floats of exact integer sums. Splits rise with the end point, so each layer
+    is found by halving: k n log n steps.
+    """
+    m = len(x)
+    k = min(k, m)
+    if not k:
+        return []
+    w, wx, wxx = [0], [0], [0]
+    for v, c in zip(x, n, strict=True):
+        w.append(w[-1] + c)
+        wx.append(wx[-1] + c * v)
+        wxx.append(wxx[-1] + c * v * v)
+
+    def cost(a: int, b: int) -> float:
+        s = wx[b] - wx[a]
+        return ((wxx[b] - wxx[a]) * (w[b] - w[a]) - s * s) / (w[b] - w[a])
+
+    best = [0.0] + [cost(0, b) for b in range(1, m + 1)]
+    splits: list[list[int]] = []
+    for layer in range(2, k + 1):
+        now, at = [float("inf")] * (m + 1), [0] * (m + 1)
+        todo = [(layer, m, layer - 1, m - 1)]
+        while todo:
+            lo, hi, first, last = todo.pop()
+            if lo > hi:
+                continue
+            b = (lo + hi) // 2
+            for a in range(first, min(last, b - 1) + 1):
+                c = best[a] + cost(a, b)
+                if c < now[b]:
+                    now[b], at[b] = c, a
+            todo += [(lo, b - 1, first, at[b]), (b + 1, hi, at[b], last)]
+        best = now
+        splits.append(at)
+    ends = [m]
+    for at in reversed(splits):
+        ends.append(at[ends[-1]])
+    ends = [*ends, 0][::-1] if k > 1 else [0, m]
+    return list(zip(ends[:-1], ends[1:], strict=True))
+
+
 def spread(metro_growth, national_growth, digits: int | None = 2) -> Column:
     """M10 — metro minus national growth on the same date."""
     d = _c(metro_growth) - _c(national_growth)

@@ -54,28 +54,38 @@ def latest_attempt(spark, sf_dir):
 WITH {_D_TR},
 steps AS (SELECT DISTINCT run_id, 'step_' || CAST(user_id AS VARCHAR) AS step_name FROM
             (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, user_id FROM events WHERE value > 95)),
-fs AS (SELECT run_id, count(*) AS failed_steps, string_agg(step_name, ', ' ORDER BY step_name) AS names FROM steps GROUP BY 1),
-ft AS (SELECT run_id, count(*) AS failed_tasks, string_agg(task_key || ': ' || error, '; ' ORDER BY task_key || ': ' || error) AS msgs
-       FROM fails GROUP BY 1),
+fs AS (SELECT run_id, count(*) AS n, min(step_name) AS first FROM steps GROUP BY 1),
+ft AS (SELECT run_id, count(*) AS n, min(task_key) AS first FROM fails GROUP BY 1),
 runs AS (SELECT DISTINCT run_id FROM tr)
-SELECT r.run_id,
-       CASE WHEN coalesce(fs.failed_steps, 0) > 0 OR coalesce(ft.failed_tasks, 0) > 0 THEN 'failed' ELSE 'succeeded' END AS status,
-       coalesce(fs.failed_steps, 0) AS failed_steps, coalesce(ft.failed_tasks, 0) AS failed_tasks,
-       CASE WHEN coalesce(fs.failed_steps, 0) > 0 OR coalesce(ft.failed_tasks, 0) > 0 THEN
-         concat_ws(' ',
-           CASE WHEN fs.failed_steps > 0 THEN CAST(fs.failed_steps AS VARCHAR) || ' logged step(s) failed: ' || fs.names || '.' END,
-           CASE WHEN ft.failed_tasks > 0 THEN CAST(ft.failed_tasks AS VARCHAR) || ' task(s) failed: ' || ft.msgs END,
-           'See the step log and task matrix.') END AS error_message
+SELECT r.run_id, CASE WHEN fs.n > 0 OR ft.n > 0 THEN 'failed' ELSE 'succeeded' END AS status,
+       coalesce(fs.n, 0) AS failed_steps, coalesce(ft.n, 0) AS failed_tasks,
+       CASE WHEN fs.n > 0 OR ft.n > 0 THEN 'failed ' || concat_ws('; ',
+         CASE WHEN fs.n > 0 THEN 'steps: ' || fs.n || ', first ' || fs.first END,
+         CASE WHEN ft.n > 0 THEN 'tasks: ' || ft.n || ', first ' || ft.first END) END AS error_message
 FROM runs r LEFT JOIN fs ON fs.run_id = r.run_id LEFT JOIN ft ON ft.run_id = r.run_id
 """)
 def run_status(spark, sf_dir):
     tr = task_runs(spark, sf_dir)
-    fails = au.task_outcomes(tr, attempt_cols=["ts", "event_id"], exclude_tasks=["task_0"])
-    steps = (read(spark, sf_dir, "events").where(F.col("value") > 95)
-             .select(F.to_date("ts").cast("string").alias("run_id"),
-                     F.concat(F.lit("step_"), F.col("user_id").cast("string")).alias("step_name"),
-                     F.lit(au.FAILED).alias("status")))
-    return au.run_status(tr, steps, fails)
+    return au.run_status(tr, _failed_steps(spark, sf_dir), au.task_outcomes(tr, attempt_cols=["ts", "event_id"], exclude_tasks=["task_0"]))
+
+
+def _failed_steps(spark, sf_dir):
+    return (read(spark, sf_dir, "events").where(F.col("value") > 95)
+            .select(F.to_date("ts").cast("string").alias("run_id"),
+                    F.concat(F.lit("step_"), F.col("user_id").cast("string")).alias("step_name"),
+                    F.lit(au.FAILED).alias("status")))
+
+
+@plan("run_failures", "A12 L4 L5", oracle=f"""
+WITH {_D_TR}
+SELECT run_id, 'task' AS kind, task_key AS name, error FROM fails
+UNION ALL
+SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR), 'step', 'step_' || CAST(user_id AS VARCHAR), CAST(NULL AS VARCHAR) FROM events WHERE value > 95
+""")
+def run_failures(spark, sf_dir):
+    """Every failed step name and task of every run, as rows."""
+    fails = au.task_outcomes(task_runs(spark, sf_dir), attempt_cols=["ts", "event_id"], exclude_tasks=["task_0"])
+    return au.failure_rows(_failed_steps(spark, sf_dir), fails)
 
 
 @plan("step_state", "L1", oracle="""
@@ -186,7 +196,11 @@ SELECT sha256('run_1|silver|silver.customer_last') AS transform_log_id, 'run_1'
        (SELECT count(*) FROM s WHERE k NOT IN (SELECT k FROM t)) AS rows_inserted,
        (SELECT count(*) FROM s WHERE k IN (SELECT k FROM t)) AS rows_updated, CAST(0 AS BIGINT) AS rows_unchanged,
        (SELECT count(*) FROM t WHERE k NOT IN (SELECT k FROM s)) AS rows_kept,
-       (SELECT count(*) FROM (SELECT k FROM t UNION SELECT k FROM s)) AS rows_written, 'succeeded' AS status, '' AS error
+       (SELECT count(*) FROM (SELECT k FROM t UNION SELECT k FROM s)) AS rows_written, 'succeeded' AS status, '' AS error,
+       (SELECT min(o_orderdate) FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS started,
+       (SELECT max(o_orderdate) FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS ended,
+       (SELECT epoch(max(o_orderdate)) - epoch(min(o_orderdate)) FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS duration_seconds,
+       'orders of 5000 or more; last order of a customer' AS rules_applied
 """)
 def transform_log(spark, sf_dir):
     """The log row of an upsert of each customer's last order: history before 1998, batch from 1998, small orders rejected."""
@@ -198,8 +212,10 @@ def transform_log(spark, sf_dir):
     merged = up.merge_upsert(target, batch.where(good), ["o_custkey"], order=["o_orderdate", "o_orderkey"])
     rejected = batch.agg(F.coalesce(F.sum((~good).cast("long")), F.lit(0))).scalar()
     row = au.transform_rows(merged, run_id="run_1", step_log_id="silver", source_system="orders",
-                            target_table="silver.customer_last", load_type="upsert", rows_rejected=rejected)
-    return row.withColumn("error", F.coalesce("error", F.lit("")))
+                            target_table="silver.customer_last", load_type="upsert", rows_rejected=rejected,
+                            started=batch.agg(F.min("o_orderdate")).scalar(), ended=batch.agg(F.max("o_orderdate")).scalar(),
+                            rules=["orders of 5000 or more", "last order of a customer"])
+    return row.withColumns({"error": F.coalesce("error", F.lit("")), **{c: F.col(c).cast("timestamp_ntz") for c in ("started", "ended")}})
 
 
 @plan("run_header_check", "L4", oracle="""

@@ -8,11 +8,12 @@ from pyspark.sql import types as T
 
 from medalloy.functions.text import county_key, title_parts
 from medalloy.operators import checks as ck
+from medalloy.operators import constraints as cn
 from medalloy.operators import rollup as ru
 from medalloy.plans.registry import plan
-from medalloy.plans.tables import read
+from medalloy.plans.tables import TABLES, read
 from medalloy.sources import files as fs
-from medalloy.store import TableSpec, TableStore, column, conform_to
+from medalloy.store import TableSpec, TableStore, column, conform_to, describe
 
 _LI = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -113,6 +114,76 @@ def schema_migration(spark, sf_dir):
     return store.read("customer")
 
 
+# The declared keys of the driver tables; every check below follows from these alone.
+KEYS = {"lineitem": (("l_orderkey", "l_linenumber"), {"l_orderkey": ("orders", "o_orderkey"), "l_partkey": ("part", "p_partkey"), "l_suppkey": ("supplier", "s_suppkey")}),
+        "orders": (("o_orderkey",), {"o_custkey": ("customer", "c_custkey")}), "labels": (("doc_id",), {"doc_id": ("documents", "doc_id")}),
+        "customer": (("c_custkey",), {"c_nationkey": ("nation", "n_nationkey")}), "supplier": (("s_suppkey",), {"s_nationkey": ("nation", "n_nationkey")}),
+        "nation": (("n_nationkey",), {"n_regionkey": ("region", "r_regionkey")}), "region": (("r_regionkey",), {}),
+        "part": (("p_partkey",), {}), "documents": (("doc_id",), {})}
+
+
+def _pk_sql(seq: int, table: str, cols: tuple) -> str:
+    c, null = ", ".join(cols), " OR ".join(f"{x} IS NULL" for x in cols)
+    return f"""SELECT {seq} AS seq, 'pk_{table}' AS "constraint", 'primary' AS kind, '{table}' AS table_name, '{",".join(cols)}' AS columns, NULL AS refers_to,
+  sum(n)::bigint AS checked_rows, coalesce(sum(n) FILTER ({null}), 0)::bigint AS null_rows,
+  count(*) FILTER (n > 1 OR {null}) AS broken_keys, coalesce(sum(n) FILTER (n > 1 OR {null}), 0)::bigint AS broken_rows
+  FROM (SELECT {c}, count(*) AS n FROM {table} GROUP BY {c})"""
+
+
+def _fk_sql(seq: int, table: str, c: str, parent: str, pc: str) -> str:
+    lost = f"{c} IS NOT NULL AND {c} NOT IN (SELECT {pc} FROM {parent} WHERE {pc} IS NOT NULL)"
+    return f"""SELECT {seq}, 'fk_{table}_{c}', 'foreign', '{table}', '{c}', '{parent}({pc})', count(*), count(*) FILTER ({c} IS NULL),
+  count(DISTINCT {c}) FILTER ({lost}), count(*) FILTER ({lost}) FROM {table}"""
+
+
+# parents before children, in the order of KEYS
+_CHECK_ORDER = ["region", "nation", "customer", "orders", "part", "supplier", "lineitem", "documents", "labels"]
+_CHECKS = [(t, c) for t in _CHECK_ORDER for c in (None, *KEYS[t][1])]
+_CHECKS_SQL = " UNION ALL ".join(_pk_sql(i, t, KEYS[t][0]) if c is None else _fk_sql(i, t, c, *KEYS[t][1][c]) for i, (t, c) in enumerate(_CHECKS, 1))
+
+
+@plan("declared_keys", "W14 Q5 W6", oracle=_CHECKS_SQL)
+def declared_keys(spark, sf_dir):
+    """Every declared primary and foreign key checked in one shuffle, parents before children."""
+    tables = {name: read(spark, sf_dir, name) for name in KEYS}
+    return cn.check_report(tables, [TableSpec(n, tables[n].schema, keys=k, foreign_keys=f) for n, (k, f) in KEYS.items()])
+
+
+@plan("counts_by_name", "S14 A13", oracle=" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES))
+def counts_by_name(spark, sf_dir):
+    """Row counts of all tables by one statement whose table name is a session variable."""
+    for name in TABLES:
+        read(spark, sf_dir, name).createOrReplaceTempView(f"scan_{name}")
+    got = ck.counts_by_name(spark, [f"scan_{name}" for name in TABLES])
+    return got.select(F.regexp_replace("table_name", "^scan_", "").alias("table_name"), "row_count")
+
+
+NATION = T.StructType([column("n_nationkey", T.IntegerType(), "nation key"), column("n_name", T.StringType(), "display name"),
+                       column("n_regionkey", T.IntegerType(), "parent region key")])
+_TYPES = {"LongType": "bigint", "StringType": "string", "IntegerType": "int", "DoubleType": "double"}
+
+
+def _described_sql(table: str, schema: T.StructType, missing: tuple = ()) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {i} AS position, '{f.name}' AS column_name, '{_TYPES[type(f.dataType).__name__]}' AS type, "
+        f"'{f.metadata['comment']}' AS comment, {'count(*) - count(*)' if f.name in missing else f'count({f.name})'} AS present FROM {table}"
+        for i, f in enumerate(schema.fields, 1))
+
+
+@plan("table_comments", "W12 W13", oracle=_described_sql("nation", NATION) + " UNION ALL " + _described_sql("customer", CUSTOMER_V2, ("c_comment",)))
+def table_comments(spark, sf_dir):
+    """Declared tables created in the order of their keys and loaded; columns, types and comments as their
+    files state them, with the rows that hold each column."""
+    store = TableStore(spark, fs.staging_path(spark, "declared"))
+    specs = cn.dependency_order([TableSpec("customer", CUSTOMER_V2, ("c_custkey",), {"c_nationkey": ("nation", "n_nationkey")}),
+                                 TableSpec("nation", NATION, ("n_nationkey",))])
+    store.create_if_absent(specs)
+    for s in specs:
+        have = read(spark, sf_dir, s.name)
+        store.write(s.name, conform_to(have.select(*[c for c in s.schema.fieldNames() if c in have.columns]), s.schema))
+    return describe(store, [s.name for s in specs])
+
+
 @plan("title_parse", "2.9 A17", oracle="""
 WITH t AS (SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN replace(p_name, ' ', '-')
                                   WHEN p_size % 2 = 0 THEN 'Old, ' || replace(p_name, ' ', '- ') || ', ' || replace(p_brand, '#', '-')

@@ -55,11 +55,9 @@ def csv_positional(spark, sf_dir):
                       F.lit("9999-12-31").alias("realtime_end"))
     path = _stage_csv(spark, staged, "series", partitionBy="series")
     df = fs.read_csv_positional(spark, path + "/*/", ["observation_date", "value", "realtime_start", "realtime_end"])
-    df = df.withColumn("source_file_path", F.col("_metadata.file_path"))
-    df = df.withColumn("folder", F.regexp_extract("source_file_path", r"/(series=[^/]+)/[^/]+$", 1))
+    df = df.withColumn("folder", F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]+$", ""))
     manifest = spark.createDataFrame(_MANIFEST, "file_name string, series_id string")
-    m = df.join(fs.broadcast_if_small(manifest), df.folder == manifest.file_name, "left")
-    return m.select("series_id", "observation_date", "value", "realtime_start", "realtime_end")
+    return fs.manifest_lookup(df, manifest, path_col="folder").select("series_id", "observation_date", "value", "realtime_start", "realtime_end")
 
 
 _LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -102,10 +100,10 @@ def _ragged_contents(spark, sf_dir):
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = c.join(fs.broadcast_if_small(n), c.c_nationkey == n.n_nationkey)
     station = F.concat(F.when(F.col("c_nationkey") < 20, "US").otherwise("CA"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"))
-    name = F.concat(F.col("c_name"), F.lit(", "), F.col("n_name"))
+    name = F.concat(F.col("c_name"), F.lit(', ""'), F.col("n_name"), F.lit('""'))
     acct = F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal").cast("string"))
     seg = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment"))
-    # header lists only the columns this station reports; NAME is quoted (it holds a comma)
+    # header lists only the columns this station reports; NAME is quoted (it holds a comma and quotes)
     header = F.concat_ws(",", F.lit("STATION"), F.lit("NAME"), F.when(acct.isNotNull(), F.lit("ANN-ACCTBAL-NORMAL")),
                          F.when(seg.isNotNull(), F.lit("SEGMENT")), F.lit("EXTRA-COL"))
     values = F.concat_ws(",", station, F.concat(F.lit('"'), name, F.lit('"')), acct, seg, F.lit("x"))
@@ -115,7 +113,7 @@ def _ragged_contents(spark, sf_dir):
 
 @plan("ragged_normalise", "S10 P8", oracle="""
 SELECT (CASE WHEN c_nationkey < 20 THEN 'US' ELSE 'CA' END) || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS STATION,
-       c_name || ', ' || n_name AS NAME,
+       c_name || ', "' || n_name || '"' AS NAME,
        CASE WHEN c_acctbal >= 0 THEN CAST(c_acctbal AS VARCHAR) END AS "ANN-ACCTBAL-NORMAL",
        CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS SEGMENT,
        CAST(NULL AS VARCHAR) AS "ANN-MISSING-NORMAL"
@@ -126,7 +124,7 @@ def ragged_normalise(spark, sf_dir):
     files = _ragged_contents(spark, sf_dir)
     out = fs.parse_ragged(files, ["STATION", "NAME", "ANN-ACCTBAL-NORMAL", "SEGMENT", "ANN-MISSING-NORMAL"],
                           id_col="STATION", keep_prefix="US")
-    return out.drop("source_file_path")
+    return fs.require_rows(out, "stations").drop("source_file_path")
 
 
 _PAGE_SCHEMA = T.StructType([
@@ -154,6 +152,44 @@ def json_flatten(spark, sf_dir):
                        F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
+@plan("json_chains", "S11", oracle="""
+WITH p AS (SELECT event_type AS chain, event_id // 500 AS no, count(*) AS n,
+                  event_id // 500 < (SELECT max(event_id) // 500 FROM events) AND event_id // 500 % 7 <> 3 AS more
+           FROM events WHERE event_type <> 'view' OR event_id // 500 % 5 <> 2 GROUP BY ALL),
+c AS (SELECT chain, max(no) AS last, count(*) AS n_pages, sum(n)::bigint AS n_features, count(*) FILTER (NOT more) AS ends, arg_max(more, no) AS open_end
+      FROM p GROUP BY 1)
+SELECT chain, n_pages, n_features, last + 1 - n_pages AS missing_pages, 0::bigint AS repeated_pages,
+       ends - CASE WHEN open_end THEN 0 ELSE 1 END AS early_ends, open_end,
+       last + 1 = n_pages AND ends = 1 AND NOT open_end AS whole FROM c
+""")
+def json_chains(spark, sf_dir):
+    """Events as a chain of pages per type: some pages of one type are lost, some pages say too early that
+    no more follow."""
+    from medalloy.sources.json_pages import chain_report
+    e = read(spark, sf_dir, "events").withColumn("no", F.expr("event_id div 500"))
+    last = e.agg(F.max("no")).scalar()
+    feature = F.struct(F.struct("event_id", "user_id").alias("attributes"))
+    pages = (e.where((F.col("event_type") != "view") | (F.col("no") % 5 != 2)).withColumn("more", (F.col("no") < last) & (F.col("no") % 7 != 3))
+              .groupBy(F.col("event_type").alias("chain"), "no", "more").agg(F.collect_list(feature).alias("features"))
+              .select("chain", "no", F.to_json(F.struct("features", F.col("more").alias("exceededTransferLimit"))).alias("page")))
+    return chain_report(pages, "chain", "no", "page")
+
+
+@plan("series_observations", "S11", oracle="""
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, CASE WHEN o_orderstatus = 'P' THEN '' ELSE CAST(o_totalprice AS VARCHAR) END AS value,
+       strftime(o_orderdate, '%Y-%m-%d') AS realtime_start, '9999-12-31' AS realtime_end FROM orders
+""")
+def series_observations(spark, sf_dir):
+    """Orders as series pages of observations (a pending order has no value): text verbatim, absent as blank."""
+    from medalloy.sources.json_pages import flatten_observations
+    o = read(spark, sf_dir, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    obs = F.struct(day.alias("date"), F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice").cast("string")).alias("value"),
+                   day.alias("realtime_start"), F.lit("9999-12-31").alias("realtime_end"))
+    pages = o.groupBy("o_orderpriority", F.expr("o_orderkey div 1000")).agg(F.collect_list(obs).alias("observations"))
+    return flatten_observations(pages.select(F.to_json(F.struct("observations")).alias("page")), "page")
+
+
 def _ledger(spark, sf_dir):
     d = read(spark, sf_dir, "documents")
     return d.select(F.col("source").alias("source_url"), F.col("doc_id").alias("started"),
@@ -182,6 +218,24 @@ def changed_files(spark, sf_dir):
     return fs.changed_files(cand, au.latest_hash(_ledger(spark, sf_dir))).select("doc_id", "decision")
 
 
+@plan("changed_landed", "S12 L6", oracle="""
+WITH last AS (SELECT source, arg_max(sha256(text), doc_id) AS s, arg_max(lang, doc_id) AS lang FROM documents WHERE n_chars >= 100 GROUP BY 1)
+SELECT d.doc_id, CASE WHEN sha256(d.text) = last.s AND last.lang <> 'es' THEN 'skipped' ELSE 'land' END AS decision
+FROM documents d LEFT JOIN last ON last.source = d.source
+""")
+def changed_landed(spark, sf_dir):
+    """The last landed text of each source lies as a file in a landing folder (Spanish ones were removed);
+    whether a landed copy still exists is read from the folder's listing."""
+    d = read(spark, sf_dir, "documents")
+    last = d.where(F.col("n_chars") >= 100).groupBy("source").agg(F.max_by(F.struct("text", "lang"), "doc_id").alias("f"))
+    path = fs.staging_path(spark, "landing")
+    last.where("f.lang <> 'es'").select("source", F.col("f.text").alias("text")).write.partitionBy("source").option("lineSep", "\u0000").text(path)
+    there = fs.landed_files(spark, path).select(F.regexp_extract("path", r"/source=([^/]+)/", 1).alias("source_url"), F.lit(True).alias("landed_exists"))
+    cand = d.select("doc_id", F.col("source").alias("source_url"), F.sha2("text", 256).alias("file_sha256"))
+    cand = cand.join(fs.broadcast_if_small(there.distinct()), "source_url", "left")
+    return fs.changed_files(cand, au.latest_hash(_ledger(spark, sf_dir))).select("doc_id", "decision")
+
+
 @plan("accept_files", "S13", oracle="""
 SELECT doc_id,
        CASE WHEN octet_length(encode(text)) = 0 THEN 'empty'

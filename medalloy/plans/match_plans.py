@@ -149,4 +149,32 @@ SELECT point_id, min(polygon_id) AS polygon_id FROM hits WHERE c % 2 = 1 GROUP B
 """)
 def point_in_polygon(spark, sf_dir):
     """Customers as points (x = balance/100, y = order count) inside nation hexagons."""
-    return sp.within(_points(spark, sf_dir), _polygons(spark, sf_dir), cell=4.0)
+    return sp.within(_points(spark, sf_dir), _polygons(spark, sf_dir))
+
+
+# Rings around each nation's centre: an outer square, a hole in it, an island in the hole, a far part.
+PARTS = {"outer": [(-9, -9), (9, -9), (9, 9), (-9, 9)], "hole": [(-6, -6), (6, -6), (6, 6), (-6, 6)],
+         "island": [(-2, -3), (3, -2), (1, 4)], "far": [(40, -5), (52, 0), (44, 7), (41, 3)]}
+_PARTS_SQL = " UNION ALL ".join(f"SELECT '{name}' AS part, {len(ring)} AS n, {k} AS k, {dx}.0 AS dx, {dy}.0 AS dy"
+                                for name, ring in PARTS.items() for k, (dx, dy) in enumerate(ring))
+
+
+@plan("point_in_parts", "J16 O6", oracle=f"""
+WITH pts AS (SELECT c.c_custkey AS point_id, c.c_acctbal / 100.0 AS px, CAST(coalesce(o.n, 0) AS DOUBLE) AS py
+             FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o ON o.o_custkey = c.c_custkey),
+rings AS ({_PARTS_SQL}),
+v AS (SELECT n_nationkey AS polygon_id, part, n, k, CAST(n_nationkey * 4 AS DOUBLE) + dx AS x, CAST(n_regionkey * 2 + 10 AS DOUBLE) + dy AS y
+      FROM nation, rings),
+e AS (SELECT a.polygon_id, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM v a JOIN v b
+      ON a.polygon_id = b.polygon_id AND a.part = b.part AND b.k = (a.k + 1) % a.n),
+hits AS (SELECT p.point_id, e.polygon_id, count(*) AS c FROM pts p JOIN e
+         ON ((e.y1 > p.py) <> (e.y2 > p.py)) AND p.px < e.x1 + (p.py - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+         GROUP BY 1, 2)
+SELECT point_id, min(polygon_id) AS polygon_id FROM hits WHERE c % 2 = 1 GROUP BY 1
+""")
+def point_in_parts(spark, sf_dir):
+    """Customers as points in nations of several parts, one with a hole and an island in it."""
+    n = read(spark, sf_dir, "nation")
+    cx, cy = (F.col("n_nationkey") * 4).cast("double"), (F.col("n_regionkey") * 2 + 10).cast("double")
+    rings = F.array(*[F.array(*[F.struct((cx + dx).alias("x"), (cy + dy).alias("y")) for dx, dy in ring]) for ring in PARTS.values()])
+    return sp.within(_points(spark, sf_dir), n.select(F.col("n_nationkey").alias("polygon_id"), rings.alias("ring")))

@@ -219,3 +219,25 @@ def flow_ratio(spark, sf_dir):
         F.sum(F.when(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp"), 1).otherwise(0)).alias("n_new"),
         F.sum(F.when(F.col("o_orderstatus") != "F", 1).otherwise(0)).alias("active"))
     return g.select("o_custkey", "n_new", "active", mx.safe_ratio("n_new", "active", digits=4).alias("new_active_ratio"))
+
+
+@plan("natural_bands", "M9", oracle="""
+WITH RECURSIVE h AS (SELECT round(c_acctbal / 100 * 10)::bigint AS x, count(*) AS n FROM customer WHERE c_acctbal >= 0 GROUP BY 1),
+p AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY x) AS i, x, sum(n) OVER (ORDER BY x) AS w, sum(n * x) OVER (ORDER BY x) AS wx, sum(n * x * x) OVER (ORDER BY x) AS wxx FROM h
+  UNION ALL SELECT 0, NULL, 0, 0, 0),
+c AS MATERIALIZED (SELECT a.i AS a, b.i AS b, ((b.wxx - a.wxx) * (b.w - a.w) - (b.wx - a.wx) * (b.wx - a.wx))::double / (b.w - a.w)::double AS cost
+                   FROM p a JOIN p b ON a.i < b.i),
+d AS (SELECT 1 AS layer, b, cost, a FROM c WHERE a = 0
+      UNION ALL
+      (SELECT layer + 1, c.b, min(d.cost + c.cost), arg_min(c.a, (d.cost + c.cost, c.a)) FROM d JOIN c ON c.a = d.b WHERE d.layer < 5 GROUP BY d.layer, c.b)),
+path AS (SELECT 5 AS band, a, b FROM d WHERE layer = 5 AND b = (SELECT max(i) FROM p)
+         UNION ALL
+         (SELECT path.band - 1, d.a, d.b FROM path JOIN d ON d.layer = path.band - 1 AND d.b = path.a WHERE path.band > 1))
+SELECT band, lo.x / 10 AS low, hi.x / 10 AS high, (hi.w - coalesce(before.w, 0))::bigint AS n
+FROM path JOIN p lo ON lo.i = path.a + 1 JOIN p hi ON hi.i = path.b JOIN p before ON before.i = path.a
+""")
+def natural_bands(spark, sf_dir):
+    """Five bands of the 0-100 score (balance/100, one digit) of least squared distance."""
+    score = F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal") / 100)
+    return mx.natural_breaks(read(spark, sf_dir, "customer").select(score.alias("score")), "score", 5, digits=1)

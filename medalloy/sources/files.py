@@ -3,20 +3,14 @@
 Everything is one distributed pass over all files: headers are read as the first line
 of every file in a single text scan (not a driver loop of ``limit(0)`` reads), file
 names are mapped to series ids by a join to the manifest, and ragged per-station CSVs
-are parsed per partition with Arrow batches.
+are cut into quoted fields and looked up by header name with built-in functions.
 """
 
 from __future__ import annotations
 
-import sys
-
-import csv
-import io
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,11 +20,6 @@ from medalloy.session import ensure_checkpoint_dir
 
 BOM = "\ufeff"
 
-# Functions of this module run inside Python workers (Arrow batches); ship them by value so
-# executors need not have the package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint dir (never a machine-local one)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -53,6 +42,15 @@ def read_csv_positional(spark: SparkSession, path: str | Sequence[str], names: S
                  .option("mode", "PERMISSIVE").csv(path))
 
 
+def read_csv_exact(spark: SparkSession, path: str | Sequence[str], header: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """S2/S6 — all-STRING scan of files whose header must be ``header``, in order: the reader compares each
+    file's first line in the load's own pass and the load fails at a file that differs. ``names``
+    renames the columns by position."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in header])
+    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    return df.toDF(*names) if names else df
+
+
 def clean_name(name: str) -> str:
     return name.strip().lower().replace("-", "_").replace(" ", "_")
 
@@ -125,42 +123,51 @@ def manifest_lookup(df: DataFrame, manifest: DataFrame, *, path_col: str = "sour
 # --------------------------------------------------------------------------- S10
 
 
-def _parse_ragged(batches: Iterator[pd.DataFrame], columns: list[str], id_col: str,
-                  prefix: str | None) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for path, content in zip(pdf["file_path"], pdf["content"]):
-            records = list(csv.reader(io.StringIO(content.lstrip(BOM))))
-            if len(records) < 2:
-                continue
-            header = [h.strip() for h in records[0]]
-            for values in records[1:]:
-                rec = dict(zip(header, values))
-                out = {c: (rec.get(c) or None) for c in columns}
-                out = {c: (v.strip() if isinstance(v, str) and v.strip() else None) for c, v in out.items()}
-                if prefix is not None and not (out.get(id_col) or "").startswith(prefix):
-                    continue
-                out["source_file_path"] = path
-                rows.append(out)
-        yield pd.DataFrame(rows, columns=[*columns, "source_file_path"])
+# A record is a line, but for line ends inside quotes; a field follows a comma.
+_RECORD = r'((?:[^"\r\n]|"(?:[^"]|"")*(?:"|$))+)'
+_FIELD = r',("(?:[^"]|"")*"[^,]*|[^,]*)'
+
+
+def csv_fields(record: Column) -> Column:
+    """The fields of one CSV record, unquoted and trimmed; blank ones are NULL."""
+    cut = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_FIELD))
+
+    def plain(x: Column) -> Column:
+        inner = F.replace(F.regexp_extract(x, r'(?s)^"((?:[^"]|"")*)"', 1), F.lit('""'), F.lit('"'))
+        return F.nullif(F.trim(F.when(x.startswith('"') & x.rlike(r'(?s)^"(?:[^"]|"")*"'), inner).otherwise(x)), F.lit(""))
+
+    return F.transform(cut, plain)
 
 
 def parse_ragged(files: DataFrame, columns: Sequence[str], *, id_col: str, keep_prefix: str | None = None,
                  content_col: str = "content", path_col: str = "file_path") -> DataFrame:
-    """S10/P8 — per-file CSVs whose headers differ (hundreds to thousands of columns):
-    parse by header name, keep ``columns`` (missing or blank → NULL), keep ids starting with
-    ``keep_prefix``. Python's ``csv`` handles quoted commas; runs per partition in Arrow
-    batches (the only per-row Python in this module)."""
-    cols = list(columns)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols] +
-                          [T.StructField("source_file_path", T.StringType())])
-    src = files.select(F.col(path_col).alias("file_path"), F.col(content_col).alias("content"))
-    return src.mapInPandas(lambda it: _parse_ragged(it, cols, id_col, keep_prefix), schema)
+    """S10/P8 — per-file CSVs whose headers differ (hundreds to thousands of columns): the wanted
+    ``columns`` are looked up by header name (missing or blank → NULL; of two columns of one name
+    the first), ids starting with ``keep_prefix`` are kept. Quoted commas, line ends and doubled
+    quotes are read as in CSV. A file without a header or without records gives no rows; see
+    :func:`require_rows` for loads that must not be empty."""
+    content = F.regexp_replace(F.col(content_col), "^" + BOM, "")
+    records = files.select(F.col(path_col).alias("source_file_path"), F.regexp_extract_all(content, F.lit(_RECORD)).alias("r")).where(F.size("r") > 1)
+    rows = records.select("source_file_path", csv_fields(F.get("r", F.lit(0))).alias("h"), F.explode(F.slice("r", F.lit(2), F.size("r"))).alias("rec"))
+    rows = rows.select("source_file_path", "h", csv_fields(F.col("rec")).alias("v"))
+    out = rows.select(*[F.get("v", F.array_position("h", F.lit(c)).cast("int") - 1).alias(c) for c in columns], "source_file_path")
+    return out.where(F.col(f"`{id_col}`").startswith(keep_prefix)) if keep_prefix is not None else out
+
+
+class NoRows(ValueError):
+    pass
+
+
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """``df`` itself; raises if it has no rows (the probe stops at the first)."""
+    if df.isEmpty():
+        raise NoRows(f"{what}: no rows")
+    return df
 
 
 def ragged_csv(spark: SparkSession, path: str, columns: Sequence[str], *, id_col: str,
                keep_prefix: str | None = None) -> DataFrame:
-    """S10 over a directory of one-record CSV files (``wholetext``: one row per file)."""
+    """S10 over a directory of small CSV files (``wholetext``: one row per file)."""
     files = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("content"))
     return parse_ragged(files, columns, id_col=id_col, keep_prefix=keep_prefix)
@@ -175,6 +182,11 @@ def binary_files(spark: SparkSession, path: str) -> DataFrame:
     return b.select("path", "length", "content", F.sha2(F.col("content"), 256).alias("file_sha256"))
 
 
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """S12 — what lies in a landing folder: (path, length, modified) of every file, without its content."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", F.col("modificationTime").alias("modified"))
+
+
 def changed_files(candidates: DataFrame, last: DataFrame, *, source_col: str = "source_url",
                   sha_col: str = "file_sha256", exists_col: str = "landed_exists") -> DataFrame:
     """S12 — skip a file iff its hash equals the latest succeeded hash of the same source
@@ -202,8 +214,9 @@ def acceptance_reason(content: Column, length: Column, declared_size: Column, fm
 
 
 # US state and DC postal codes accepted by the station inventory parse.
-US_STATES = ("AL AK AZ AR CA CO CT DE DC FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH "
-             "NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY").split()
+US_STATES = ("AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "DC", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD", "MA",
+             "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX",
+             "UT", "VT", "VA", "WA", "WV", "WI", "WY")
 
 
 def parse_inventory(lines: DataFrame, value_col: str = "value") -> DataFrame:

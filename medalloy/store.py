@@ -167,6 +167,20 @@ class TableStore:
         return done
 
 
+def describe(store: TableStore, names: Sequence[str]) -> DataFrame:
+    """W12 — (table_name, position, column_name, type, comment, present): what the written files' own
+    schemas state, and the number of rows that hold each column (one pass per table)."""
+    out = None
+    for name in names:
+        df = store.read(name)
+        about = [F.struct(F.lit(name).alias("table_name"), F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("type"),
+                          F.lit(f.metadata.get("comment", "")).alias("comment"), F.col(f"n{i}").alias("present")) for i, f in enumerate(df.schema.fields, 1)]
+        counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(df.schema.fields, 1)])
+        rows = counts.select(F.explode(F.array(*about)).alias("c")).select("c.*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

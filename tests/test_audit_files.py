@@ -16,26 +16,29 @@ def _status(spark, task_rows, step_rows):
     steps = spark.createDataFrame(step_rows, "run_id string, step_name string, status string")
     fails = au.task_outcomes(tr, exclude_tasks=["finalize"])
     runs = spark.createDataFrame([("r",)], "run_id string")
-    return au.run_status(runs, steps, fails).first()
+    listed = sorted((r.kind, r.name, r.error) for r in au.failure_rows(steps, fails).collect())
+    return au.run_status(runs, steps, fails).first(), listed
 
 
 def test_run_status_cases(spark):
-    ok = _status(spark, [("r", "a", 0, "SUCCESS", None)], [])
-    assert ok.status == "succeeded" and ok.error_message is None
+    ok, listed = _status(spark, [("r", "a", 0, "SUCCESS", None)], [])
+    assert ok.status == "succeeded" and ok.error_message is None and not listed
     # leaf that never logged: failure only from the task outcome
-    r = _status(spark, [("r", "leaf", 0, "FAILED", "\u001b[31mboom\u001b[0m")], [])
-    assert r.status == "failed" and "leaf: [FAILED] boom" in r.error_message and r.failed_steps == 0
+    r, listed = _status(spark, [("r", "leaf", 0, "FAILED", "\u001b[31mboom\u001b[0m")], [])
+    assert r.status == "failed" and r.error_message == "failed tasks: 1, first leaf" and r.failed_steps == 0
+    assert listed == [("task", "leaf", "[FAILED] boom")]
     # upstream-skipped tasks are not counted
-    r = _status(spark, [("r", "early", 0, "FAILED", "x"), ("r", "later", 0, "UPSTREAM_FAILED", None)], [])
+    r, _ = _status(spark, [("r", "early", 0, "FAILED", "x"), ("r", "later", 0, "UPSTREAM_FAILED", None)], [])
     assert r.failed_tasks == 1
     # logged step + task: both sources in the message
-    r = _status(spark, [("r", "t", 0, "TIMEDOUT", None)], [("r", "nb_a", "failed")])
-    assert "nb_a" in r.error_message and "[TIMEDOUT] no error message" in r.error_message
+    r, listed = _status(spark, [("r", "t", 0, "TIMEDOUT", None)], [("r", "nb_a", "failed"), ("r", "nb_a", "failed")])
+    assert r.error_message == "failed steps: 1, first nb_a; tasks: 1, first t"
+    assert listed == [("step", "nb_a", None), ("task", "t", "[TIMEDOUT] (no text)")]
     # two leaves
-    r = _status(spark, [("r", "l1", 0, "FAILED", "e1"), ("r", "l2", 0, "CANCELED", "e2")], [])
-    assert r.failed_tasks == 2 and "l1" in r.error_message and "l2" in r.error_message
+    r, listed = _status(spark, [("r", "l1", 0, "FAILED", "e1"), ("r", "l2", 0, "CANCELED", "e2")], [])
+    assert r.failed_tasks == 2 and [x[1] for x in listed] == ["l1", "l2"]
     # failed then healed on retry; the finalizer itself is ignored
-    r = _status(spark, [("r", "t", 0, "FAILED", "e"), ("r", "t", 1, "SUCCESS", None),
+    r, _ = _status(spark, [("r", "t", 0, "FAILED", "e"), ("r", "t", 1, "SUCCESS", None),
                         ("r", "finalize", 0, "FAILED", "running")], [])
     assert r.status == "succeeded"
 

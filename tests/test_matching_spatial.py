@@ -88,15 +88,14 @@ def _inside(px, py, ring):
 def test_point_in_polygon_brute_force(spark, sf):
     pts = mp._points(spark, sf)
     polys = mp._polygons(spark, sf)
-    for cell in (1.0, 4.0, 50.0):
-        got = {r.point_id: r.polygon_id for r in sp.within(pts, polys, cell=cell).collect()}
-        rings = {r.polygon_id: [(p.x, p.y) for p in r.ring] for r in polys.collect()}
-        want = {}
-        for r in pts.collect():
-            hit = [pid for pid, ring in rings.items() if _inside(r.x, r.y, ring)]
-            if hit:
-                want[r.point_id] = min(hit)
-        assert got == want
+    got = {r.point_id: r.polygon_id for r in sp.within(pts, polys).collect()}
+    rings = {r.polygon_id: [(p.x, p.y) for p in r.ring] for r in polys.collect()}
+    want = {}
+    for r in pts.collect():
+        hit = [pid for pid, ring in rings.items() if _inside(r.x, r.y, ring)]
+        if hit:
+            want[r.point_id] = min(hit)
+    assert got == want
 
 
 def test_concave_polygon(spark):
@@ -104,5 +103,5 @@ def test_concave_polygon(spark):
     polys = spark.createDataFrame([(1, [{"x": float(x), "y": float(y)} for x, y in ring])],
                                   "polygon_id int, ring array<struct<x:double,y:double>>")
     pts = spark.createDataFrame([(1, 5.0, 1.0), (2, 5.0, 8.0), (3, 1.0, 8.0), (4, 11.0, 1.0)], "point_id int, x double, y double")
-    got = {r.point_id for r in sp.within(pts, polys, cell=2.0).collect()}
+    got = {r.point_id for r in sp.within(pts, polys).collect()}
     assert got == {1, 3}
