@@ -5,9 +5,17 @@ classes along the path from the root) form one style node. A node's content impo
 minus the mean entropy of its distinct contents over the host's pages: content found on one page
 only has entropy 0, content on all pages entropy 1. Presentation importance comes first: an
 element made for navigation, adverts, comments and the like has none, the text of an ``article``
-or ``main`` has all. A class, an id or a form only marks a branch: it goes if its content importance
-is low, too; a mark on ``html`` or ``body`` says nothing, and none reaches an ``article`` or ``main``
-below it. Branches whose importance is below the threshold are left out of each page.
+or ``main`` has all. Content importance decides the rest. Branches whose importance is below the
+threshold are left out of each page.
+
+Classes, ids and forms: a branch named as a whole word for menus, adverts, sidebars, footers, notices,
+sharing and so on, or a form, has no presentation importance, nor has an article that is so named or
+lies below. That doesn't hold for a branch that holds the page's only article, or most of its
+text (names also used for wrappers: over half; others: four fifths, or over half with the article;
+reader comments: never). A name of which the word is only a part, and such names on a paragraph, a
+heading or inline text (for wrapper names), only mark: the branch goes if its content importance is
+low, too. A mark on ``html`` or ``body`` says nothing, and none of these marks reaches an ``article``
+or ``main`` below it.
 
 A host with few pages says little, so its importance is drawn towards that of the same style
 node over all hosts (as ``PRIOR_PAGES`` pages would). Statistics cover all pages; pages of equal
@@ -25,7 +33,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from html import unescape
+from html import escape, unescape
 
 import pyarrow as pa
 import xxhash
@@ -40,22 +48,26 @@ THRESHOLD = 0.4
 NAMED_THRESHOLD = 0.8  # below a class or id that is a noise word as a whole
 # Low nodes are sent to executors whole up to this number, else joined by host.
 MAX_SENT_NODES = 200_000
+SALTS = 32
 
 # Elements by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noscript template iframe svg".split())
-NEVER = frozenset("head title script style noscript template iframe svg select option button textarea object math canvas".split())
+NEVER = frozenset("head title script style noscript template iframe svg select option button textarea canvas".split())
 NOISE_TAGS = frozenset("nav footer aside menu dialog header".split())
-NOISE_WORDS = frozenset(
+COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond disqus".split())
+PLAIN_WORDS = frozenset(
     "ad ads advert advertisement advertising banner sponsor sponsored promo promotion sidebar side nav navbar navigation menu "
-    "breadcrumb breadcrumbs footer header masthead comment comments reply replies respond disqus notice notices cookie cookies "
-    "consent gdpr alert newsletter subscribe subscription signup login share sharing social related recommended widget popup "
-    "modal overlay pagination pager toolbar copyright".split())
+    "breadcrumb breadcrumbs footer masthead notice notices cookie cookies consent gdpr alert newsletter subscribe subscription "
+    "signup login share sharing related recommended pagination pager toolbar copyright".split())
+WRAPPER_WORDS = frozenset("header social widget popup modal overlay".split())
+NOISE_WORDS = COMMENT_WORDS | PLAIN_WORDS | WRAPPER_WORDS
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 CONTENT_TAGS = frozenset("article main".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 hgroup blockquote pre figcaption address dt dd".split())
 CLOSES = {  # a start tag closes an open element of these, up to the nearest of the stops
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
     "tr": (("tr", "td", "th"), ("table", "thead", "tbody", "tfoot")), "td": (("td", "th"), ("tr", "table")),
@@ -73,48 +85,56 @@ _ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
+# Marks: part of a name, a whole name that only marks, and branches named as noise.
+PART, WHOLE, COMMENTS, PLAIN, WRAPPER = 3, 4, 10, 11, 12
+
+
 class _Node:
-    """An open element: its style path, its role and whether it starts a block."""
+    """An open element: its style path, its role, the named branches it lies in and whether it starts a block."""
 
-    __slots__ = ("tag", "path", "role", "content", "block")
+    __slots__ = ("tag", "path", "role", "content", "named", "block")
 
-    def __init__(self, tag: str, path: int, role: int, content: bool, block: bool = True):
-        self.tag, self.path, self.role, self.content, self.block = tag, path, role, content, block
+    def __init__(self, tag: str, path: int, role: int, content: bool, named: tuple[int, ...], block: bool = True):
+        self.tag, self.path, self.role, self.content, self.named, self.block = tag, path, role, content, named, block
 
 
-def _look(tag: str, attrs: str) -> tuple[str, bool, int, bool]:
-    """(presentation, noise, mark, hidden) of an element by its tag, classes, id and role.
+def _mark(tag: str, words: set[str]) -> int:
+    """Mark of whole names: comments before plain before wrapper words."""
+    kind = COMMENTS if words & COMMENT_WORDS else PLAIN if words & PLAIN_WORDS else WRAPPER if words & WRAPPER_WORDS else 0
+    return WHOLE if kind and (tag in INLINE or kind == WRAPPER and tag in PARAGRAPHS) else kind
 
-    Mark: 4 if a class or the id is a noise word, 3 for a form or if a part of a name is one, else 0.
-    """
-    label, noise, mark, hidden = tag, tag in NOISE_TAGS, 3 * (tag == "form"), False
-    if attrs:
-        for name, value in _ATTR.findall(attrs):
-            name, value = name.lower(), unescape(value.strip("\"'")).lower()
-            if name in ("class", "role"):
-                label += "." + " ".join(sorted(value.split()))
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                hidden = True
-            elif name == "role":
-                noise = noise or value in NOISE_ROLES
-                mark = max(mark, 3 * (value == "form"))
-            elif tag in ("html", "body"):
-                continue  # the whole page
-            elif not NOISE_WORDS.isdisjoint(value.split()):
-                mark = 4
-            elif tag not in CONTENT_TAGS and not NOISE_WORDS.isdisjoint(_SPLIT.split(value)):
-                mark = max(mark, 3)
+
+def _look(tag: str, attrs: str) -> tuple[str, bool, int, bool]:
+    """(presentation, noise, mark, hidden) of an element by its tag, classes, id and role."""
+    label, noise, hidden = tag, tag in NOISE_TAGS, False
+    marks = {WRAPPER} if tag == "form" else set()
+    for name, value in _ATTR.findall(attrs) if attrs else ():
+        name, value = name.lower(), unescape(value.strip("\"'")).lower()
+        if name in ("class", "role"):
+            label += "." + " ".join(sorted(value.split()))
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            hidden = True
+        elif name == "role":
+            noise = noise or value in NOISE_ROLES
+            marks |= {WRAPPER} if value == "form" else set()
+        elif tag not in ("html", "body"):  # their names are the whole page's
+            marks.add(_mark(tag, set(value.split())))
+            if tag not in CONTENT_TAGS and not NOISE_WORDS.isdisjoint(_SPLIT.split(value)):
+                marks.add(PART)
+    strong = [m for m in marks if m >= COMMENTS]
+    mark = min(strong) if strong else max(marks, default=0)
     return f"{label}!{mark}" if mark else label, noise, mark, hidden
 
 
 def blocks(html: str) -> list[tuple[int, int, bool, str]]:
     """Blocks of a page in order: (style node, role, in content, text).
 
-    Role: 0 neutral, 1 noise, 2 never text, 3 and 4 marked as noise (see :func:`_look`). Texts are decoded and their white space is single.
-    A block is the text between two block boundaries under one style node of the nearest block.
+    Role: 0 neutral, 1 noise, 2 never text, 3 and 4 marked (part of a name, a whole one). Texts are decoded
+    and their white space is single. A block is the text between two block boundaries under one style node of the nearest block.
     """
-    out: list[tuple[int, int, bool, str]] = []
-    root = _Node("", 0, 0, False)
+    out: list[tuple[int, int, bool, str, tuple[int, ...]]] = []
+    root = _Node("", 0, 0, False, ())
+    kinds: list[int] = []  # of the named branches
     stack, text, looks = [root], [], {}
     at, n = 0, len(html)
 
@@ -131,7 +151,7 @@ def blocks(html: str) -> list[tuple[int, int, bool, str]]:
             words = unescape("".join(text)).split()
             text.clear()
             if words:
-                out.append((owner.path, owner.role, owner.content, " ".join(words)))
+                out.append((owner.path, owner.role, owner.content, " ".join(words), owner.named))
 
     def close(k: int) -> None:
         nonlocal owner
@@ -196,24 +216,53 @@ def blocks(html: str) -> list[tuple[int, int, bool, str]]:
         up = stack[-1]
         if tag == "header" and up.content and noise:
             noise = _look("div", attrs)[1]  # the header of an article, not of the page
-        content, above = up.content, up.role
-        if tag in CONTENT_TAGS and not noise and above not in (1, 2):
+        content, above, named = up.content, up.role, up.named
+        if mark >= COMMENTS:
+            kinds.append(mark)
+            named = (*named, len(kinds) - 1)
+        elif tag in CONTENT_TAGS and not noise and above not in (1, 2):
             content, above = True, 0
-        role = 2 if above == 2 or hidden or tag in NEVER else 1 if above == 1 or noise else max(above, mark)
+        role = 2 if above == 2 or hidden or tag in NEVER else 1 if above == 1 or noise else max(above, mark if mark in (PART, WHOLE) else 0)
         if tag in RAW:  # its content is no markup
             end = re.compile(rf"</{tag}\s*>|\Z", re.IGNORECASE).search(html, at)
+            inside = html[at:end.start()]
             at = end.end()
             flush()
+            if tag == "xmp" and role != 2:
+                text.append(escape(inside, quote=False))
+                flush()
             continue
         if tag in INLINE and not (noise or mark or hidden):
-            stack.append(_Node(tag, up.path, role, content, block=False))
+            stack.append(_Node(tag, up.path, role, content, named, block=False))
             continue
         flush()
         path = xxhash.xxh3_64_intdigest(f"{up.path}>{label}".encode("utf-8", "surrogatepass"))
-        owner = _Node(tag, path, role, content)
+        owner = _Node(tag, path, role, content, named)
         stack.append(owner)
     flush()
-    return out
+    return _decided(out, kinds)
+
+
+def _decided(found: list[tuple[int, int, bool, str, tuple[int, ...]]], kinds: list[int]) -> list[tuple[int, int, bool, str]]:
+    """Blocks of named branches become noise, but for branches that hold the page's article or most of its text."""
+    noise: set[int] = set()
+    if kinds:
+        chars, holds = [0] * len(kinds), [False] * len(kinds)
+        total, free = 0, False
+        for _, role, content, t, named in found:
+            if role in (1, 2):
+                continue
+            total += len(t)
+            free = free or content and not named
+            for b in named:
+                chars[b] += len(t)
+                holds[b] = holds[b] or content
+        for b, kind in enumerate(kinds):
+            half, most = 2 * chars[b] > total, 5 * chars[b] >= 4 * total
+            spared = kind == WRAPPER and (half or holds[b]) or kind == PLAIN and (most or half and holds[b])
+            if free or not spared:
+                noise.add(b)
+    return [(path, 1 if role != 2 and not noise.isdisjoint(named) else role, content, t) for path, role, content, t, named in found]
 
 
 def content_key(text: str) -> int:
@@ -315,8 +364,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         rows = src.withColumn("low", F.lit(None).cast("array<bigint>"))
     else:
         host = F.lower(F.regexp_extract(F.regexp_extract("url", r"(?s)^.*?://(.*)$", 1), r"^([^/?#]*)", 1))
-        lists = low.groupBy("host").agg(F.collect_list("node").alias("low"))
-        rows = src.withColumn("host", F.coalesce(host, F.lit(""))).join(lists, "host", "left").drop("host")
+        # a host's pages are dealt to several tasks, each with the host's list
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        lists = low.groupBy("host").agg(F.collect_list("node").alias("low")).select("host", "low", salts)
+        own = src.withColumns({"host": F.coalesce(host, F.lit("")), "salt": F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(SALTS)).cast("int")})
+        rows = own.join(lists, ["host", "salt"], "left").drop("host", "salt")
     kind = [f for f in src.schema.fields if f.name != "html"]
     schema = T.StructType([*kind, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
