@@ -6,14 +6,17 @@ caps the score. In a block, each query takes its candidates by falling cap and s
 as the cap of the next ones is below its k-th best score so far; what it evaluates is exact.
 
 Queries and candidates are dealt out in blocks of bounded size: a candidate block meets every
-query block once (a stated query set against all rows). Each meeting returns k rows a query,
-which a partial aggregation reduces to the k best.
+query block once (a stated query set against all rows). Each meeting returns k rows a query;
+these are ranked per query by a window, which keeps k rows a task before they are shuffled and never
+holds a query's rows of all blocks in one buffer. Rows that repeat an id and a vector are counted before
+they are dealt out (up to k, more are never needed), so that none of them makes a hot block.
 
 Defined results: vectors that are null, empty or hold a null or non-finite component take no
 part, as queries or candidates; vectors of another length than the query's are not compared
-with it; rows that repeat an id and a vector count once; each further vector of an id is a
-candidate row of its own, and queries that share an id have one answer, the k best rows of all
-its vectors; an own id is no candidate; no rows in, no rows out. Ties go to the smaller ``vec_id``.
+with it; every row is a candidate of its own, also one that repeats another or has no id; a query
+row that repeats another is one query, and queries that share an id have one answer, the k best
+rows of all its vectors; an own id is no candidate; no rows in, no rows out. Ties go to the smaller
+``vec_id``, null last; a null id is no query.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medalloy.llm.common import col
@@ -32,15 +35,16 @@ QUERY_BLOCK = 1024
 PIVOTS = 32
 PIVOT_SAMPLE = 2000
 CHUNK = 512
+NULL_ID = np.iinfo(np.int64).max  # stands for a null id inside blocks: last among ties
 
 
 def integer_vectors(rows: DataFrame, id_col: str, vec_col: str, scale: int = 256) -> DataFrame:
     """(vec_id, v, nv): floor(scale * x) as integers, for vectors that take part."""
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(math.inf)))
     return (rows.select(col(id_col).cast("long").alias("vec_id"), col(vec_col).cast("array<double>").alias("v"))
-            .where("vec_id is not null and v is not null").where((F.size("v") > 0) & ~bad)
+            .where("v is not null").where((F.size("v") > 0) & ~bad)
             .select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("long")).alias("v"))
-            .dropDuplicates(["vec_id", "v"]).withColumn("nv", F.size("v")))
+            .withColumn("nv", F.size("v")))
 
 
 def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
@@ -92,6 +96,8 @@ def search_block(qi: np.ndarray, q: np.ndarray, ci: np.ndarray, c: np.ndarray, p
 
 def top_k(queries: DataFrame, rows: DataFrame, k: int = 5, pivots: int = PIVOTS) -> DataFrame:
     """(query_id, rank, vec_id, score); both inputs as :func:`integer_vectors` gives them."""
+    rows = rows.groupBy(F.coalesce("vec_id", F.lit(NULL_ID)).alias("vec_id"), "v", "nv").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("n"))
+    queries = queries.where("vec_id is not null").select("vec_id", "v", "nv").distinct()
     n_rows, n_queries = rows.count(), queries.count()
     groups, blocks = max(1, math.ceil(n_rows / CANDIDATE_BLOCK)), max(1, math.ceil(n_queries / QUERY_BLOCK))
     share = min(1.0, PIVOT_SAMPLE / max(n_rows, 1))
@@ -109,6 +115,7 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 5, pivots: int = PIVOTS)
         parts = []
         for n, own in left.groupby("nv"):
             other = right[right["nv"] == n]
+            other = other.loc[other.index.repeat(other["n"])]  # at most k rows of an id and vector
             if not len(other):
                 continue
             q, c = np.array(own["v"].tolist(), float), np.array(other["v"].tolist(), float)
@@ -120,7 +127,5 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 5, pivots: int = PIVOTS)
 
     met = (asked.groupBy("g", "b").cogroup(cand.groupBy("g", "b"))
            .applyInPandas(meet, "query_id long, vec_id long, score long"))
-    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
-    out = met.groupBy("query_id").agg(best.alias("top")).select("query_id", F.posexplode("top").alias("i", "t"))
-    return out.select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("t.vec_id").alias("vec_id"),
-                      (-F.col("t.s")).alias("score"))
+    ranked = met.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", F.when(F.col("vec_id") != NULL_ID, F.col("vec_id")).alias("vec_id"), "score")

@@ -137,13 +137,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_pivot_topk": """
 with v as (
-  select distinct vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
-  where vec_id is not null and embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+q as (select distinct vec_id, v from v where vec_id % 50 = 0),
 s as (
   select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
-  from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 50 = 0)
-select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+  from q join v c on q.vec_id is distinct from c.vec_id and len(q.v) = len(c.v))
+select query_id, row_number() over (partition by query_id order by score desc, vec_id nulls last)::int as rank, vec_id, score
 from s qualify rank <= 5""",
     "op9_url_rules": url_rules.ORACLE,
     "op13_centroid_walk": centroid_walk.CLUSTER_SQL,

@@ -108,6 +108,8 @@ def test_top_k(spark):
     iv = pivot_search.integer_vectors(rows, "vec_id", "embedding")
     got = [tuple(r) for r in pivot_search.top_k(iv.where("vec_id in (0, 8)"), iv, k=2).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 1, 65536), (0, 2, 2, 65536)]
+    every = [tuple(r)[2:] for r in pivot_search.top_k(iv.where("vec_id in (0, 8)"), iv, k=9).orderBy("query_id", "rank").collect()]
+    assert every == [(1, 65536), (2, 65536), (2, 65536), (None, 65536), (9, -65536)]  # each row a candidate, also repeated ones and those without an id
     empty = iv.limit(0)
     assert pivot_search.top_k(empty, empty).count() == 0 and pivot_search.top_k(iv.limit(0), iv).count() == 0
 
