@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from medalloy.llm.common import append_columns, mix64
+from medalloy.llm.common import append_columns, mix64, received, send
 
 # Pre-tokens resolved before are kept up to this number per Python worker (memory bound only).
 CACHE = 400_000
@@ -177,18 +177,6 @@ class Codec:
         return b"".join(map(self.vocab.__getitem__, ids))
 
 
-_CODECS: dict[str, Codec] = {}
-
-
-def _codec(key: str, sent) -> Codec:
-    """The codec of this Python worker, built once from the broadcast tables."""
-    if key not in _CODECS:
-        _CODECS.clear()
-        vocab, pattern, whole = sent.value
-        _CODECS[key] = Codec(vocab, pattern, whole)
-    return _CODECS[key]
-
-
 def encode_decode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
                   ids_col: str = "ids", bytes_col: str = "decoded", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the ids of every whole text and the bytes that those ids decode to.
@@ -197,11 +185,10 @@ def encode_decode(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern
     broadcast.
     """
     vocab = load_ranks(ranks_path)
-    key = xxhash.xxh3_128_hexdigest(b"\0".join(vocab) + pattern.encode())
-    sent = spark.sparkContext.broadcast((vocab, pattern, PerfectHash(vocab)))
+    sent = send(spark, (vocab, pattern, PerfectHash(vocab)))
 
     def make():
-        codec = _codec(key, sent)
+        codec = received(sent, lambda tables: Codec(*tables))
 
         def run(texts: list[str]) -> list:
             ids = codec.encode(texts)

@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def send(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast of any object; its class is sent by value too (see :func:`received`)."""
+    return spark.sparkContext.broadcast((cloudpickle.dumps(value), {}))
+
+
+def received(sent: Broadcast, make: Callable = lambda value: value):
+    """``make`` of the object sent, once per Python worker: the broadcast keeps it for later tasks."""
+    data, kept = sent.value
+    if not kept:
+        kept["made"] = make(cloudpickle.loads(data))
+    return kept["made"]
+
+
 def col(name: str) -> Column:
     return F.col(f"`{name}`")
 

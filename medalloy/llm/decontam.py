@@ -30,12 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medalloy.llm.common import append_columns, col, mix64, slices
+from medalloy.llm.common import append_columns, col, mix64, received, send, slices
 from medalloy.llm.shingles import WORD, word_hashes
 
 ITEM_BLOCK = 20_000
@@ -261,29 +260,6 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
         yield sorted(((r.i, r.t) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1] or ""))
 
 
-_MATCHERS: dict[str, Matcher] = {}
-
-
-def _matcher(sent) -> Matcher:
-    """The matcher of a broadcast block, built once per Python worker."""
-    if sent.id not in _MATCHERS:
-        _MATCHERS.clear()
-        _MATCHERS[sent.id] = Matcher(sent.value)
-    return _MATCHERS[sent.id]
-
-
-class _Block:
-    """A broadcast block of items with a key that is the same in every task."""
-
-    def __init__(self, docs: DataFrame, items: list[tuple[int, str]]):
-        self.sent = docs.sparkSession.sparkContext.broadcast(items)
-        self.id = xxhash.xxh3_128_hexdigest(repr(items).encode("utf-8", "surrogatepass"))
-
-    @property
-    def value(self):
-        return self.sent.value
-
-
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, edits, start, end): the best passage of each leaked item in each row.
@@ -294,10 +270,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     src = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
     out = None
     for items_of in item_blocks(items, item_id, item_text):
-        sent = _Block(docs, items_of)
+        sent = send(docs.sparkSession, items_of)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            matcher = _matcher(sent)
+            matcher = received(sent, Matcher)
             for batch in batches:
                 for part, texts in slices(batch, "text"):
                     rows: list[tuple] = []
@@ -330,10 +306,10 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
     """``docs`` without the rows whose text holds a passage of an item."""
     flag = "__leaks"
     for items_of in item_blocks(items, item_id, item_text):
-        sent = _Block(docs, items_of)
+        sent = send(docs.sparkSession, items_of)
 
         def make(sent=sent):
-            matcher = _matcher(sent)
+            matcher = received(sent, Matcher)
             return lambda texts: [[len(h) for h in matcher.match(texts)]]
 
         docs = append_columns(docs, text_col, make, [T.StructField(flag, T.IntegerType())]).where(F.col(flag) == 0).drop(flag)

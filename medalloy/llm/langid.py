@@ -23,12 +23,11 @@ import math
 import re
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medalloy.llm.common import append_columns, col, cut
+from medalloy.llm.common import append_columns, col, cut, received, send
 
 SAMPLE_DOCS = 400
 MAX_WORDS = 8_000
@@ -156,20 +155,13 @@ def learn(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str
     return out
 
 
-_BUILT: dict[str, Classifier] = {}
-
-
 def predict(docs: DataFrame, words: dict[str, list[str]], text_col: str = "text", lang_out: str = "lang_pred",
             score_out: str = "score", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the predicted language and a score: 1 - cost of the winner / cost of the next."""
-    sent = docs.sparkSession.sparkContext.broadcast(words)
-    key = xxhash.xxh3_128_hexdigest(repr(sorted(words.items())).encode())
+    sent = send(docs.sparkSession, words)
 
     def make():
-        if key not in _BUILT:  # once per Python worker
-            _BUILT.clear()
-            _BUILT[key] = Classifier(sent.value)
-        model = _BUILT[key]
+        model = received(sent, Classifier)
 
         def run(texts: list[str]) -> list:
             got = [model.predict(t) for t in texts]

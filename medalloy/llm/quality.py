@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medalloy.llm.common import append_columns, cut
+from medalloy.llm.common import append_columns, cut, received, send
 from medalloy.llm.fitting import SAMPLE_ROWS, calibrate, isotonic, labelled_sample
 
 STATS = 22
@@ -161,9 +161,10 @@ def _binned(x: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the calibrated score of each whole text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = send(docs.sparkSession, model)
 
     def make():
-        return lambda texts: [sent.value.score(texts)]
+        own = received(sent)
+        return lambda texts: [own.score(texts)]
 
     return append_columns(docs, text_col, make, [T.StructField(out, T.DoubleType())], keep)

@@ -22,14 +22,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medalloy.llm.common import append_columns, cut, slices
+from medalloy.llm.common import append_columns, cut, received, send, slices
 from medalloy.llm.fitting import SAMPLE_ROWS, calibrate, isotonic, labelled_sample
 
 TREES, DEPTH = 12, 3
@@ -123,17 +122,6 @@ class Lexicon:
         ]
 
 
-_LEXICONS: dict[str, Lexicon] = {}
-
-
-def _lexicon(key: str, sent) -> Lexicon:
-    """The lexicon of this Python worker, built once."""
-    if key not in _LEXICONS:
-        _LEXICONS.clear()
-        _LEXICONS[key] = Lexicon(sent.value)
-    return _LEXICONS[key]
-
-
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     """Log-odds of the terms that are surely more usual in toxic documents; equal texts count once.
 
@@ -176,11 +164,10 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
 
 
 def _with_features(df: DataFrame, odds: dict[str, float], text_col: str, keep: list[str]) -> DataFrame:
-    sent = df.sparkSession.sparkContext.broadcast(odds)
-    key = xxhash.xxh3_128_hexdigest(repr(sorted(odds.items())).encode("utf-8", "surrogatepass"))
+    sent = send(df.sparkSession, odds)
 
     def make():
-        lexicon = _lexicon(key, sent)
+        lexicon = received(sent, Lexicon)
         return lambda texts: [[lexicon.features(t) for t in texts], [bool(t) for t in texts]]
 
     fields = [T.StructField("__x", T.ArrayType(T.DoubleType(), False)), T.StructField("__some", T.BooleanType())]
