@@ -1,16 +1,16 @@
 """Language identification by cross-parsing entropy.
 
-Per language, a suffix automaton holds labelled text. A text is cross-parsed against each: from
-left to right it is cut into the longest phrases that the language's text contains. A phrase
-costs the bits that name a place in the longest language's text, the same for all, so that a
-short text gains nothing; the language with the fewest normalised phrases (bits per letter)
-wins. Phrases don't cross white space, so a word's phrase count is found once per task and
-reused: words are framed by spaces, and the whole text counts.
-
-Learnt from a bounded, documented sample of the labelled rows: about ``SAMPLE_DOCS`` documents
-per language, and of their words the ``MAX_WORDS`` most frequent that are more usual in that
-language than in any other. Each language holds all of its own words, however few another has;
-word rates are smoothed by the rates over all languages, so a small sample wins no common words.
+Per language, a suffix automaton holds labelled running text: lower-cased words of letters with
+single blanks between them. A whole text is cross-parsed against each: from left to right it is
+cut into the longest phrases that the language's text contains, across words. The language with
+the fewest normalised phrases (phrases per letter) wins. A phrase costs the same in every
+language, so that one with a short learnt text gains nothing by it.
+
+Learnt from a bounded, documented sample of the labelled rows' text: pieces of ``PIECE`` characters
+from anywhere in the rows, picked by a hash of text and position; about ``SAMPLE_PIECES`` a language, and
+of these, in hash order, what fits into ``SAMPLE_CHARS`` characters (fewer, if all languages together
+would hold over ``TOTAL_CHARS``). Equal pieces of a language count once. Each language keeps its own
+text, however little another has.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter, or if nothing
 was learnt; ties go to the alphabetically first language; with one language its score is 1.
@@ -19,21 +19,30 @@ Rows are predicted each, whatever their id or repetition.
 
 from __future__ import annotations
 
-import math
 import re
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medalloy.llm.common import append_columns, col, cut, received, send
+from medalloy.llm.common import append_columns, col, received, send
 
-SAMPLE_DOCS = 400
-MAX_WORDS = 8_000
-CACHE = 300_000
+PIECE = 4_000
+SAMPLE_PIECES = 400
+SAMPLE_CHARS = 80_000
+TOTAL_CHARS = 1_000_000
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]+")
+_OTHER = re.compile(r"[\W\d_]+")
+
+
+def running(text: str) -> tuple[str, int]:
+    """The words of letters, lower case, each between single blanks; and the number of letters."""
+    words = _OTHER.sub(" ", text.lower()).split()
+    letters = "".join(words)
+    if not letters.isalpha():  # number signs that are no digits
+        words = "".join(c if c.isalpha() else " " for c in " ".join(words)).split()
+        letters = "".join(words)
+    return f" {' '.join(words)} ", len(letters)
 
 
 class SuffixAutomaton:
@@ -65,100 +74,80 @@ class SuffixAutomaton:
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
-        self.bits = math.log2(len(text) + 2)
+        for to in self.next:  # a state leads to states, without their numbers
+            for c, q in to.items():
+                to[c] = self.next[q]
 
     def phrases(self, s: str) -> int:
         """Number of greedy longest matches; a character never seen is a phrase of its own."""
-        n, state, nxt, start = 0, 0, self.next, True
+        n, root = 0, self.next[0]
+        state = root
         for c in s:
-            to = nxt[state].get(c)
+            to = state.get(c)
             if to is None:
-                n += 1  # the phrase ends before c
-                to = nxt[0].get(c)
-                if to is None:  # c alone
-                    n += not start
-                    state, start = 0, True
+                n += 1  # the phrase before c ends; at the root, c alone is one
+                if state is root:
                     continue
-            state, start = to, False
-        return n + (not start)
+                to = root.get(c)
+                if to is None:
+                    n += 1
+                    to = root
+            state = to
+        return n + (state is not root)
 
 
 class Classifier:
-    """Costs of words under each language, kept for the words seen last."""
-
-    def __init__(self, words: dict[str, list[str]]):
-        self.langs = sorted(words)
-        self.automata = [SuffixAutomaton("\n".join(f" {w} " for w in words[lang])) for lang in self.langs]
-        self.bits = max((a.bits for a in self.automata), default=0.0)
-        self.at: dict[str, int] = {}
-        self.costs = np.zeros((1024, len(self.langs) + 1))
-
-    def _index(self, words: list[str]) -> np.ndarray:
-        if len(self.at) > CACHE:
-            self.at.clear()
-        at = self.at
-        for w in set(words).difference(at):
-            if len(at) == len(self.costs):
-                self.costs = np.concatenate([self.costs, np.zeros_like(self.costs)])
-            letters = "".join(c for c in w if c.isalpha())
-            row = self.costs[len(at)]
-            row[-1] = len(letters)
-            row[:-1] = [self.bits * a.phrases(f" {letters} ") for a in self.automata] if letters else 0
-            at[w] = len(at)
-        return np.fromiter(map(at.__getitem__, words), np.int64, len(words))
+    """One automaton per language."""
+
+    def __init__(self, learnt: dict[str, str]):
+        self.langs = sorted(learnt)
+        self.automata = [SuffixAutomaton(learnt[lang]) for lang in self.langs]
 
     def predict(self, text: str) -> tuple[str, float]:
-        words = _WORD.findall(text.lower())
-        if not words or not self.langs:
-            return UNKNOWN, 0.0
-        index = self._index(words)
-        sums = self.costs[index].sum(0)
-        if not sums[-1]:
+        words, letters = running(text)
+        if not letters or not self.langs:
             return UNKNOWN, 0.0
-        cost = sums[:-1] / sums[-1]
-        best = int(cost.argmin())
+        cost = [a.phrases(words) / letters for a in self.automata]
         if len(cost) == 1:
             return self.langs[0], 1.0
-        second = float(np.delete(cost, best).min())
-        return self.langs[best], float(min(1.0, max(0.0, 1 - cost[best] / second))) if second > 0 else 0.0
+        first, second = sorted(cost)[:2]
+        return self.langs[cost.index(first)], 1 - first / second
 
 
-def learn(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-          sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WORDS) -> dict[str, list[str]]:
-    """Words per language, most frequent first, from a bounded sample of the rows that ``train`` allows.
+def learn(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str = "lang",
+          sample_chars: int = SAMPLE_CHARS) -> dict[str, str]:
+    """Running text per language, from a bounded sample of the rows that ``train`` allows.
 
-    The sample is picked by a hash of the id, at a rate per language that gives about
-    ``sample_docs`` documents; the driver gets at most ``max_words`` words per language.
+    No text is dealt by language: pieces are picked in the scan, at a rate that the language's size
+    gives, and the driver gets at most ``sample_chars`` characters a language.
     """
-    rows = docs.where(train).select(col(id_col).alias("id"), col(text_col).alias("text"), col(lang_col).cast("string").alias("lang"))
-    rows = rows.where("text is not null and lang is not null")
-    totals = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    # one entry per language, looked up in the scan: no text is dealt by language
+    rows = docs.where(train).select(col(text_col).alias("text"), col(lang_col).cast("string").alias("lang"))
+    rows = rows.where("text <> '' and lang is not null")
+    pieces = F.ceil(F.length("text") / PIECE).cast("int")
+    totals = rows.groupBy("lang").agg(F.sum(pieces).alias("n"))
     sizes = totals.agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("sizes")).scalar()
-    pick = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000)) < F.lit(1e6) * sample_docs / F.try_element_at(sizes, F.col("lang"))
-    words = (rows.where(pick)
-             .select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("w"))
-             .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("k")))
-    words = cut(words)
-    of = words.groupBy("lang").agg(F.sum("k").alias("all"))
-    most, every = of.agg(F.max("all"), F.sum("all")).first()
-    usual = words.groupBy("w").agg((F.sum("k") / F.lit(every)).alias("p"))
-    # drawn to the rate over all languages, as by as many words as the largest language has
-    smooth = (F.col("k") + F.lit(most) * F.col("p")) / (F.col("all") + F.lit(most))
-    rate = words.join(of, "lang").join(usual, "w").withColumn("r", smooth)
-    best = rate.groupBy("w").agg(F.max(F.struct("r", "lang")).alias("b")).select("w", F.col("b.lang").alias("lang"))
-    own = rate.join(best, ["w", "lang"])
-    top = own.withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("k"), "w"))).where(F.col("i") <= max_words)
+    rate = F.lit(1e6) * SAMPLE_PIECES / F.try_element_at(sizes, F.col("lang"))
+    rows = rows.select("text", "lang", F.xxhash64("text").alias("h"), rate.alias("rate"), F.sequence(F.lit(0), pieces - 1).alias("at"))
+
+    def key(p: Column) -> Column:
+        return F.xxhash64("h", p)
+
+    picked = F.filter("at", lambda p: F.pmod(key(p), F.lit(1_000_000)) < F.col("rate"))
+    found = F.transform(picked, lambda p: F.struct(key(p).alias("key"), F.substring("text", p * PIECE + 1, F.lit(PIECE)).alias("piece")))
+    one = rows.select("lang", F.explode(found).alias("x")).groupBy("lang", "x.key").agg(F.min("x.piece").alias("piece"))
+    upto = F.sum(F.length("piece")).over(Window.partitionBy("lang").orderBy("key"))
+    bound = F.least(F.lit(sample_chars), F.floor(F.lit(TOTAL_CHARS) / F.size(sizes)))
+    got = one.withColumn("upto", upto).where((F.col("upto") <= bound) | (F.col("upto") == F.length("piece")))
     out: dict[str, list[str]] = {}
-    for r in sorted(top.select("lang", "i", "w").collect(), key=lambda r: (r.lang, r.i)):
-        out.setdefault(r.lang, []).append(r.w)
-    return out
+    for r in got.select("lang", "key", "piece").collect():
+        out.setdefault(r.lang, []).append((r.key, running(r.piece)[0]))
+    return {lang: "\n".join(t for _, t in sorted(p)) for lang, p in sorted(out.items())}
 
 
-def predict(docs: DataFrame, words: dict[str, list[str]], text_col: str = "text", lang_out: str = "lang_pred",
+def predict(docs: DataFrame, learnt: dict[str, str], text_col: str = "text", lang_out: str = "lang_pred",
             score_out: str = "score", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with the predicted language and a score: 1 - cost of the winner / cost of the next."""
-    sent = send(docs.sparkSession, words)
+    """``docs`` with the predicted language and a score: 1 - phrases of the winner / phrases of the next."""
+    sent = send(docs.sparkSession, learnt)
 
     def make():
         model = received(sent, Classifier)

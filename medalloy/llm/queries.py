@@ -36,8 +36,8 @@ def op4_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 5) == 0
-    words = langid.learn(docs, ~held_out)
-    return langid.predict(docs, words, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    learnt = langid.learn(docs, ~held_out)
+    return langid.predict(docs, learnt, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

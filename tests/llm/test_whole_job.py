@@ -14,19 +14,68 @@ def test_a_rare_language_leaves_the_others_whole(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     held_out = crc_mod(F.col("doc_id"), 5) == 0
     alone = langid.learn(docs, ~held_out)
-    common = [w for v in sorted(alone) for w in alone[v][:2]][:8]
+    common = [w for v in sorted(alone) for w in alone[v].split()[:2]][:8]
     rare = next(i for i in range(-1, -9, -1) if zlib.crc32(str(i).encode()) % 5)
     more = docs.unionByName(spark.createDataFrame([(rare, " ".join(common) + " qxv zzkw", "xx")], docs.schema))
-    words = langid.learn(more, ~held_out)
-    assert set(words["xx"]) == {"qxv", "zzkw"}
-    assert all(len(words[v]) >= len(alone[v]) - 2 for v in alone) and all(words[v][:2] == alone[v][:2] for v in alone)
-    model = langid.Classifier(words)
+    learnt = langid.learn(more, ~held_out)
+    assert learnt.pop("xx") == f" {' '.join(common)} qxv zzkw " and learnt == alone
+    learnt = langid.learn(more, ~held_out)
+    model = langid.Classifier(learnt)
     assert [len(a.next) > 1000 for a in model.automata] == [v != "xx" for v in model.langs]
-    rows = langid.predict(more.where(held_out), words).where("lang is not null").select("lang", "lang_pred").collect()
+    rows = langid.predict(more.where(held_out), learnt).where("lang is not null").select("lang", "lang_pred").collect()
     assert len(rows) > 50 and sum(a == b for a, b in rows) >= 0.97 * len(rows)
     assert model.predict("zzkw qxv")[0] == "xx"
 
 
+def test_the_learnt_text_is_running_text_from_anywhere_in_the_rows(spark):
+    """Pieces of very long, repeated and hot rows: bounded, whole rows represented, equal pieces once."""
+    words = [f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100 % 10]}{'efghijklmn'[i // 1000 % 10]}" for i in range(10_000)]
+    long = " ".join(words * 4)
+    rows = [(1, long, "aa"), (2, "short one", "bb"), (2, "short one", "bb"), (None, "short one", "bb"), (3, "Ünï 12 cödé²x", "cc"), (4, "", "aa")]
+    rows += [(9, "the hot row", "dd")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.learn(docs, F.lit(True))
+    assert got["bb"] == " short one " and got["cc"] == " ünï cödé x " and got["dd"] == " the hot row "
+    assert 60_000 < len(got["aa"]) <= langid.SAMPLE_CHARS + 100
+    at = [i for i, w in enumerate(words) if f" {w} " in got["aa"]]
+    assert at[0] < 1_000 and at[-1] > 9_000  # no prefix
+    less = langid.learn(docs, F.lit(True), sample_chars=10_000)
+    assert 4_000 <= len(less["aa"]) <= 10_100 and less["bb"] == got["bb"]
+
+
+def test_language_decision_equals_brute_force():
+    """Whole decision by substring search: fewest longest-match phrases per letter, ties to the first language."""
+    rng = random.Random(4)
+
+    def text(n, letters):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 5))) for _ in range(n))
+
+    def phrases(s, held):
+        n = at = 0
+        while at < len(s):
+            size = 1
+            while at + size < len(s) and s[at:at + size + 1] in held:
+                size += 1
+            n, at = n + 1, at + size
+        return n
+
+    for _ in range(60):
+        learnt = {k: langid.running(text(rng.randrange(1, 20), letters))[0] for k, letters in (("a", "abcx"), ("b", "bcdy"), ("c", "cdaz"))}
+        model = langid.Classifier(learnt)
+        for _ in range(10):
+            t = text(rng.randrange(1, 8), rng.choice(["abc", "bcd", "cda", "abcdq"]))
+            cost = {k: phrases(f" {t} ", held) for k, held in learnt.items()}
+            low, high = sorted(cost.values())[:2]
+            lang, score = model.predict(t.upper().replace(" ", " 7, "))
+            assert lang == min(cost, key=lambda k: (cost[k], k)) and abs(score - (1 - low / high)) < 1e-9
+
+
+def test_phrases_run_across_words():
+    """The same words in another order take more phrases: the order of words counts."""
+    model = langid.SuffixAutomaton(" one two three four five six ")
+    assert model.phrases(" one two three four five six ") == 1 < model.phrases(" six one five two four three ")
+
+
 def test_long_items_that_lost_words_are_found():
     """Items of 100 to 500 words with as many deletions as are allowed: each is found, at its best passage."""
     rng = random.Random(7)
