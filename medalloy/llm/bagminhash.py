@@ -43,6 +43,7 @@ from medalloy.llm.shingles import multiset, overlap, shingle_hashes, word_hashes
 
 BANDS, ROWS = 24, 6  # a pair of similarity 0.8 shares a band with probability 0.9993
 THRESHOLD = 0.8
+HOT_NODES = 4_096
 _G = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -287,7 +288,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     src = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
     signed = cut(append_columns(src, "text", _sign, SIGNED, keep=["id"]))
     classes = (signed.where("node is not null").groupBy("node")
-               .agg(F.min(F.struct("id", "keys")).alias("s"), F.count(F.lit(1)).alias("copies")))
+               .agg(F.min(F.struct("id", "keys")).alias("s"), F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("copies")))
     holders = classes.select("node", "copies", F.explode("s.keys").alias("key"))
     shared = holders.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("size")).where("n > 1")
     buckets = cut(holders.join(shared, "key").select("key", "node", "size"))
@@ -296,27 +297,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .select("key", F.col("l.node").alias("leader")))
     stars = cut(buckets.join(leaders, "key").where("node <> leader")
                 .select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
-    texts = cut(_class_texts(src, signed, buckets.select("node").distinct()))
+    texts = cut(_class_texts(src, classes.select("node", F.col("copy_id").alias("id")), buckets.select("node").distinct()))
     checked = cut(_verify(stars, texts))
     links = checked.where(F.col("j") >= threshold).select("a", "b")
     links = cut(links.unionByName(_links_beyond_leaders(checked, links, texts, threshold)))
     comp = components(links)
 
-    first = signed.where("node is not null").groupBy("node").agg(F.min("id").alias("copy_id"))
-    named = first.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = classes.select("node", "copy_id", "copies").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     classed = named.join(named.groupBy("comp").agg(F.min("copy_id").alias("class_id")), "comp").drop("comp")
-    out = signed.join(classed, "node", "left")
+    out = _with_class(signed.select("id", "n", "node"), cut(classed))
     return out.select(F.col("id").alias("doc_id"), F.coalesce("copy_id", "id").alias("copy_id"),
                       F.coalesce("class_id", "id").alias("class_id"), F.col("n").alias("n_shingles"))
 
 
-def _class_texts(src: DataFrame, signed: DataFrame, nodes: DataFrame) -> DataFrame:
+def _with_class(rows: DataFrame, classed: DataFrame) -> DataFrame:
+    """``rows`` with ``copy_id`` and ``class_id`` of their node, no node's rows in one task.
+
+    Nodes with a ``1 / HOT_NODES`` share of all rows or more, at most ``HOT_NODES`` many, are sent to
+    the rows; the others are joined by their node, the rows already served under a key of their own.
+    """
+    total = classed.agg(F.sum("copies")).scalar()
+    hot = classed.where(F.col("copies") * HOT_NODES >= total)
+    hot = hot.select("node", F.lit(True).alias("hot"), F.col("copy_id").alias("hot_copy"), F.col("class_id").alias("hot_class"))
+    rows = rows.join(F.broadcast(hot), "node", "left")
+    # the number of a row (of checkpointed rows: the same in every attempt); 8 bytes are no node
+    own = F.unhex(F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0"))
+    rows = rows.withColumn("at", F.when(F.col("hot") | F.col("node").isNull(), own).otherwise(F.col("node")))
+    rest = classed.where(F.col("copies") * HOT_NODES < total).select(F.col("node").alias("at"), "copy_id", "class_id")
+    return rows.join(rest, "at", "left").select("id", "n", F.coalesce("hot_copy", "copy_id").alias("copy_id"),
+                                                F.coalesce("hot_class", "class_id").alias("class_id"))
+
+
+def _class_texts(src: DataFrame, ids: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, text): one text of each wanted copy class.
 
     Fetched by the id of one of the class' rows; where rows repeat an id with other words, the
     text whose words give the class' hash is the one.
     """
-    ids = signed.join(nodes, "node").groupBy("node").agg(F.min("id").alias("id"))
+    ids = ids.join(nodes, "node", "left_semi")
     schema = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("text", T.StringType())])
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

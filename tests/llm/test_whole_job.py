@@ -5,7 +5,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from medalloy.llm import decontam, html_extract, langid, pivot_search, secrets
+from medalloy.llm import bagminhash, decontam, html_extract, langid, pivot_search, secrets
 from medalloy.llm.common import crc_mod
 
 
@@ -155,3 +155,19 @@ def test_dedup_decides_by_row(spark):
     got = [(r.doc_id, r.text) for r in cp.near_dedup(spark, docs, "").collect()]
     assert sorted(i for i, _ in got if i is not None) == [3, 5, 8, 9, 10, 11]
     assert {x for x in got if x[1]} == {(3, a), (5, b), (None, d), *(x for x in got if x[0] == 8)} and len(got) == 7
+
+
+def test_rows_of_hot_texts_get_their_class_without_a_shuffle_by_it(spark, monkeypatch):
+    """A third of all rows with one text, a third without words, rows without an id: the same classes hot or not."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[:60])) for i in range(200)] + [(200 + i, "  ") for i in range(100)] + [(300 + i, None) for i in range(100)]
+    rows += [(400 + i, " ".join(words[i:i + 50])) for i in range(0, 200, 40)] + [(None, " ".join(words[:60])), (None, "lone words here"), (None, "lone words here")]
+    rows += [(900, " ".join(words[:59]) + " other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    for many in (1, 4, bagminhash.HOT_NODES):
+        monkeypatch.setattr(bagminhash, "HOT_NODES", many)
+        got.append(sorted((tuple(r) for r in bagminhash.near_duplicates(docs).collect()), key=str))
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(rows)
+    assert sum(r[1] == 0 for r in got[0]) == 201 and {r[1:3] for r in got[0] if r[0] == 900} == {(900, 0)}
+    assert {r[1:3] for r in got[0] if r[0] is not None and 200 <= r[0] < 400} == {(i, i) for i in range(200, 400)}
