@@ -73,9 +73,9 @@ def read_and_unpivot(spark, sf_dir):
 
 @plan("unpivot_conservation", "R5 Q6", oracle=_D_MONTH_GRID + """
 SELECT (SELECT count(*) FROM ids) AS wide_rows,
-       (SELECT count(*) FROM ids) * (SELECT count(*) FROM m) AS long_rows,
+       (SELECT count(*) FROM ids CROSS JOIN m) AS long_rows,
        (SELECT count(*) FROM ids) * (SELECT count(*) FROM m) AS expected_rows,
-       true AS conserved
+       (SELECT count(*) FROM ids CROSS JOIN m) = (SELECT count(*) FROM ids) * (SELECT count(*) FROM m) AS conserved
 """)
 def unpivot_conservation(spark, sf_dir):
     wide, labels = wide_monthly_panel(spark, sf_dir)
