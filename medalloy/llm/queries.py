@@ -51,8 +51,8 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind: str):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", count("assign"), count("access"), count("hex"), count("random"),
-                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"), count("random"))
 
 
 def op7_kernel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
