@@ -46,6 +46,14 @@ def col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """``stem``, with underscores until no column of ``df`` is called so (whatever the case)."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def crc_mod(id_col: Column, m: int) -> Column:
     """crc32 of the id as text, mod ``m``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))) % m

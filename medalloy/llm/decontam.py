@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medalloy.llm.common import append_columns, col, mix64, received, send, slices
+from medalloy.llm.common import append_columns, col, free_name, mix64, received, send, slices
 from medalloy.llm.shingles import WORD, word_hashes
 
 ITEM_BLOCK = 20_000
@@ -304,7 +304,7 @@ def _spans(text: str) -> list[tuple[int, int]]:
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
                item_text: str = "text") -> DataFrame:
     """``docs`` without the rows whose text holds a passage of an item."""
-    flag = "__leaks"
+    flag = free_name(docs, "__leaks")
     for items_of in item_blocks(items, item_id, item_text):
         sent = send(docs.sparkSession, items_of)
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medalloy.llm.common import append_columns, col, cut, slices
+from medalloy.llm.common import append_columns, col, cut, free_name, slices
 
 # The three base patterns, in listed order, with their least lengths.
 ASSIGN = r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -251,6 +251,6 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", fdr:
     def make():
         return lambda texts: [[clean(t) for t in texts]]
 
-    name = "__clean"
+    name = free_name(docs, "__clean")
     got = append_columns(docs, text_col, make, [T.StructField(name, T.StringType())])
     return got.withColumn(text_col, F.when(col(text_col).isNotNull(), F.col(name))).drop(name)
