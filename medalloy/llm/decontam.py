@@ -7,13 +7,15 @@ if it differs from the item by at most ``floor(0.2 n)`` word edits (a similarity
    each). Counting them in a sliding window drops nearly all of a clean text and loses no leak.
 2. Each window left, as long as an item, is embedded by the CGK random walk: step j writes the
    current word and moves on if a random bit of (j, word) is set, so that edit distance becomes
-   Hamming distance once the walks of item and window meet again. Independent walks and sampled
-   pairs of positions form the hash tables; an item that shares a table's key is a candidate.
-3. Each candidate is verified by the exact edit distance from the window's start to the best
-   end (Myers' bit vectors over words). Equal windows share all keys, so exact copies are settled.
-4. The walks thin out on long items that lost words, so for every other pair of text and item all
-   starts that step 1 left are verified, in one backward pass: the recall is 1 for any length, and
-   the passage named is the best one.
+   Hamming distance once the walks of item and window meet again. Walks run forwards from the
+   window's start and backwards from its end in turn. Each walk samples pairs of positions for
+   its hash tables, each within a prefix of the walk of random scale, since matches thin out with
+   every edit: so a round's recall hangs neither on the length of the item nor on where its edits lie.
+3. Only a stretch of windows that shares a table's key with the item is a candidate. Rounds are
+   repeated for what has none yet, until the target recall is reached by the recall of one round
+   (``ROUND_RECALL``, a measured lower bound for items that use up all their edits).
+4. Each candidate is verified by exact edit distances (Myers' bit vectors over words) from all
+   starts of its stretch; the best passage is named. A recall of 1 verifies every stretch instead.
 
 An item of the benchmark costs a few hundred bytes on each executor. Items are sent in blocks
 of ``ITEM_BLOCK`` rows, with one pass over the documents per block, so what is broadcast is
@@ -39,7 +41,10 @@ from medalloy.llm.shingles import WORD, word_hashes
 
 ITEM_BLOCK = 20_000
 EDITS = (1, 5)  # word edits per word of an item, as a fraction: similarity 0.8
-WALKS, TABLES, BITS = 8, 12, 2  # walks, tables per walk, sampled positions per table
+TABLES, BITS = 16, 2  # tables per walk, sampled positions per table
+RECALL = 0.9995
+ROUND_RECALL = 0.9  # of a walk each way; measured 0.94 to 1.00 (README)
+HELD = 1 << 22  # symbols of embedded windows held at once
 _SEED = 0x5DEECE66D
 
 
@@ -51,10 +56,15 @@ def _pairs(words: np.ndarray) -> np.ndarray:
     return mix64(words[:-1] * np.uint64(3) + mix64(words[1:])) if len(words) > 1 else words[:0]
 
 
-def embed(words: np.ndarray, start: np.ndarray, n: int, walk: int, steps: int) -> np.ndarray:
-    """CGK walk of the windows ``words[s:s+n]``: the symbols of the first ``steps`` of 3n steps, 0 past the end."""
+def rounds(recall: float) -> int:
+    """Rounds (a walk forwards and one backwards) until a leak is missed with a probability of at most ``1 - recall``."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - ROUND_RECALL))
+
+
+def embed(words: np.ndarray, start: np.ndarray, end: np.ndarray, walk: int, steps: int) -> np.ndarray:
+    """CGK walk of the windows ``words[start:end]``: the symbols of the first ``steps`` steps, 0 past the end."""
     out = np.zeros((steps, len(start)), np.uint64)
-    at, end = start.copy(), start + n
+    at = start.copy()
     for j in range(steps):
         on = at < end
         if not on.any():
@@ -66,17 +76,25 @@ def embed(words: np.ndarray, start: np.ndarray, n: int, walk: int, steps: int) -
     return out
 
 
-def table_keys(words: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
-    """Keys of the windows in each table: (len(start), WALKS * TABLES); the same positions for all."""
-    keys = np.empty((len(start), WALKS * TABLES), np.uint64)
-    for w in range(WALKS):
-        pick = np.random.default_rng([n, w]).integers(0, 2 * n, (TABLES, BITS))  # most walks end by step 2n
-        e = embed(words, start, n, w, int(pick.max()) + 1)
-        for t in range(TABLES):
-            k = np.full(len(start), w * TABLES + t + 1 + (n << 20), np.uint64)
-            for b in pick[t]:
-                k = mix64(k + e[b])
-            keys[:, w * TABLES + t] = k
+def positions(n: int, walk: int) -> np.ndarray:
+    """Sampled positions (TABLES, BITS) for items of ``n`` words: most walks end by step 2n."""
+    rng = np.random.default_rng([n, walk])
+    span = np.maximum(BITS, 2 * n * 2.0 ** -rng.uniform(0, math.log2(n), TABLES))
+    return (rng.random((TABLES, BITS)) * span[:, None]).astype(np.int64)
+
+
+def table_keys(words: np.ndarray, start: np.ndarray, end: np.ndarray, n: int, walk: int) -> np.ndarray:
+    """Keys of the windows ``words[start:end]`` in the tables of one walk: (len(start), TABLES); odd walks run backwards."""
+    pick = positions(n, walk)
+    if walk % 2:
+        words, start, end = words[::-1], len(words) - end, len(words) - start
+    e = embed(words, start, end, walk, int(pick.max()) + 1)
+    keys = np.empty((len(start), TABLES), np.uint64)
+    for t in range(TABLES):
+        k = np.full(len(start), t + 1, np.uint64)
+        for b in pick[t]:
+            k = mix64(k + e[b])
+        keys[:, t] = k
     return keys
 
 
@@ -123,11 +141,9 @@ def best_passage(item: list[int], text: list[int], starts: list[int], k: int) ->
 class Matcher:
     """Tables of a block of items; matches whole texts."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], recall: float = RECALL):
         self.items = [(i, w) for i, t in items if len(w := word_hashes(t or "")) > 1]
-        by_len: dict[int, list[int]] = {}
-        for at, (_, w) in enumerate(self.items):
-            by_len.setdefault(len(w), []).append(at)
+        self.rounds = rounds(recall) if recall < 1 else None
         owned = [np.unique(_pairs(w)) for _, w in self.items]
         # distinct pairs that a leak keeps at least: an edit breaks two
         self.needs = np.array([max(1, len(x) - 2 * allowed(len(w))) for x, (_, w) in zip(owned, self.items, strict=True)])
@@ -140,13 +156,6 @@ class Matcher:
         self.first = np.append(self.first, len(flat))
         self.bits = np.zeros(1 << 22, bool)
         self.bits[(self.pairs >> np.uint64(42)).astype(np.int64)] = True
-        self.index: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for n, own in by_len.items():
-            words = np.concatenate([self.items[a][1] for a in own])
-            keys = table_keys(words, np.arange(len(own)) * n, n)
-            flat = keys.ravel()
-            order = np.argsort(flat, kind="stable")
-            self.index[n] = flat[order], np.repeat(own, keys.shape[1])[order]
 
     def windows(self, words: np.ndarray) -> dict[int, list[tuple[int, np.ndarray]]]:
         """By item length: items and the window starts that hold enough of an item's pairs; complete for leaks."""
@@ -199,56 +208,50 @@ class Matcher:
         """Per text: (item id, distance, first word, end word) of the best window of each leaked item."""
         hashed = [word_hashes(t) for t in texts]
         found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
-        by_len: dict[int, list[tuple[int, np.ndarray]]] = {}
-        open_: set[tuple[int, int, int]] = set()
-        left: dict[tuple[int, int], list[int]] = {}
+        by_len: dict[int, list[tuple[int, int, int, int]]] = {}  # (text, item, first start, last start) of each stretch
         for d, w in enumerate(hashed):
             for n, own in self.windows(w).items():
-                by_len.setdefault(n, []).append((d, np.unique(np.concatenate([s for _, s in own]))))
-                left.update(((d, a), starts.tolist()) for a, starts in own)
-                open_.update((d, a, s) for a, starts in own for s in starts.tolist())
-        for n, parts in by_len.items():
-            docs = sorted({d for d, _ in parts})
-            shift = dict(zip(docs, np.cumsum([0] + [len(hashed[d]) for d in docs[:-1]]).tolist(), strict=True))
-            words = np.concatenate([hashed[d] for d in docs])
-            doc = np.concatenate([np.full(len(s), d) for d, s in parts])
-            start = np.concatenate([s for _, s in parts])
-            at = start + np.array([shift[d] for d in doc])
-            # past a document's end a window reads the next one: such windows can only miss or fail the check
-            end = np.minimum(at + n, len(words))
-            pairs = self._candidates(words, at, end, n)
-            for i, a in pairs:
-                d, s = int(doc[i]), int(start[i])
-                if (d, a, s) not in open_ or found[d].get(a, (1,))[0] == 0:
-                    continue  # too few pairs of this item there, or an exact copy is known
-                item = self.items[a][1]
-                k = allowed(n)
-                got = prefix_distances(item.tolist(), hashed[d][s:s + n + k].tolist())
-                dist = min(got)
-                if dist <= k:
-                    best = (dist, s, s + got.index(dist))
-                    if a not in found[d] or best < found[d][a]:
-                        found[d][a] = best
-        for (d, a), starts in left.items():
-            if found[d].get(a, (1,))[0]:  # no exact copy
-                item = self.items[a][1].tolist()
-                best = best_passage(item, hashed[d].tolist(), starts, allowed(len(item)))
-                if best:
+                for a, starts in own:
+                    breaks = np.flatnonzero(np.diff(starts) > 1)
+                    first, last = np.append(0, breaks + 1), np.append(breaks, len(starts) - 1)
+                    by_len.setdefault(n, []).extend((d, a, int(starts[i]), int(starts[j])) for i, j in zip(first, last, strict=True))
+        for n, stretches in by_len.items():
+            for d, a, lo, hi in self._candidates(hashed, stretches, n):
+                best = best_passage(self.items[a][1].tolist(), hashed[d].tolist(), list(range(lo, hi + 1)), allowed(n))
+                if best and (a not in found[d] or best < found[d][a]):
                     found[d][a] = best
         return [[(self.items[a][0], *v) for a, v in sorted(f.items())] for f in found]
 
-    def _candidates(self, words: np.ndarray, at: np.ndarray, end: np.ndarray, n: int) -> list[tuple[int, int]]:
-        padded = np.concatenate([words, np.zeros(n, np.uint64)])
-        known, owner = self.index[n]
-        out = [np.empty((0, 2), np.int64)]
-        for lo in range(0, len(at), 4096):
-            keys = table_keys(padded, at[lo:lo + 4096], n)
-            left, right = np.searchsorted(known, keys, "left"), np.searchsorted(known, keys, "right")
-            i, j = np.nonzero(right > left)
-            first, times = left[i, j], (right - left)[i, j]
-            item = owner[np.repeat(first, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
-            out.append(np.unique(np.stack([np.repeat(lo + i, times), item], 1), axis=0))
-        return [(int(i), int(a)) for i, a in np.concatenate(out)]
+    def _candidates(self, hashed: list[np.ndarray], stretches: list[tuple[int, int, int, int]], n: int) -> list[tuple[int, int, int, int]]:
+        """The stretches with a window that shares a key with the item in some round; all of them at a recall of 1."""
+        if self.rounds is None:
+            return stretches
+        docs, items = ({x: i for i, x in enumerate(sorted({s[c] for s in stretches}))} for c in (0, 1))
+        words = np.concatenate([hashed[d] for d in docs])
+        shift = np.cumsum([0] + [len(hashed[d]) for d in docs])
+        doc = np.array([docs[s[0]] for s in stretches])
+        item = np.array([items[s[1]] for s in stretches])
+        lo, hi = (np.array([s[c] for s in stretches]) for c in (2, 3))
+        own = np.concatenate([self.items[a][1] for a in items])
+        own_start = np.arange(len(items)) * n
+        hit = np.zeros(len(stretches), bool)
+        for walk in range(2 * self.rounds):
+            left = np.flatnonzero(~hit)
+            if not len(left):
+                break
+            early = allowed(n) * (walk % 2)  # windows read backwards: every end of a passage that starts in the stretch
+            size = (hi - lo + 1 + early)[left]
+            which = np.repeat(left, size)
+            at = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + (lo - early)[which]
+            base = shift[doc[which]]
+            start, end = base + np.maximum(at, 0), np.minimum(base + at + n, shift[doc[which] + 1])
+            known = table_keys(own, own_start, own_start + n, n, walk)
+            step = max(1, HELD // (2 * n))
+            for i in range(0, len(which), step):
+                part = slice(i, i + step)
+                same = (table_keys(words, start[part], np.maximum(end, start)[part], n, walk) == known[item[which[part]]]).any(axis=1)
+                hit[which[part][same]] = True
+        return [s for s, h in zip(stretches, hit.tolist(), strict=True) if h]
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
@@ -261,10 +264,11 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+               item_id: str = "item_id", item_text: str = "text", recall: float = RECALL) -> DataFrame:
     """(doc_id, item_id, edits, start, end): the best passage of each leaked item in each row.
 
-    ``start`` and ``end`` are code points of the whole text, the end exclusive.
+    ``start`` and ``end`` are code points of the whole text, the end exclusive. ``recall`` is the target
+    of the candidate search; 1 verifies all that the lossless pair filter leaves.
     """
     schema = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "item_id", "edits", "start", "end")])
     src = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
@@ -273,7 +277,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         sent = send(docs.sparkSession, items_of)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            matcher = received(sent, Matcher)
+            matcher = received(sent, lambda own: Matcher(own, recall))
             for batch in batches:
                 for part, texts in slices(batch, "text"):
                     rows: list[tuple] = []
@@ -302,14 +306,14 @@ def _spans(text: str) -> list[tuple[int, int]]:
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
-               item_text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text holds a passage of an item."""
+               item_text: str = "text", recall: float = RECALL) -> DataFrame:
+    """``docs`` without the rows whose text holds a passage of an item (``recall`` as in :func:`find_leaks`)."""
     flag = free_name(docs, "__leaks")
     for items_of in item_blocks(items, item_id, item_text):
         sent = send(docs.sparkSession, items_of)
 
         def make(sent=sent):
-            matcher = received(sent, Matcher)
+            matcher = received(sent, lambda own: Matcher(own, recall))
             return lambda texts: [[len(h) for h in matcher.match(texts)]]
 
         docs = append_columns(docs, text_col, make, [T.StructField(flag, T.IntegerType())]).where(F.col(flag) == 0).drop(flag)

@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from medalloy.llm import bagminhash, decontam, html_extract, langid, pivot_search, secrets
@@ -97,6 +98,54 @@ def test_long_items_that_lost_words_are_found():
         assert tuple(found) == min((min(d), s, s + d.index(min(d))) for s, d in enumerate(by_start))
 
 
+def worst_passages(words, k, rng, word):
+    """The passage with ``k`` edits of each kind, spread, in a burst at an end or evenly spaced."""
+    spread = []
+    for kind in range(4):
+        own = list(words)
+        for _ in range(k):
+            p, how = rng.randrange(len(own)), rng.randrange(3) if kind == 3 else kind
+            own[p:p + (how != 1)] = [] if how == 0 else [word()]
+        spread.append(own)
+    bursts = [words[k:], words[:len(words) - k], words[k // 2:len(words) - (k - k // 2)], [word() for _ in range(k)] + words[k:]]
+    even = [[x for i, x in enumerate(words) if i % 5 != 2 or i // 5 >= k], [word() if i % 5 == 2 and i // 5 < k else x for i, x in enumerate(words)]]
+    return spread + bursts + even
+
+
+def test_rounds_reach_the_target_recall():
+    """All allowed edits, ten ways, items of 5 to 300 words: a round finds its stated share, all rounds the target."""
+    rng = random.Random(21)
+    word = lambda: rng.getrandbits(60) | 1
+    one, full = [], []
+    for n in [5, 8, 13, 20, 37, 60, 100, 300]:
+        k = decontam.allowed(n)
+        for _ in range(12):
+            words = [word() for _ in range(n)]
+            for own in worst_passages(words, k, rng, word):
+                text = np.array([word() for _ in range(n)] + own + [word() for _ in range(n)], np.uint64)
+                m = decontam.Matcher([])
+                m.items = [(0, np.array(words, np.uint64))]
+                stretch = [(0, 0, n - k, n + k)]
+                m.rounds = 1
+                one.append(len(m._candidates([text], stretch, n)))
+                m.rounds = decontam.rounds(decontam.RECALL)
+                full.append(len(m._candidates([text], stretch, n)))
+    assert np.mean(one) >= decontam.ROUND_RECALL
+    assert np.mean(full) >= decontam.RECALL
+
+
+def test_candidates_of_the_walks_decide(spark, sf, monkeypatch):
+    """The walks find what verifying every stretch finds; without shared keys nothing is found."""
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    own = [t for _, t in items[:30]] + texts
+    want = decontam.Matcher(items, recall=1).match(own)
+    assert decontam.Matcher(items).match(own) == want and sum(map(bool, want)) > 30
+    fresh = np.random.default_rng(1)
+    monkeypatch.setattr(decontam, "table_keys", lambda words, start, end, n, walk: fresh.integers(1, 2**63, (len(start), decontam.TABLES), np.uint64))
+    assert not any(decontam.Matcher(items).match(own))
+
+
 def test_secrets_inside_a_run_are_found(spark):
     """NAME=VALUE, paths that mix the encodings' marks, and what a base span leaves of a run."""
     rng = random.Random(12)
