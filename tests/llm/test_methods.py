@@ -1,6 +1,7 @@
 """Each method against brute force, an exact round trip, a public library or held-out labels."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -223,3 +224,35 @@ def test_pipeline_stages(spark, sf):
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in classes} - leaked
     out = cp.run(spark, sf)
     assert set(out.columns) == {"doc_id", "lang", "source", "n_tokens", "ids"} and 0 < out.count() < n
+
+
+def test_tests_under_ordinary_text_hold_and_decide(monkeypatch):
+    """Each p-value is a bound for text drawn from the model; random keys pass; both sides of the battery decide."""
+    rng = random.Random(31)
+    letters = "etaoinshrdlucmfwypvbgkjqxz"
+    counts = {c: 4000 // (i + 1) for i, c in enumerate(letters)} | {c: 40 for c in "ETAOIN0123456789"}
+    model = secrets.TextModel(counts, 100_000, 2_000)
+    abc = dict(secrets.ENCODINGS)["base62"]
+    for n in (16, 24, 40):
+        drawn = [model.tests("".join(rng.choices(abc, [counts.get(c, 0) + 1 for c in abc], k=n)), "base62") for _ in range(1500)]
+        for which in (0, 2):  # the runs test's null is the rate of changes, not single symbols
+            for level in (0.3, 0.1, 0.03, 0.01):
+                assert sum(t[which] <= math.log(level) for t in drawn) <= 1500 * level + 3 * (1500 * level) ** 0.5
+        for _ in range(200):  # kinds that change at the model's rate
+            kinds, token = rng.randrange(3), ""
+            for _ in range(n):
+                kinds = (kinds + 1) % 3 if rng.random() < model.change else kinds
+                token += rng.choice(("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")[kinds])
+            changes = sum(a.isdigit() != b.isdigit() or a.islower() != b.islower() for a, b in zip(token, token[1:], strict=False))
+            exact = sum(math.comb(n - 1, x) * model.change ** x * (1 - model.change) ** (n - 1 - x) for x in range(changes, n))
+            assert model.tests(token, "base62")[1] >= math.log(exact) - 1e-9
+    key = "".join(rng.choice(abc) for _ in range(40)) + "7"
+    assert model.log_p(key, "base62") < -30
+    limits = {c: -160 for c in range(4, 9)}
+    text = f"some words {key} and {'0123456789abcdefABCDEF' * 2} more"
+    at = text.index(key)
+    assert secrets.scan(text, model, limits) == [(at, 3, at + len(key))]
+    monkeypatch.setattr(secrets, "battery", lambda token, index: 1.0)
+    assert len(secrets.scan(text, model, limits)) == 2
+    monkeypatch.setattr(secrets.TextModel, "tests", lambda self, token, name: (0.0, 0.0, 0.0))
+    assert secrets.scan(text, model, limits) == []
