@@ -59,23 +59,34 @@ def failure_rows(steps: DataFrame, failures: DataFrame, *, run_col: str = "run_i
 
 
 def run_status(runs: DataFrame, steps: DataFrame, failures: DataFrame, *, run_col: str = "run_id",
-               step_name: str = "step_name", step_status: str = "status", task_col: str = "task_key") -> DataFrame:
+               step_name: str = "step_name", step_status: str = "status", task_col: str = "task_key",
+               listed: bool = False) -> DataFrame:
     """L4 — one row per run header: ``failed`` if any logged step or task outcome failed, with a message that
-    gives both numbers and the first name of each (:func:`failure_rows` lists them all); else ``succeeded``."""
+    gives both numbers and the first name of each; else ``succeeded``. ``listed``: the message names every failed
+    step and every failed task with its error, each sorted (one string per run, as long as what failed in it)."""
     rows = failure_rows(steps, failures, run_col=run_col, step_name=step_name, step_status=step_status, task_col=task_col)
+    text = {"step": ("name", ", "), "task": ("concat(name, ': ', error)", "; ")}
 
     def of(kind: str) -> list[Column]:
-        mine = F.col("kind") == kind
-        return [F.sum(mine.cast("long")).alias(f"n_{kind}"), F.min(F.when(mine, F.col("name"))).alias(f"first_{kind}")]
+        mine, (what, sep) = F.col("kind") == kind, text[kind]
+        told = (F.expr(f"listagg({what}, '{sep}') within group (order by {what}) filter (where kind = '{kind}')") if listed
+                else F.min(F.when(mine, F.col("name"))))
+        return [F.sum(mine.cast("long")).alias(f"n_{kind}"), told.alias(f"told_{kind}")]
 
     j = runs.select(run_col).distinct().join(rows.groupBy(run_col).agg(*of("step"), *of("task")), run_col, "left")
     n_s, n_t = F.coalesce("n_step", F.lit(0)), F.coalesce("n_task", F.lit(0))
-    parts = [F.when(n > 0, F.concat(F.lit(f"{kind}s: "), n.cast("string"), F.lit(", first "), F.col(f"first_{kind}")))
-             for kind, n in (("step", n_s), ("task", n_t))]
     failed = (n_s > 0) | (n_t > 0)
+    if listed:
+        message = F.concat_ws(" ",
+                              F.when(n_s > 0, F.concat(n_s.cast("string"), F.lit(" logged step(s) failed: "), F.col("told_step"), F.lit("."))),
+                              F.when(n_t > 0, F.concat(n_t.cast("string"), F.lit(" task(s) failed: "), F.col("told_task"))),
+                              F.lit("See the step log and task matrix."))
+    else:
+        parts = [F.when(n > 0, F.concat(F.lit(f"{kind}s: "), n.cast("string"), F.lit(", first "), F.col(f"told_{kind}")))
+                 for kind, n in (("step", n_s), ("task", n_t))]
+        message = F.concat(F.lit("failed "), F.concat_ws("; ", *parts))
     return j.select(run_col, F.when(failed, F.lit(FAILED)).otherwise(F.lit(SUCCEEDED)).alias("status"),
-                    n_s.alias("failed_steps"), n_t.alias("failed_tasks"),
-                    F.when(failed, F.concat(F.lit("failed "), F.concat_ws("; ", *parts))).alias("error_message"))
+                    n_s.alias("failed_steps"), n_t.alias("failed_tasks"), F.when(failed, message).alias("error_message"))
 
 
 def stuck_steps(steps_state: DataFrame, runs_state: DataFrame, *, run_col: str = "run_id",

@@ -54,19 +54,25 @@ def latest_attempt(spark, sf_dir):
 WITH {_D_TR},
 steps AS (SELECT DISTINCT run_id, 'step_' || CAST(user_id AS VARCHAR) AS step_name FROM
             (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, user_id FROM events WHERE value > 95)),
-fs AS (SELECT run_id, count(*) AS n, min(step_name) AS first FROM steps GROUP BY 1),
-ft AS (SELECT run_id, count(*) AS n, min(task_key) AS first FROM fails GROUP BY 1),
+fs AS (SELECT run_id, count(*) AS failed_steps, string_agg(step_name, ', ' ORDER BY step_name) AS names FROM steps GROUP BY 1),
+ft AS (SELECT run_id, count(*) AS failed_tasks, string_agg(task_key || ': ' || error, '; ' ORDER BY task_key || ': ' || error) AS msgs
+       FROM fails GROUP BY 1),
 runs AS (SELECT DISTINCT run_id FROM tr)
-SELECT r.run_id, CASE WHEN fs.n > 0 OR ft.n > 0 THEN 'failed' ELSE 'succeeded' END AS status,
-       coalesce(fs.n, 0) AS failed_steps, coalesce(ft.n, 0) AS failed_tasks,
-       CASE WHEN fs.n > 0 OR ft.n > 0 THEN 'failed ' || concat_ws('; ',
-         CASE WHEN fs.n > 0 THEN 'steps: ' || fs.n || ', first ' || fs.first END,
-         CASE WHEN ft.n > 0 THEN 'tasks: ' || ft.n || ', first ' || ft.first END) END AS error_message
+SELECT r.run_id,
+       CASE WHEN coalesce(fs.failed_steps, 0) > 0 OR coalesce(ft.failed_tasks, 0) > 0 THEN 'failed' ELSE 'succeeded' END AS status,
+       coalesce(fs.failed_steps, 0) AS failed_steps, coalesce(ft.failed_tasks, 0) AS failed_tasks,
+       CASE WHEN coalesce(fs.failed_steps, 0) > 0 OR coalesce(ft.failed_tasks, 0) > 0 THEN
+         concat_ws(' ',
+           CASE WHEN fs.failed_steps > 0 THEN CAST(fs.failed_steps AS VARCHAR) || ' logged step(s) failed: ' || fs.names || '.' END,
+           CASE WHEN ft.failed_tasks > 0 THEN CAST(ft.failed_tasks AS VARCHAR) || ' task(s) failed: ' || ft.msgs END,
+           'See the step log and task matrix.') END AS error_message
 FROM runs r LEFT JOIN fs ON fs.run_id = r.run_id LEFT JOIN ft ON ft.run_id = r.run_id
 """)
 def run_status(spark, sf_dir):
+    """Status of every run, with a message that names every failed step and every failed task with its error."""
     tr = task_runs(spark, sf_dir)
-    return au.run_status(tr, _failed_steps(spark, sf_dir), au.task_outcomes(tr, attempt_cols=["ts", "event_id"], exclude_tasks=["task_0"]))
+    fails = au.task_outcomes(tr, attempt_cols=["ts", "event_id"], exclude_tasks=["task_0"])
+    return au.run_status(tr, _failed_steps(spark, sf_dir), fails, listed=True)
 
 
 def _failed_steps(spark, sf_dir):

@@ -5,6 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from medalloy.operators import audit as au
+from medalloy.plans import audit_plans
 from medalloy.sources import files as fs
 
 T0 = dt.datetime(2024, 1, 1)
@@ -43,6 +44,35 @@ def test_run_status_cases(spark):
     assert r.status == "succeeded"
 
 
+def test_run_status_names_every_failure(spark):
+    runs = spark.createDataFrame([("r",), ("ok",), ("s",)], "run_id string")
+    steps = spark.createDataFrame([("r", "nb_b", "failed"), ("r", "nb_a", "failed"), ("r", "nb_a", "failed"), ("r", "nb_c", "succeeded"),
+                                   ("s", None, "failed")], "run_id string, step_name string, status string")
+    fails = spark.createDataFrame([("r", "t2", "[FAILED] e2"), ("r", "t1", "[CANCELED] e1"), ("r", "t3", "[TIMEDOUT] e3")],
+                                  "run_id string, task_key string, error string")
+    got = {r.run_id: r for r in au.run_status(runs, steps, fails, listed=True).collect()}
+    assert got["r"].error_message == ("2 logged step(s) failed: nb_a, nb_b. 3 task(s) failed: t1: [CANCELED] e1; t2: [FAILED] e2; "
+                                      "t3: [TIMEDOUT] e3 See the step log and task matrix.")
+    assert (got["r"].failed_steps, got["r"].failed_tasks) == (2, 3)
+    assert (got["ok"].status, got["ok"].failed_steps, got["ok"].error_message) == ("succeeded", 0, None)
+    assert (got["s"].status, got["s"].failed_steps, got["s"].error_message) == ("failed", 1, "See the step log and task matrix.")
+
+
+def test_run_status_query_lists_what_failed(spark, tmp_path):
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 2, 5, i), 1 + i, ("error", "signup", "click")[i % 3], 99.0 if i % 4 == 0 else 1.0, '{"k": %d}' % i)
+            for i in range(24)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(str(tmp_path / "events.parquet"))
+    got = {r.run_id: r for r in audit_plans.run_status(spark, str(tmp_path)).collect()}
+    for day in (0, 1):
+        r = got[f"2024-01-0{1 + day}"]
+        steps = sorted(f"step_{1 + i}" for i in range(24) if i % 2 == day and i % 4 == 0)
+        tasks = sorted(f"task_{1 + i}: [{('FAILED', 'TIMEDOUT')[i % 3]}] code {i}" for i in range(24) if i % 2 == day and i % 3 < 2)
+        told = [f"{len(steps)} logged step(s) failed: {', '.join(steps)}."] if steps else []
+        assert r.error_message == " ".join([*told, f"{len(tasks)} task(s) failed: {'; '.join(tasks)}", "See the step log and task matrix."])
+        assert (r.failed_steps, r.failed_tasks) == (len(steps), len(tasks))
+
+
 def test_header_report_and_positional(spark):
     d = tempfile.mkdtemp(prefix="hdr-", dir="/tmp")
     with open(os.path.join(d, "good.csv"), "w", encoding="utf-8") as f:
