@@ -12,6 +12,9 @@ of these, in hash order, what fits into ``SAMPLE_CHARS`` characters (fewer, if a
 would hold over ``TOTAL_CHARS``). Equal pieces of a language count once. Each language keeps its own
 text, however little another has.
 
+Texts of a batch are parsed side by side, a character of each in every language at a time, by the automata as one
+table of numbers (``SideBySide``). Few or long texts left over, and languages over ``TABLE_CELLS``, go on one by one.
+
 Defined results: ``und`` with score 0 for a text that is null or has no letter, or if nothing
 was learnt; ties go to the alphabetically first language; with one language its score is 1.
 Rows are predicted each, whatever their id or repetition.
@@ -20,7 +23,9 @@ Rows are predicted each, whatever their id or repetition.
 from __future__ import annotations
 
 import re
+import sys
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +36,8 @@ PIECE = 4_000
 SAMPLE_PIECES = 400
 SAMPLE_CHARS = 80_000
 TOTAL_CHARS = 1_000_000
+TABLE_CELLS = 32_000_000  # of 4 bytes, in a worker
+LANES = 16  # fewer texts side by side are slower than one by one
 UNKNOWN = "und"
 _OTHER = re.compile(r"[\W\d_]+")
 
@@ -78,10 +85,11 @@ class SuffixAutomaton:
             for c, q in to.items():
                 to[c] = self.next[q]
 
-    def phrases(self, s: str) -> int:
-        """Number of greedy longest matches; a character never seen is a phrase of its own."""
+    def phrases(self, s: str, state: int = 0) -> int:
+        """Number of greedy longest matches; a character never seen is a phrase of its own. From another
+        state than the root's, the phrase it stands in counts too."""
         n, root = 0, self.next[0]
-        state = root
+        state = self.next[state]
         for c in s:
             to = state.get(c)
             if to is None:
@@ -96,12 +104,117 @@ class SuffixAutomaton:
         return n + (state is not root)
 
 
+class SideBySide:
+    """Automata as one table: a row per state, a column per character that the automaton's text holds, the first
+    for all others. A cell is twice the row's place to go to, plus 1 if a phrase starts with the character there."""
+
+    def __init__(self, automata: list[SuffixAutomaton]):
+        self.automata = automata
+        symbols = [sorted(a.next[0]) for a in automata]
+        self.width = [len(s) + 1 for s in symbols]
+        cells = [len(a.next) * w for a, w in zip(automata, self.width)]
+        self.base = np.cumsum([0, *cells])
+        self.table = np.empty(self.base[-1], dtype=np.int32)
+        union = sorted(set().union(*symbols))
+        self.code = np.zeros(sys.maxunicode + 1, dtype=np.intp)
+        self.code[[ord(c) for c in union]] = np.arange(1, len(union) + 1)
+        self.column = np.zeros((len(automata), len(union) + 1), dtype=np.intp)
+        self.kind = np.zeros(sys.maxunicode + 1, dtype=np.uint8)  # 1: letter, 2: other, 0: not asked yet
+        for k, (a, held) in enumerate(zip(automata, symbols)):
+            column = {c: i for i, c in enumerate(held, 1)}
+            self.column[k, self.code[[ord(c) for c in held]]] = np.arange(1, len(held) + 1)
+            number = {id(state): i for i, state in enumerate(a.next)}
+            rows = self.table[self.base[k]:self.base[k + 1]].reshape(len(a.next), self.width[k])
+
+            def places(states, at=int(self.base[k]), width=self.width[k], number=number) -> np.ndarray:
+                return 2 * (at + width * np.fromiter((number[id(s)] for s in states), dtype=np.int64))
+
+            rows[:] = places([a.next[0], *(a.next[0][c] for c in held)]) + 1
+            others = a.next[1:]  # at the root every character starts a phrase
+            at = np.repeat(np.arange(1, len(a.next)), np.fromiter(map(len, others), dtype=np.int64))
+            to = np.fromiter((column[c] for state in others for c in state), dtype=np.int64)
+            rows[at, to] = places(state for other in others for state in other.values())
+
+    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases of each text's running text (automata x texts), and its letters, as :func:`running` has them."""
+        low = [t.lower() for t in texts]
+        points = np.frombuffer((" ".join(low) + " ").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        kind = self.kind.take(points)
+        if not kind.all():
+            for c in np.unique(points[kind == 0]):
+                self.kind[c] = 1 if chr(c).isalpha() else 2
+            kind = self.kind.take(points)
+        letter = kind == 1
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]  # one blank behind each word
+        first = np.cumsum([0, *(len(t) + 1 for t in low[:-1])])
+        letters = np.add.reduceat(letter, first, dtype=np.int64)
+        size = np.add.reduceat(keep, first, dtype=np.int64)
+        points = np.where(letter, points, np.uint32(ord(" ")))[keep]
+        codes = self.code.take(points)
+
+        lanes = np.argsort(-size, kind="stable")
+        length = size[lanes]
+        at = (np.cumsum(size) - size)[lanes]
+        blank = self.column[:, self.code[ord(" ")]]
+        state = np.repeat((self.table[self.base[:-1] + blank] >> 1).astype(np.intp)[:, None], len(texts), axis=1)
+        n = np.ones(state.shape, dtype=np.int64)  # the blank in front starts a phrase
+        step, k = 0, len(texts)
+        while True:
+            while k and length[k - 1] <= step:
+                k -= 1
+            if k < LANES:
+                break
+            cell = self.column.take(codes.take(at[:k] + step), axis=1)
+            cell += state[:, :k]
+            to = self.table.take(cell)
+            n[:, :k] += to & 1
+            np.right_shift(to, 1, out=state[:, :k])
+            step += 1
+        for i in range(k):
+            rest = points[at[i] + step:at[i] + length[i]].tobytes().decode("utf-32-le", "surrogatepass")
+            for j, a in enumerate(self.automata):
+                inside = int(state[j, i] - self.base[j]) // self.width[j]
+                n[j, i] += a.phrases(rest, inside) - (inside != 0)
+        out = np.empty_like(n)
+        out[:, lanes] = n
+        return out, letters
+
+
 class Classifier:
     """One automaton per language."""
 
     def __init__(self, learnt: dict[str, str]):
         self.langs = sorted(learnt)
         self.automata = [SuffixAutomaton(learnt[lang]) for lang in self.langs]
+        self.tabled, cells = [], 0
+        for k, a in enumerate(self.automata):
+            if cells + len(a.next) * (len(a.next[0]) + 1) <= TABLE_CELLS:
+                cells += len(a.next) * (len(a.next[0]) + 1)
+                self.tabled.append(k)
+        self.side_by_side = None
+
+    def predict_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """What ``predict`` gives, for many texts."""
+        if not self.langs or not texts:
+            return np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))
+        if self.side_by_side is None:
+            self.side_by_side = SideBySide([self.automata[k] for k in self.tabled])
+        n = np.empty((len(self.langs), len(texts)), dtype=np.int64)
+        n[self.tabled], letters = self.side_by_side.phrases(texts)
+        others = [k for k in range(len(self.langs)) if k not in self.tabled]
+        for i, t in enumerate(texts if others else []):
+            words = running(t)[0]
+            n[others, i] = [self.automata[k].phrases(words) for k in others]
+        cost = n / np.maximum(letters, 1)
+        lang = np.array(self.langs, dtype=object)[cost.argmin(axis=0)]
+        if len(cost) == 1:
+            score = np.ones(len(texts))
+        else:
+            low = np.partition(cost, 1, axis=0)
+            score = 1 - low[0] / low[1]
+        lang[letters == 0], score[letters == 0] = UNKNOWN, 0.0
+        return lang, score
 
     def predict(self, text: str) -> tuple[str, float]:
         words, letters = running(text)
@@ -153,8 +266,7 @@ def predict(docs: DataFrame, learnt: dict[str, str], text_col: str = "text", lan
         model = received(sent, Classifier)
 
         def run(texts: list[str]) -> list:
-            got = [model.predict(t) for t in texts]
-            return [[g[0] for g in got], [g[1] for g in got]]
+            return list(model.predict_all(texts))
 
         return run
 

@@ -71,6 +71,45 @@ def test_language_decision_equals_brute_force():
             assert lang == min(cost, key=lambda k: (cost[k], k)) and abs(score - (1 - low / high)) < 1e-9
 
 
+def test_languages_side_by_side_equal_one_by_one(monkeypatch):
+    """Many texts at once get what each gets alone, also long, empty and odd ones, and languages without a table."""
+    rng = random.Random(5)
+
+    def text(n, letters):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 7))) for _ in range(n))
+
+    learnt = {k: langid.running(text(200, letters))[0] for k, letters in (("a", "abcxé"), ("b", "bcdyσς"), ("c", "cdaz漢"))}
+    texts = [text(rng.randrange(1, 60), rng.choice(["abcé", "bcdσ", "cda漢", "abcdq"])) for _ in range(60)] + [text(3_000, "abcd")]
+    texts += ["", " \n ", "12 34", "ΟΔΥΣ", "İab", "ab12cd_²x", "😀", "q", "  abc", "abc,\n"] * 2
+    for held in (learnt, {**learnt, "d": "  "}, {**learnt, "e": ""}, {"a": learnt["a"]}, {}):
+        for cells in (langid.TABLE_CELLS, 12_000, 0):
+            monkeypatch.setattr(langid, "TABLE_CELLS", cells)
+            model = langid.Classifier(held)
+            want = [model.predict(t) for t in texts]
+            for part in (slice(None), slice(0, 5), slice(58, 63), slice(62, 62)):
+                langs, scores = model.predict_all(texts[part])
+                assert list(zip(langs, scores, strict=True)) == want[part]
+    monkeypatch.undo()
+    assert set(langid.Classifier(learnt).predict_all(texts)[0]) == {"a", "b", "c", "und"}
+
+
+def test_few_characters_are_parsed_one_by_one(spark, monkeypatch):
+    """Of many texts, the automata's own walk sees only what is left when few are still running."""
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choice("abcd") for _ in range(4)) for _ in range(rng.randrange(50, 100))) for _ in range(300)]
+    model = langid.Classifier({"a": texts[0], "b": texts[1]})
+    seen = []
+    walk = langid.SuffixAutomaton.phrases
+    monkeypatch.setattr(langid.SuffixAutomaton, "phrases", lambda self, s, *state: seen.append(len(s)) or walk(self, s, *state))
+    sent = []
+    monkeypatch.setattr(langid, "append_columns", lambda docs, text_col, make, *rest: sent.append(make))
+    monkeypatch.setattr(langid, "send", lambda spark, learnt: None)
+    monkeypatch.setattr(langid, "received", lambda sent, make: model)
+    langid.predict(spark.range(1), {})
+    langs, scores = sent[0]()(texts)
+    assert len(langs) == len(scores) == 300 and sum(seen) < 0.02 * 2 * sum(map(len, texts))
+
+
 def test_phrases_run_across_words():
     """The same words in another order take more phrases: the order of words counts."""
     model = langid.SuffixAutomaton(" one two three four five six ")
